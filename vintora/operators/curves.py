@@ -182,7 +182,7 @@ def group_shapes(months: DataFrame, groups: DataFrame, term: DataFrame, p: Param
     return shape_decay_fill(group_shape_raw(months, groups, term, p), revenue_decay(groups, p), p)
 
 
-def _with_shape(months: DataFrame, groups: DataFrame, shapes: DataFrame) -> DataFrame:
+def with_shape(months: DataFrame, groups: DataFrame, shapes: DataFrame) -> DataFrame:
     shape = shapes.select(
         F.col("grupo").alias("grupo_risco"), "mob", F.col("perda").alias("forma_perda"), F.col("receita").alias("forma_receita")
     )
@@ -211,7 +211,7 @@ def vintage_scale(shaped: DataFrame, p: Params) -> DataFrame:
 
 def project_curves(months: DataFrame, groups: DataFrame, shapes: DataFrame, p: Params) -> DataFrame:
     """Cumulative loss and revenue per vintage and MOB, realised then projected."""
-    shaped = _with_shape(months, groups, shapes)
+    shaped = with_shape(months, groups, shapes)
     floor = F.lit(p.shape_floor)
     loss = F.greatest(F.coalesce(F.col("forma_perda"), floor) * F.col("escala_perda"), floor)
     revenue = F.greatest(

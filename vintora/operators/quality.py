@@ -224,6 +224,13 @@ def loans_without_installments(loans: DataFrame, inst: DataFrame) -> DataFrame:
     return id_presence(loans, inst).where("em_loans and not em_inst").select("id_contrato")
 
 
+def orphan_renegotiations(loans: DataFrame, reneg: DataFrame) -> DataFrame:
+    """Distinct origin ids without a loan."""
+    ids = reneg.select(norm_id(F.col("id_contrato_origem")).alias("id_contrato")).where("id_contrato is not null")
+    known = loans.select(norm_id(F.col("id_contrato")).alias("id_contrato"))
+    return ids.distinct().join(known, "id_contrato", "left_anti")
+
+
 def dq_cross(loans: DataFrame, inst: DataFrame, reneg: DataFrame | None = None) -> DataFrame:
     """Ids missing on either side of the three inputs."""
     seen = id_presence(loans, inst, reneg)
