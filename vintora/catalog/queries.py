@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vintora.catalog import book
 from vintora.catalog import oracle as o
@@ -23,10 +23,9 @@ from vintora.functions.parsing import (
     norm_report_value,
 )
 from vintora.operators import cohorts, curves, portfolio, quality, reconcile, rolls, valuation
-from vintora.operators.inline_tables import inline_table
-from vintora.plans.portfolio_run import default_meta, export_rounded, run_portfolio
+from vintora.plans.portfolio_run import export_rounded, run_portfolio
 from vintora.sources import layouts, normalise, readers, sinks
-from vintora.sources.workspace import new_folder
+from vintora.sources.workspace import materialise, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -463,13 +462,13 @@ OVER90_PCT = f", {o.r(o.pct(o.OVER90, 'count(*)'))} AS over90_pct"
 @register("cross_profile_species", o.cut("especie_beneficio AS especie, situacao_beneficio AS situacao", OVER90_PCT))
 def cross_profile_species(spark, sf_dir):
     loans = book.loans(spark, sf_dir, attributes=True)
-    return export_rounded(portfolio.cross_profile(loans, "especie_beneficio", "situacao_beneficio", "especie"))
+    return export_rounded(portfolio.cross_profile(loans, "especie"))
 
 
 @register("cross_profile_channel", o.cut("canal_originacao AS canal, situacao_beneficio AS situacao", OVER90_PCT))
 def cross_profile_channel(spark, sf_dir):
     loans = book.loans(spark, sf_dir, attributes=True)
-    return export_rounded(portfolio.cross_profile(loans, "canal_originacao", "situacao_beneficio", "canal"))
+    return export_rounded(portfolio.cross_profile(loans, "canal"))
 
 
 def sparse_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -601,7 +600,8 @@ def outstanding_balance_bucket(spark, sf_dir):
 
 
 def aging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rolls.aging_balance(*loans_and_inst(spark, sf_dir), PARAMS)
+    """The monthly totals, stored once because several later steps read them."""
+    return materialise(rolls.aging_balance(*loans_and_inst(spark, sf_dir), PARAMS), "aging")
 
 
 def chained(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -614,7 +614,7 @@ def ltm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("aging_balance", "SELECT * FROM b_aging")
 def aging_balance(spark, sf_dir):
-    return aging(spark, sf_dir)
+    return rolls.aging_balance(*loans_and_inst(spark, sf_dir), PARAMS)
 
 
 ROLL_NAMES = rolls.ROLL_COLUMNS
@@ -658,23 +658,24 @@ def roll_table(spark, sf_dir):
 
 
 class Curves:
-    """The curve chain of one book, lazy."""
+    """The curve chain of one book; the vintage x MOB table is stored once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         loans, inst = loans_and_inst(spark, sf_dir)
-        self.term = curves.max_term(loans)
-        principals = cohorts.vintage_principal(loans)
-        self.months = curves.vintage_months(cohorts.cohort_cells(loans, inst, PARAMS), principals, self.term, PARAMS)
+        self.totals = materialise(portfolio.book_totals(loans).select("max_prazo"), "totals")
+        cells = materialise(cohorts.cohort_cells(loans, inst, PARAMS), "cells")
+        months = curves.vintage_months(cells, cohorts.vintage_principal(loans), self.totals, PARAMS)
+        self.months = materialise(months, "months")
         self.groups = curves.risk_groups(self.months, PARAMS)
 
     def decay(self) -> DataFrame:
         return curves.revenue_decay(self.groups, PARAMS)
 
     def raw(self) -> DataFrame:
-        return curves.group_shape_raw(self.months, self.groups, self.term, PARAMS)
+        return curves.group_shape_raw(self.months, self.groups, self.totals, PARAMS)
 
     def shapes(self) -> DataFrame:
-        return curves.shape_decay_fill(self.raw(), self.decay(), PARAMS)
+        return materialise(curves.shape_decay_fill(self.raw(), self.decay(), PARAMS), "shapes")
 
     def curve(self) -> DataFrame:
         return curves.project_curves(self.months, self.groups, self.shapes(), PARAMS)
@@ -859,9 +860,7 @@ def kpi_long(spark, sf_dir):
 )
 def run_metadata(spark, sf_dir):
     loans = book.loans(spark, sf_dir, attributes=True)
-    return valuation.run_metadata(
-        portfolio.segment_column(loans), portfolio.all_rated_flag(loans), ltm(spark, sf_dir), PARAMS
-    )
+    return valuation.run_metadata(portfolio.book_totals(loans), ltm(spark, sf_dir), PARAMS)
 
 
 # --- validation ------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vintora.functions.calendar import months_diff
 from vintora.functions.numbers import from_cents, pct, sum_cents
+from vintora.operators.portfolio import loan_cut
 from vintora.params import NOT_INFORMED, Params
 
 
@@ -64,13 +65,13 @@ def first_payment_default(loans: DataFrame, inst: DataFrame) -> DataFrame:
     ).orderBy("safra")
 
 
+def vintage_rows(cut: DataFrame) -> DataFrame:
+    return cut.where(F.col("safra") != NOT_INFORMED).select("safra", "principal_c")
+
+
 def vintage_principal(loans: DataFrame) -> DataFrame:
     """Cents of principal per known vintage."""
-    return (
-        loans.where(F.col("data_aquisicao").isNotNull() & (F.col("safra") != NOT_INFORMED))
-        .groupBy("safra")
-        .agg(sum_cents(F.col("principal")).alias("principal_c"))
-    )
+    return vintage_rows(loan_cut(loans, "safra"))
 
 
 PAYMENT_CLASSES = ("antecipado", "no_dia", "em_atraso", "a_receber", "perda")

@@ -14,18 +14,13 @@ from vintora.operators.inline_tables import inline_table
 from vintora.params import RISK_GROUPS, Params
 
 
-def max_term(loans: DataFrame) -> DataFrame:
-    """One row with the longest term of the book."""
-    return loans.agg(F.max("num_parcelas").alias("max_prazo"))
-
-
-def vintage_months(cells: DataFrame, principals: DataFrame, term: DataFrame, p: Params) -> DataFrame:
+def vintage_months(cells: DataFrame, principals: DataFrame, totals: DataFrame, p: Params) -> DataFrame:
     """Vintage x MOB spine with monthly increments in % of principal, zero-filled.
 
     Runs to the longest term, or to the clean MOB when that is later. Vintages without
     principal have no percentages and are left out.
     """
-    longest = F.coalesce(term.select("max_prazo").scalar(), F.lit(0))
+    longest = F.coalesce(totals.select("max_prazo").scalar(), F.lit(0))
     vintages = observed_mob(cells, principals.where(F.col("principal_c") > 0), p)
     spine = vintages.withColumn("max_prazo", longest).withColumn(
         "mob", F.explode(int_range(F.lit(1), F.greatest("max_prazo", "mob_limpo")))
@@ -121,14 +116,14 @@ def revenue_decay(groups: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def group_shape_raw(months: DataFrame, groups: DataFrame, term: DataFrame, p: Params) -> DataFrame:
+def group_shape_raw(months: DataFrame, groups: DataFrame, totals: DataFrame, p: Params) -> DataFrame:
     """Typical monthly increment per group and MOB over vintages with that MOB clean.
 
     Median, or the mean when the median is not positive, or the floor when neither is;
     null where no vintage reaches the MOB.
     """
     spark = months.sparkSession
-    longest = F.coalesce(term.select("max_prazo").scalar(), F.lit(0))
+    longest = F.coalesce(totals.select("max_prazo").scalar(), F.lit(0))
     fed = groups.select("safra", F.explode("alimenta").alias("grupo"))
     typical = (
         months.where("limpo")
@@ -178,8 +173,8 @@ def shape_decay_fill(raw: DataFrame, decay: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def group_shapes(months: DataFrame, groups: DataFrame, term: DataFrame, p: Params) -> DataFrame:
-    return shape_decay_fill(group_shape_raw(months, groups, term, p), revenue_decay(groups, p), p)
+def group_shapes(months: DataFrame, groups: DataFrame, totals: DataFrame, p: Params) -> DataFrame:
+    return shape_decay_fill(group_shape_raw(months, groups, totals, p), revenue_decay(groups, p), p)
 
 
 def with_shape(months: DataFrame, groups: DataFrame, shapes: DataFrame) -> DataFrame:

@@ -18,30 +18,67 @@ def n_over(days: int) -> Column:
     return F.count_if(days_late() > days)
 
 
-def weighted_rate() -> Column:
-    """Principal-weighted rate of a group, 0 without principal."""
-    total = F.sum("principal")
-    return F.when(total > 0, F.sum(F.col("taxa_cliente") * F.col("principal")) / total).otherwise(0.0)
-
+def book_totals(loans: DataFrame) -> DataFrame:
+    """One row with every whole-book figure, from a single scan.
 
-def portfolio_kpis(loans: DataFrame, reneg_ids: DataFrame) -> DataFrame:
-    """One row of headline figures; the vintage range ignores unknown vintages."""
+    A caller that selects a few of them scans only the columns they need.
+    """
     n, principal = F.count(F.lit(1)), sum_cents(F.col("principal"))
     known = F.when(F.col("safra") != NOT_INFORMED, F.col("safra"))
-    facts = loans.agg(
+    known_day = F.when(F.col("safra") != NOT_INFORMED, F.col("data_aquisicao"))
+    total = F.sum("principal")
+    exposure = cents(F.col("pmt")) * F.col("num_parcelas")
+    species = F.bool_or(F.col("especie_beneficio") != NOT_INFORMED)
+    unrated = F.bool_or(F.col("rating_concessao") == NOT_INFORMED)
+    return loans.agg(
         n.alias("contratos"),
         from_cents(principal).alias("principal_total"),
         ratio(from_cents(principal), n).alias("ticket_medio"),
-        weighted_rate().alias("taxa_media"),
+        F.when(total > 0, F.sum(F.col("taxa_cliente") * F.col("principal")) / total).otherwise(0.0).alias("taxa_media"),
         F.avg("num_parcelas").alias("prazo_medio"),
         *[n_over(d).alias(f"over{d}_n") for d in (30, 60, 90)],
         *[ratio(n_over(d), n).alias(f"over{d}_pct") for d in (30, 60, 90)],
         F.min(known).alias("safra_min"),
         F.max(known).alias("safra_max"),
         F.count_if(F.col("safra") == NOT_INFORMED).alias("safra_ni_n"),
+        from_cents(F.coalesce(F.sum(exposure), F.lit(0))).alias("ead_total"),
+        from_cents(F.coalesce(F.sum(F.when(days_late() > 60, exposure)), F.lit(0))).alias("ead_inadimplente"),
+        F.max("num_parcelas").alias("max_prazo"),
+        F.trunc(F.min(known_day), "MM").alias("primeiro_mes"),
+        F.coalesce(species, F.lit(False)).alias("tem_especie"),
+        (~F.coalesce(unrated, F.lit(False))).alias("todos_rated"),
     )
+
+
+KPI_COLUMNS = (
+    ("contratos", "principal_total", "ticket_medio", "taxa_media", "prazo_medio")
+    + tuple(f"over{d}_n" for d in (30, 60, 90))
+    + tuple(f"over{d}_pct" for d in (30, 60, 90))
+    + ("safra_min", "safra_max", "safra_ni_n")
+)
+
+
+def kpi_row(totals: DataFrame, reneg_ids: DataFrame) -> DataFrame:
     renegotiated = reneg_ids.agg(F.count(F.lit(1)).alias("n"))
-    return facts.withColumn("renegociacoes", F.coalesce(renegotiated.scalar(), F.lit(0)).cast("bigint"))
+    return totals.select(*KPI_COLUMNS, renegotiated.scalar().alias("renegociacoes"))
+
+
+def portfolio_kpis(loans: DataFrame, reneg_ids: DataFrame) -> DataFrame:
+    """One row of headline figures; the vintage range ignores unknown vintages."""
+    return kpi_row(book_totals(loans), reneg_ids)
+
+
+def exposure_row(totals: DataFrame) -> DataFrame:
+    return totals.select("ead_total", "ead_inadimplente")
+
+
+def exposure_at_default(loans: DataFrame) -> DataFrame:
+    """Instalment times term at origination, in total and for loans over 60 days late."""
+    return exposure_row(book_totals(loans))
+
+
+def all_rated_flag(loans: DataFrame) -> DataFrame:
+    return book_totals(loans).select("todos_rated")
 
 
 def _band(value: Column, bands) -> Column:
@@ -53,125 +90,209 @@ def _band(value: Column, bands) -> Column:
     return out
 
 
-def _band_table(loans: DataFrame, bands) -> DataFrame:
-    return inline_table(loans.sparkSession, "ordem, faixa", [(i, b[0]) for i, b in enumerate(bands)])
+# Key of a cut in the results, and the loan column behind it.
+CUT_COLUMNS = {
+    "rating": "rating_concessao",
+    "bhv": "bhv_m",
+    "uf": "uf",
+    "especie": "especie_beneficio",
+    "profissao": "profissao",
+    "canal": "canal_originacao",
+    "situacao": "situacao_beneficio",
+    "safra": "safra",
+}
+CUT_KEYS = ("faixa_atraso", "faixa_prazo", *CUT_COLUMNS)
+
+
+def cut_keys() -> dict[str, Column]:
+    """Grouping expressions of the cuts, by the name they have in the results."""
+    return {
+        "faixa_atraso": _band(days_late(), DELINQUENCY_BANDS),
+        "faixa_prazo": _band(F.col("num_parcelas"), TERM_BANDS),
+    } | {k: F.col(c) for k, c in CUT_COLUMNS.items()}
+
+
+# The cuts a whole run needs.
+CUTS = (
+    ("faixa_atraso",),
+    ("faixa_prazo",),
+    ("rating",),
+    ("rating", "bhv"),
+    ("uf",),
+    ("especie", "profissao"),
+    ("especie", "situacao"),
+    ("canal", "situacao"),
+    ("safra",),
+)
+
+
+def _measures() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("contratos_n"),
+        sum_cents(F.col("principal")).alias("principal_c"),
+        n_over(60).alias("over60_n"),
+        n_over(90).alias("over90_n"),
+        F.sum(F.col("taxa_cliente") * F.col("principal")).alias("taxa_principal"),
+        F.sum("principal").alias("peso"),
+    ]
 
 
-def delinquency_bands(loans: DataFrame) -> DataFrame:
-    """Five bands of days late, with share and cumulative share; all bands present."""
-    counted = loans.groupBy(_band(days_late(), DELINQUENCY_BANDS).alias("ordem")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    total = counted.agg(F.sum("n").alias("n")).scalar()
-    running = Window.orderBy("ordem").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        _band_table(loans, DELINQUENCY_BANDS)
-        .join(counted, "ordem", "left")
-        .withColumn("contratos_n", F.coalesce("n", F.lit(0)).cast("bigint"))
-        .select(
-            "faixa",
-            "contratos_n",
-            pct(F.col("contratos_n"), total).alias("pct_carteira"),
-            pct(F.sum("contratos_n").over(running), total).alias("acumulado"),
-        )
-    )
+def loan_cut(loans: DataFrame, *keys: str) -> DataFrame:
+    """Counts and sums of one cut."""
+    known = cut_keys()
+    return loans.groupBy(*[known[k].alias(k) for k in keys]).agg(*_measures())
 
 
-def term_bands(loans: DataFrame) -> DataFrame:
-    """Seven term bands with count, principal and over-60 share; all bands present."""
-    counted = loans.groupBy(_band(F.col("num_parcelas"), TERM_BANDS).alias("ordem")).agg(
-        F.count(F.lit(1)).alias("n"), sum_cents(F.col("principal")).alias("p"), n_over(60).alias("o")
-    )
-    bands = _band_table(loans, TERM_BANDS).join(counted, "ordem", "left").na.fill(0, ["n", "p", "o"])
-    return bands.select(
-        "faixa",
-        F.col("n").alias("contratos_n"),
-        from_cents(F.col("p")).alias("principal"),
-        F.col("o").alias("over60_n"),
-        pct(F.col("o"), F.col("n")).alias("over60_pct"),
+def loan_cube(loans: DataFrame) -> DataFrame:
+    """All cuts of a run from one scan, told apart by ``corte``."""
+    keyed = loans.select(
+        *[c.alias(n) for n, c in cut_keys().items()], "principal", "taxa_cliente", "dias_maior_atraso"
     )
+    sets = [[F.col(k) for k in cut] for cut in CUTS]
+    return keyed.groupingSets(sets, *CUT_KEYS).agg(F.grouping_id().alias("corte"), *_measures())
 
 
-def _cut(loans: DataFrame, **keys: Column) -> DataFrame:
-    """Counts and principal of a cut, with the portfolio total beside every group."""
-    groups = loans.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
-        F.count(F.lit(1)).alias("contratos_n"),
-        sum_cents(F.col("principal")).alias("_p"),
-        n_over(60).alias("over60_n"),
-        n_over(90).alias("_o90"),
-        weighted_rate().alias("_rate"),
-    )
-    total = groups.agg(F.sum("_p").alias("t")).scalar()
-    return groups.withColumns(
+def cube_cut(cube: DataFrame, *keys: str) -> DataFrame:
+    """The rows of one cut; the grouping id has a bit set for every key left out."""
+    mask = sum(1 << i for i, k in enumerate(reversed(CUT_KEYS)) if k not in keys)
+    return cube.where(F.col("corte") == mask).drop("corte", *[k for k in CUT_KEYS if k not in keys])
+
+
+def shares(cut: DataFrame) -> DataFrame:
+    """Adds money, portfolio share and percentages to a cut.
+
+    The total is a window over the finished groups, so the loans are read once.
+    """
+    total = F.sum("principal_c").over(Window.partitionBy())
+    return cut.withColumns(
         {
-            "principal": from_cents(F.col("_p")),
-            "part_pct": pct(F.col("_p"), total),
+            "principal": from_cents(F.col("principal_c")),
+            "part_pct": pct(F.col("principal_c"), total),
             "over60_pct": pct(F.col("over60_n"), F.col("contratos_n")),
-            "over90_pct": pct(F.col("_o90"), F.col("contratos_n")),
-            "taxa_pond_pct": F.col("_rate") * 100,
+            "over90_pct": pct(F.col("over90_n"), F.col("contratos_n")),
+            "taxa_pond_pct": F.when(F.col("peso") > 0, F.col("taxa_principal") / F.col("peso")).otherwise(0.0) * 100,
         }
     )
 
 
+def _all_bands(cut: DataFrame, key: str, bands) -> DataFrame:
+    """Every band with its cut, zero where it is empty; values between bands come last.
+
+    Loans in no band keep a row without label, so totals over the frame cover all loans.
+    """
+    labels = inline_table(cut.sparkSession, f"{key}, faixa", [(i, b[0]) for i, b in enumerate(bands)])
+    return labels.join(cut, key, "full").na.fill(0)
+
+
+def delinquency_rows(cut: DataFrame) -> DataFrame:
+    rows = _all_bands(cut, "faixa_atraso", DELINQUENCY_BANDS)
+    n, everyone = F.col("contratos_n"), Window.partitionBy()
+    order = Window.orderBy(F.col("faixa").isNull(), "faixa_atraso")
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    return rows.select(
+        "faixa",
+        "contratos_n",
+        pct(n, F.sum(n).over(everyone)).alias("pct_carteira"),
+        pct(F.sum(n).over(running), F.sum(n).over(everyone)).alias("acumulado"),
+    ).where(F.col("faixa").isNotNull())
+
+
+def delinquency_bands(loans: DataFrame) -> DataFrame:
+    """Five bands of days late, with share and cumulative share; all bands present."""
+    return delinquency_rows(loan_cut(loans, "faixa_atraso"))
+
+
+def term_rows(cut: DataFrame) -> DataFrame:
+    rows = _all_bands(cut, "faixa_prazo", TERM_BANDS).where(F.col("faixa").isNotNull())
+    return rows.orderBy("faixa_prazo").select(
+        "faixa",
+        "contratos_n",
+        from_cents(F.col("principal_c")).alias("principal"),
+        "over60_n",
+        pct(F.col("over60_n"), F.col("contratos_n")).alias("over60_pct"),
+    )
+
+
+def term_bands(loans: DataFrame) -> DataFrame:
+    """Seven term bands with count, principal and over-60 share; all bands present."""
+    return term_rows(loan_cut(loans, "faixa_prazo"))
+
+
 PROFILE = ("contratos_n", "principal", "part_pct", "over60_n", "over60_pct")
 
 
+def rating_rows(cut: DataFrame) -> DataFrame:
+    return (
+        shares(cut)
+        .select("rating", "contratos_n", "principal", "over60_n", "over60_pct", "taxa_pond_pct", "part_pct")
+        .orderBy("rating")
+    )
+
+
 def rating_profile(loans: DataFrame) -> DataFrame:
-    cut = _cut(loans, rating=F.col("rating_concessao"))
-    return cut.select(
-        "rating", "contratos_n", "principal", "over60_n", "over60_pct", "taxa_pond_pct", "part_pct"
-    ).orderBy("rating")
+    """Counts, over-60 share, principal-weighted rate and share by rating."""
+    return rating_rows(loan_cut(loans, "rating"))
 
 
-def all_rated_flag(loans: DataFrame) -> DataFrame:
-    missing = F.bool_or(F.col("rating_concessao") == NOT_INFORMED)
-    return loans.agg((~F.coalesce(missing, F.lit(False))).alias("todos_rated"))
+def profile_rows(cut: DataFrame, *labels: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Counts and shares of a cut, largest principal first."""
+    return shares(cut).select(*labels, *PROFILE, *extra).orderBy(F.desc("principal"), *labels)
 
 
-def profile(loans: DataFrame, col: str, label: str) -> DataFrame:
-    """Counts and shares by one attribute, largest principal first."""
-    return _cut(loans, **{label: F.col(col)}).select(label, *PROFILE).orderBy(F.desc("principal"), label)
+def profile(loans: DataFrame, key: str) -> DataFrame:
+    return profile_rows(loan_cut(loans, key), key)
 
 
 def state_profile(loans: DataFrame) -> DataFrame:
-    return profile(loans, "uf", "uf")
+    return profile(loans, "uf")
 
 
-def segment_column(loans: DataFrame) -> DataFrame:
-    """One row: the attribute the segment profile uses and its label."""
-    informed = F.coalesce(F.bool_or(F.col("especie_beneficio") != NOT_INFORMED), F.lit(False))
-    return loans.agg(
-        F.when(informed, "especie_beneficio").otherwise("profissao").alias("coluna"),
-        F.when(informed, "especie").otherwise("profissao").alias("rotulo"),
+def segment_rows(cut: DataFrame) -> DataFrame:
+    """Roll a species x profession cut up to species when any loan has one, else to profession."""
+    informed = F.bool_or(F.col("especie") != NOT_INFORMED).over(Window.partitionBy())
+    sums = [c for c in cut.columns if c not in ("especie", "profissao")]
+    chosen = cut.withColumn("_especie", informed).groupBy(
+        F.when(F.col("_especie"), "especie").otherwise("profissao").alias("rotulo"),
+        F.when(F.col("_especie"), F.col("especie")).otherwise(F.col("profissao")).alias("perfil"),
     )
+    return profile_rows(chosen.agg(*[F.sum(c).alias(c) for c in sums]), "rotulo", "perfil")
 
 
 def segment_profile(loans: DataFrame) -> DataFrame:
     """Profile by benefit species when any loan has one, else by profession."""
-    label = segment_column(loans).select("rotulo").scalar()
-    segment = F.when(label == "especie", F.col("especie_beneficio")).otherwise(F.col("profissao"))
-    return (
-        _cut(loans, perfil=segment)
-        .select(label.alias("rotulo"), "perfil", *PROFILE)
-        .orderBy(F.desc("principal"), "perfil")
-    )
+    return segment_rows(loan_cut(loans, "especie", "profissao"))
+
+
+def cross_rows(cut: DataFrame, label: str) -> DataFrame:
+    return profile_rows(cut, label, "situacao", extra=("over90_pct",))
+
+
+def cross_profile(loans: DataFrame, label: str) -> DataFrame:
+    """Counts and shares by an attribute and the benefit status."""
+    return cross_rows(loan_cut(loans, label, "situacao"), label)
+
+
+MATRIX_MEASURES = ("contratos_n", "principal", "part_pct", "over60_n", "over60_pct")
 
 
-def cross_profile(loans: DataFrame, group: str, status: str, label: str) -> DataFrame:
-    """Counts and shares by an attribute and a status, largest principal first."""
-    cut = _cut(loans, **{label: F.col(group), "situacao": F.col(status)})
-    return cut.select(label, "situacao", *PROFILE, "over90_pct").orderBy(
-        F.desc("principal"), label, "situacao"
+def matrix_rows(cut: DataFrame) -> DataFrame:
+    """Every rating with every behaviour score, absent pairs filled with zero."""
+    scores = F.collect_set("bhv").over(Window.partitionBy())
+    cell = F.struct(F.col("bhv"), F.struct(*MATRIX_MEASURES).alias("m"))
+    return (
+        shares(cut)
+        .withColumn("notas", scores)
+        .groupBy("rating")
+        .agg(F.any_value("notas").alias("notas"), F.map_from_entries(F.collect_list(cell)).alias("celulas"))
+        .select("rating", F.explode("notas").alias("bhv"), "celulas")
+        .withColumn("m", F.try_element_at("celulas", F.col("bhv")))
+        .select("rating", "bhv", *[F.col(f"m.{c}").alias(c) for c in MATRIX_MEASURES])
+        .na.fill(0)
     )
 
 
 def rating_matrix(loans: DataFrame) -> DataFrame:
-    """Every rating with every behaviour score, absent pairs filled with zero."""
-    cut = _cut(loans, rating=F.col("rating_concessao"), bhv=F.col("bhv_m"))
-    scores = cut.agg(F.collect_set("bhv").alias("bhvs")).scalar()
-    pairs = cut.select("rating").distinct().select("rating", F.explode(scores).alias("bhv"))
-    measures = ("contratos_n", "principal", "part_pct", "over60_n", "over60_pct")
-    return pairs.join(cut.select("rating", "bhv", *measures), ["rating", "bhv"], "left").na.fill(0, list(measures))
+    return matrix_rows(loan_cut(loans, "rating", "bhv"))
 
 
 def matrix_over60(matrix: DataFrame) -> DataFrame:
@@ -214,11 +335,3 @@ def future_due_schedule(loans: DataFrame, p: Params) -> DataFrame:
     """Total instalments still to come, per month."""
     return due_schedule(future_flow(loans, p))
 
-
-def exposure_at_default(loans: DataFrame) -> DataFrame:
-    """Instalment times term at origination, in total and for loans over 60 days late."""
-    exposure = cents(F.col("pmt")) * F.col("num_parcelas")
-    return loans.agg(
-        from_cents(F.coalesce(F.sum(exposure), F.lit(0))).alias("ead_total"),
-        from_cents(F.coalesce(F.sum(F.when(days_late() > 60, exposure)), F.lit(0))).alias("ead_inadimplente"),
-    )

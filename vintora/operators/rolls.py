@@ -2,9 +2,9 @@
 
 A contract's state (instalments paid, oldest unpaid due date) changes only at its own
 events, so it is kept as month intervals instead of a contract x month grid. Intervals
-are built per contract after the events were added up per contract and date, which
-bounds the rows any contract brings to a window by the number of dates in the calendar,
-however many instalments it owns. Months are expanded last, right before a partial
+are built per contract after the instalments were added up per contract and dates, which
+bounds the rows any contract brings to a window by the calendar, however many
+instalments it owns. Months are expanded last, right before a partial
 aggregation.
 """
 
@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vintora.functions.calendar import ceil_month, dpd_bucket, floor_month, month_range, year_month
 from vintora.functions.numbers import cents, from_cents
-from vintora.params import BUCKETS, LTM_LABEL, NOT_INFORMED, ROLLS, Params
+from vintora.operators.portfolio import book_totals
+from vintora.params import BUCKETS, LTM_LABEL, ROLLS, Params
 
 ONE_MONTH = 1
 
@@ -25,15 +26,16 @@ def last_month(p: Params) -> Column:
 
 def first_month(loans: DataFrame) -> Column:
     """First day of the earliest known vintage, as a scalar subquery."""
-    known = loans.where(F.col("safra") != NOT_INFORMED)
-    return known.agg(floor_month(F.min("data_aquisicao")).alias("m")).scalar()
+    return book_totals(loans).select("primeiro_mes").scalar()
+
+
+def spine_rows(totals: DataFrame, p: Params) -> DataFrame:
+    return totals.select(F.explode(month_range(F.col("primeiro_mes"), last_month(p))).alias("cal"))
 
 
 def month_spine(loans: DataFrame, p: Params) -> DataFrame:
     """Every first-of-month from the earliest vintage to the snapshot."""
-    known = loans.where(F.col("safra") != NOT_INFORMED)
-    start = known.agg(floor_month(F.min("data_aquisicao")).alias("m"))
-    return start.select(F.explode(month_range(F.col("m"), last_month(p))).alias("cal"))
+    return spine_rows(book_totals(loans), p)
 
 
 def dated(inst: DataFrame) -> DataFrame:
@@ -103,24 +105,17 @@ def cumulative_payments(loans: DataFrame, inst: DataFrame, p: Params) -> DataFra
 
 
 def contract_events(inst: DataFrame, p: Params) -> DataFrame:
-    """Two event kinds per contract, added up by date in one aggregation.
+    """Instalments per contract, due date and effective payment month.
 
-    ``D``: a due date with the last month any of its instalments was still unpaid.
-    ``P``: an effective payment month with its number of payments.
+    ``ate`` is the last month an instalment stayed unpaid and ``n`` the payments. The
+    map-side aggregation leaves a contract at most one row per pair of dates and task.
     """
-    due, paid = F.col("data_vencimento"), F.col("data_pagamento")
-    paid_month = ceil_month(paid)
-    unpaid_until = F.coalesce(F.add_months(paid_month, -ONE_MONTH), last_month(p))
-    due_event = F.struct(F.lit("D").alias("tipo"), due.alias("dia"), unpaid_until.alias("ate"), F.lit(0).alias("n"))
-    paid_event = F.struct(
-        F.lit("P").alias("tipo"), paid_month.alias("dia"), F.lit(None).cast("date").alias("ate"), F.lit(1).alias("n")
-    )
-    events = F.when(paid.isNull(), F.array(due_event)).otherwise(F.array(due_event, paid_event))
+    paid_month = ceil_month(F.col("data_pagamento"))
     return (
         dated(inst)
-        .select("id_contrato", F.inline(events))
-        .groupBy("id_contrato", "tipo", "dia")
-        .agg(F.max("ate").alias("ate"), F.sum("n").alias("n"))
+        .groupBy("id_contrato", F.col("data_vencimento").alias("venc"), paid_month.alias("mes_pago"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("ate", F.coalesce(F.add_months("mes_pago", -ONE_MONTH), last_month(p)))
     )
 
 
@@ -129,34 +124,26 @@ def overdue_runs(events: DataFrame, start: Column, p: Params) -> DataFrame:
 
     Due dates are taken in order. An earlier date that is still unpaid hides a later
     one, so a date rules only the months after the latest month any earlier date stayed
-    unpaid. The resulting runs of one contract never overlap.
+    unpaid. The resulting runs ``lo..hi`` of one contract never overlap.
     """
-    is_due = F.col("tipo") == "D"
-    earlier = (
-        Window.partitionBy("id_contrato").orderBy("tipo", "dia").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    hidden_until = F.max("ate").over(earlier)
-    return (
-        events.withColumn("oculto_ate", hidden_until)
-        .withColumn("primeiro", is_due & F.col("oculto_ate").isNull())
-        .withColumn(
-            "lo",
-            F.when(
-                is_due,
-                F.greatest(ceil_month(F.col("dia")), start, F.add_months("oculto_ate", ONE_MONTH)),
-            ),
-        )
-        .withColumn("hi", F.when(is_due, F.least(F.col("ate"), last_month(p))))
+    earlier = Window.partitionBy("id_contrato").orderBy("venc", "ate").rowsBetween(Window.unboundedPreceding, -1)
+    visible_from = F.add_months("oculto_ate", ONE_MONTH)
+    return events.withColumn("oculto_ate", F.max("ate").over(earlier)).withColumns(
+        {
+            "primeiro": F.col("oculto_ate").isNull(),
+            "lo": F.greatest(ceil_month(F.col("venc")), start, visible_from),
+            "hi": F.least(F.col("ate"), last_month(p)),
+        }
     )
 
 
 def oldest_unpaid_due(loans: DataFrame, inst: DataFrame, p: Params) -> DataFrame:
     """Oldest due and unpaid date for every contract x month that has one."""
-    runs = overdue_runs(contract_events(inst, p), first_month(loans), p).where("tipo = 'D' and lo <= hi")
+    runs = overdue_runs(contract_events(inst, p), first_month(loans), p).where("lo <= hi")
     return runs.select(
         "id_contrato",
         F.explode(month_range(F.col("lo"), F.col("hi"))).alias("cal"),
-        F.col("dia").alias("min_unpaid_due"),
+        F.col("venc").alias("min_unpaid_due"),
     )
 
 
@@ -181,13 +168,12 @@ def contract_states(inst: DataFrame, start: Column, p: Params) -> DataFrame:
 
     none, zero = F.lit(None), F.lit(0)
     overdue = F.col("lo") <= F.col("hi")
-    in_spine = F.col("dia").between(start, end)
     changes = F.array_compact(
         F.array(
-            change(F.col("primeiro"), F.greatest(ceil_month(F.col("dia")), start), 0, zero, none, True),
+            change(F.col("primeiro"), F.greatest(ceil_month(F.col("venc")), start), 0, zero, none, True),
             change(overdue, F.add_months("hi", ONE_MONTH), 1, zero, clear, False),
-            change(overdue, F.col("lo"), 2, zero, F.col("dia"), False),
-            change((F.col("tipo") == "P") & in_spine, F.col("dia"), 3, F.col("n"), none, False),
+            change(overdue, F.col("lo"), 2, zero, F.col("venc"), False),
+            change(F.col("mes_pago").between(start, end), F.col("mes_pago"), 3, F.col("n"), none, False),
         )
     )
     timeline = Window.partitionBy("id_contrato").orderBy("cal", "ordem")
@@ -210,12 +196,13 @@ def contract_states(inst: DataFrame, start: Column, p: Params) -> DataFrame:
     )
 
 
-def balance_states(loans: DataFrame, inst: DataFrame, p: Params) -> DataFrame:
+def balance_states(loans: DataFrame, inst: DataFrame, p: Params, start: Column | None = None) -> DataFrame:
     """Contract states with the outstanding balance in cents."""
+    start = first_month(loans) if start is None else start
     terms = loans.select("id_contrato", cents(F.col("pmt")).alias("pmt_c"), "num_parcelas")
     left = F.greatest(F.col("num_parcelas") - F.col("pagas"), F.lit(0))
     return (
-        contract_states(inst, first_month(loans), p)
+        contract_states(inst, start, p)
         .join(terms, "id_contrato")
         .withColumn("saldo_c", F.col("pmt_c") * left)
     )
@@ -237,11 +224,11 @@ def outstanding_balance_bucket(loans: DataFrame, inst: DataFrame, p: Params) ->
     )
 
 
-def aging_cells(loans: DataFrame, inst: DataFrame, p: Params) -> DataFrame:
+def aging_cells(loans: DataFrame, inst: DataFrame, p: Params, start: Column | None = None) -> DataFrame:
     """Cents of balance per month and bucket; contracts without balance are not expanded."""
     months = F.explode(month_range(F.col("de"), F.col("ate"))).alias("cal")
     return (
-        balance_states(loans, inst, p)
+        balance_states(loans, inst, p, start)
         .where("saldo_c <> 0")
         .select(months, "saldo_c", "mais_antiga")
         .groupBy("cal", month_bucket().alias("bucket"))

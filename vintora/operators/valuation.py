@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vintora.functions.numbers import from_cents, pct, ratio
-from vintora.operators.portfolio import days_late, n_over
+from vintora.operators.portfolio import loan_cut
 from vintora.params import Params
 
 
+def default_rows(cut: DataFrame) -> DataFrame:
+    return cut.select("safra", ratio(F.col("over60_n"), F.col("contratos_n")).alias("pd"))
+
+
 def pd_by_vintage(loans: DataFrame) -> DataFrame:
     """Share of contracts over 60 days late per vintage, unknown vintage included."""
-    return loans.groupBy("safra").agg(ratio(F.count_if(days_late() > 60), F.count(F.lit(1))).alias("pd"))
+    return default_rows(loan_cut(loans, "safra"))
 
 
 def lgd(ltm: DataFrame) -> Column:
@@ -66,14 +70,6 @@ def net_future_flow(flow: DataFrame, default_rates: DataFrame, ltm: DataFrame) -
     return sums.withColumn("fluxo_liquido", F.col("pmt_bruto_futuro") - F.col("perda_estimada"))
 
 
-def default_share(loans: DataFrame) -> DataFrame:
-    """One row: over-60 share and principal of the whole book."""
-    return loans.agg(
-        ratio(n_over(60), F.count(F.lit(1))).alias("over60_pct"),
-        F.coalesce(F.sum("principal"), F.lit(0.0)).alias("principal_total"),
-    )
-
-
 def expected_loss_row(kpis: DataFrame, ead: DataFrame, ltm: DataFrame) -> DataFrame:
     """One row of PD, EAD, LGD and PE."""
     return (
@@ -212,12 +208,16 @@ def _npv_long(npv: DataFrame) -> DataFrame:
     return npv.select(F.inline(F.array(*rows)))
 
 
-def run_metadata(segment: DataFrame, rated: DataFrame, ltm: DataFrame, p: Params) -> DataFrame:
+def run_metadata(totals: DataFrame, ltm: DataFrame, p: Params) -> DataFrame:
     """Facts about the run: rating completeness, profile used, efficiencies, rates."""
-    facts = segment.withColumn("rated", rated.select("todos_rated").scalar())
-    facts = facts.withColumns({e: ltm.select(e).scalar() for e in ("effic60", "effic90")})
+    facts = totals.select(
+        F.initcap(F.col("todos_rated").cast("string")).alias("rated"),
+        F.when(F.col("tem_especie"), "especie_beneficio").otherwise("profissao").alias("coluna"),
+        F.when(F.col("tem_especie"), "especie").otherwise("profissao").alias("rotulo"),
+        *[ltm.select(e).scalar().alias(e) for e in ("effic60", "effic90")],
+    )
     values = {
-        "todos_rated": F.initcap(F.col("rated").cast("string")),
+        "todos_rated": F.col("rated"),
         "col_perfil_usada": F.col("coluna"),
         "label_perfil": F.col("rotulo"),
         "effic60_ltm_pct": _text(F.col("effic60") * 100, 4),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from vintora.functions.numbers import round_columns
 from vintora.operators import cohorts, curves, portfolio, rolls, valuation
@@ -12,7 +12,7 @@ from vintora.params import Params
 from vintora.sources.normalise import normalise_loans
 from vintora.sources.readers import portfolio_meta, read_loans, read_renegotiations, renegotiated_ids
 from vintora.sources.sinks import export_bundle, stage_installments
-from vintora.sources.workspace import materialise
+from vintora.sources.workspace import materialise, together
 
 # Decimals of the exported columns.
 EXPORT_DECIMALS = {
@@ -48,77 +48,84 @@ def export_rounded(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Facts:
-    """Small shared intermediates; their sizes are bounded by the calendar."""
+    """Shared intermediates of a run; their sizes are bounded by calendar and categories."""
 
-    kpis: DataFrame
-    ead: DataFrame
+    totals: DataFrame
+    cube: DataFrame
+    flow: DataFrame
     cells: DataFrame
-    principals: DataFrame
     aging: DataFrame
-    flow: DataFrame
-    default_rates: DataFrame
-    term: DataFrame
-
-    def principal_total(self) -> Column:
-        return self.kpis.select("principal_total").scalar()
-
-
-def lazy_facts(loans: DataFrame, inst: DataFrame, reneg_ids: DataFrame, p: Params) -> Facts:
-    return Facts(
-        kpis=portfolio.portfolio_kpis(loans, reneg_ids),
-        ead=portfolio.exposure_at_default(loans),
-        cells=cohorts.cohort_cells(loans, inst, p),
-        principals=cohorts.vintage_principal(loans),
-        aging=rolls.aging_balance(loans, inst, p),
-        flow=portfolio.future_flow(loans, p),
-        default_rates=valuation.pd_by_vintage(loans),
-        term=curves.max_term(loans),
-    )
+    fpd: DataFrame
 
 
-def stored_facts(facts: Facts) -> Facts:
-    """Compute every shared intermediate once and keep it on shared storage.
+def book_facts(loans: DataFrame, inst: DataFrame, p: Params, store: bool = True) -> Facts:
+    """Everything that reads the book: six jobs, three of them over the instalments.
 
-    The instalments are then scanned twice per run (cohort cells, aging) plus once,
-    filtered to first instalments, for the first-payment default.
+    With ``store`` the results are kept on shared storage, so the result tables never go
+    back to the book. The jobs do not depend on each other and are submitted together.
     """
-    return Facts(**{name: materialise(getattr(facts, name), name) for name in facts.__dataclass_fields__})
+    keep = materialise if store else (lambda df, name: df)
+    totals = keep(portfolio.book_totals(loans), "totals")
+    start = totals.select("primeiro_mes").scalar()
+    lazy = {
+        "cube": portfolio.loan_cube(loans),
+        "flow": portfolio.future_flow(loans, p),
+        "cells": cohorts.cohort_cells(loans, inst, p),
+        "aging": rolls.aging_from_cells(rolls.aging_cells(loans, inst, p, start), rolls.spine_rows(totals, p)),
+        "fpd": cohorts.first_payment_default(loans, inst),
+    }
+    return Facts(totals=totals, **together({name: lambda n=name: keep(lazy[n], n) for name in lazy}))
 
 
-def results(loans: DataFrame, inst: DataFrame, facts: Facts, meta: DataFrame, p: Params) -> dict[str, DataFrame]:
+def results(facts: Facts, reneg_ids: DataFrame, meta: DataFrame, p: Params, store: bool = True) -> dict[str, DataFrame]:
     """The twenty result tables, unrounded where rounding is left to the export."""
+    keep = materialise if store else (lambda df, name: df)
+    totals = facts.totals
+
+    def cut(*keys: str) -> DataFrame:
+        return portfolio.cube_cut(facts.cube, *keys)
+
     chained = rolls.chain_efficiency(rolls.roll_rates(facts.aging))
-    ltm = rolls.ltm_averages(chained, p)
-    months = curves.vintage_months(facts.cells, facts.principals, facts.term, p)
-    groups = curves.risk_groups(months, p)
+    vintages = cut("safra")
+    small = together(
+        {
+            "kpis": lambda: keep(portfolio.kpi_row(totals, reneg_ids), "kpis"),
+            "ltm": lambda: keep(rolls.ltm_averages(chained, p), "ltm"),
+            "months": lambda: keep(curves.vintage_months(facts.cells, cohorts.vintage_rows(vintages), totals, p), "months"),
+        }
+    )
+    kpis, ltm, months = small["kpis"], small["ltm"], small["months"]
+    groups = keep(curves.risk_groups(months, p), "groups")
     decay = curves.revenue_decay(groups, p)
-    shapes = curves.shape_decay_fill(curves.group_shape_raw(months, groups, facts.term, p), decay, p)
-    curve = curves.project_curves(months, groups, shapes, p)
-    npv = valuation.npv_grid(facts.flow, facts.default_rates, ltm, facts.principal_total(), p)
-    net = valuation.net_future_flow(facts.flow, facts.default_rates, ltm)
-    matrix = portfolio.rating_matrix(loans)
-    segment = portfolio.segment_column(loans)
+    shapes = curves.shape_decay_fill(curves.group_shape_raw(months, groups, totals, p), decay, p)
+    curve = keep(curves.project_curves(months, groups, shapes, p), "curves")
+    principal = totals.select("principal_total").scalar()
+    default_rates = valuation.default_rows(vintages)
+    ead = portfolio.exposure_row(totals)
+    npv = valuation.npv_grid(facts.flow, default_rates, ltm, principal, p)
+    net = valuation.net_future_flow(facts.flow, default_rates, ltm)
+    matrix = portfolio.matrix_rows(cut("rating", "bhv"))
     return {
-        "kpis": valuation.kpi_long(facts.kpis, meta, ltm, facts.ead, npv, net),
-        "faixas_atraso": portfolio.delinquency_bands(loans),
-        "faixas_prazo": portfolio.term_bands(loans),
-        "rating": portfolio.rating_profile(loans),
-        "uf": portfolio.state_profile(loans),
-        "perfil": portfolio.segment_profile(loans),
-        "especie_situacao": portfolio.cross_profile(loans, "especie_beneficio", "situacao_beneficio", "especie"),
-        "canal_situacao": portfolio.cross_profile(loans, "canal_originacao", "situacao_beneficio", "canal"),
-        "fpd_safras": cohorts.first_payment_default(loans, inst),
+        "kpis": valuation.kpi_long(kpis, meta, ltm, ead, npv, net),
+        "faixas_atraso": portfolio.delinquency_rows(cut("faixa_atraso")),
+        "faixas_prazo": portfolio.term_rows(cut("faixa_prazo")),
+        "rating": portfolio.rating_rows(cut("rating")),
+        "uf": portfolio.profile_rows(cut("uf"), "uf"),
+        "perfil": portfolio.segment_rows(cut("especie", "profissao")),
+        "especie_situacao": portfolio.cross_rows(cut("especie", "situacao"), "especie"),
+        "canal_situacao": portfolio.cross_rows(cut("canal", "situacao"), "canal"),
+        "fpd_safras": facts.fpd,
         "vencimentario": portfolio.due_schedule(facts.flow),
-        "comportamento_pagamento": cohorts.behaviour_from_cells(facts.cells, facts.principals),
+        "comportamento_pagamento": cohorts.behaviour_from_cells(facts.cells, cohorts.vintage_rows(vintages)),
         "rolagens": rolls.roll_table(chained, ltm),
         "vpl_cenarios": npv,
-        "parametros_pe": valuation.expected_loss(facts.kpis, facts.ead, ltm),
+        "parametros_pe": valuation.expected_loss(kpis, ead, ltm),
         "perda_acumulada": curves.loss_curve(curve),
         "receita_acumulada": curves.revenue_curve(curve),
         "safras_meta": curves.vintage_summary(curve, decay),
         "matriz_over60": portfolio.matrix_over60(matrix),
         "matriz_saldo": portfolio.matrix_balance(matrix),
-        "meta_execucao": valuation.run_metadata(segment, portfolio.all_rated_flag(loans), ltm, p),
+        "meta_execucao": valuation.run_metadata(totals, ltm, p),
     }
 
 
@@ -137,8 +144,7 @@ def run_portfolio(
     """
     if meta is None:
         meta = default_meta(loans.sparkSession, p)
-    facts = lazy_facts(loans, inst, reneg_ids, p)
-    tables = results(loans, inst, stored_facts(facts) if store else facts, meta, p)
+    tables = results(book_facts(loans, inst, p, store), reneg_ids, meta, p, store)
     return {name: export_rounded(df) for name, df in tables.items()}
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vintora.sources.normalise import normalise_installments
 from vintora.sources.readers import read_text_table
-from vintora.sources.workspace import materialise
+from vintora.sources.workspace import together
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -32,17 +32,24 @@ def stage_installments(spark: SparkSession, src: str, dst: str, sep: str = ";")
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """Write one result table; an empty one is skipped and reported as False."""
-    kept = materialise(df, "result")
-    if kept.isEmpty():
-        return False
-    writer = kept.write.mode("overwrite")
-    if fmt == "csv":
-        writer = writer.option("header", True).option("sep", ";").option("encoding", "UTF-8")
-    writer.format(fmt).save(path)
-    return True
+    """Write one result table; an empty one is skipped and reported as False.
+
+    The table is persisted, so the emptiness test and the write compute it once.
+    """
+    kept = df.persist()
+    try:
+        if kept.isEmpty():
+            return False
+        writer = kept.write.mode("overwrite")
+        if fmt == "csv":
+            writer = writer.option("header", True).option("sep", ";").option("encoding", "UTF-8")
+        writer.format(fmt).save(path)
+        return True
+    finally:
+        kept.unpersist()
 
 
 def export_bundle(results: Mapping[str, DataFrame], path: str, fmt: str = "parquet") -> dict[str, bool]:
     """Write every result table of a run under one folder."""
-    return {name: write_result(df, f"{path.rstrip('/')}/{name}", fmt) for name, df in results.items()}
+    folder = path.rstrip("/")
+    return together({n: lambda n=n: write_result(results[n], f"{folder}/{n}", fmt) for n in results})

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder the cluster names in ``spark.checkpoint.dir``; local only if unset."""
@@ -28,3 +34,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Submit independent Spark jobs from several driver threads and wait for all.
+
+    Spark runs their stages side by side, so small jobs do not queue behind each other.
+    """
+    spark = SparkSession.active()
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        futures = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
