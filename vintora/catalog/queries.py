@@ -170,8 +170,17 @@ def table_profile(spark, sf_dir):
 # --- projections and scalar functions --------------------------------------
 
 
+def stored_text(df: DataFrame, name: str) -> DataFrame:
+    """The text table as an input on storage, so queries time the parsing alone."""
+    return materialise(readers.norm_columns(df), name)
+
+
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.norm_id_alias(readers.norm_columns(book.messy_loans(spark, sf_dir)))
+    return readers.norm_id_alias(stored_text(book.messy_loans(spark, sf_dir), "texto-loans"))
+
+
+def messy_inst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_text(book.messy_installments(spark, sf_dir), "texto-inst")
 
 
 @register(
@@ -219,9 +228,8 @@ def dated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("id_contrato").cast("bigint")
     t = book.installments(spark, sf_dir)
     bad = F.when(key % 10 == 8, "13/13/2026").when(key % 10 == 9, "not-a-date")
-    return t.select(
-        "id_contrato", "id_parcela", F.coalesce(bad, book.date_style(F.col("data_vencimento"), key % 4)).alias("texto")
-    )
+    written = F.coalesce(bad, book.date_style(F.col("data_vencimento"), key % 4)).alias("texto")
+    return stored_text(t.select("id_contrato", "id_parcela", written), "texto-datas")
 
 
 @register(
@@ -365,12 +373,12 @@ SELECT id_contrato, {o.styled('principal', 'k % 5')} AS principal, {o.styled('pm
 
 @register("normalise_loans", TYPED_LOANS_SQL)
 def normalise_loans(spark, sf_dir):
-    return normalise.normalise_loans(readers.norm_columns(book.messy_loans(spark, sf_dir)))
+    return normalise.normalise_loans(messy(spark, sf_dir))
 
 
 @register("normalise_installments", TYPED_INST_SQL)
 def normalise_installments(spark, sf_dir):
-    return normalise.normalise_installments(readers.norm_columns(book.messy_installments(spark, sf_dir)))
+    return normalise.normalise_installments(messy_inst(spark, sf_dir))
 
 
 @register(
@@ -394,9 +402,8 @@ def normalise_renegotiations(spark, sf_dir):
        UNION ALL SELECT 'INSTALLMENTS', 'data_vencimento', 0, 0, count(*) FROM b_inst""",
 )
 def cleaning_report(spark, sf_dir):
-    raw = readers.norm_columns(book.messy_installments(spark, sf_dir))
     return normalise.cleaning_report(
-        raw, "INSTALLMENTS", numbers=["valor_parcela", "valor_pago", "dias_atraso"], dates=["data_vencimento"]
+        messy_inst(spark, sf_dir), "INSTALLMENTS", numbers=["valor_parcela", "valor_pago", "dias_atraso"], dates=["data_vencimento"]
     )
 
 
@@ -889,7 +896,7 @@ def raw_book(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
             "tipo_produto": F.when(key % 7 == 0, "Crédito CONSIGNADO").otherwise("Pessoal"),
         }
     )
-    inst = readers.norm_columns(book.messy_installments(spark, sf_dir))
+    inst = messy_inst(spark, sf_dir)
     line = norm_id(F.col("id_contrato")).cast("bigint")
     inst = inst.withColumns(
         {

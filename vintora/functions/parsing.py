@@ -8,8 +8,8 @@ from vintora.params import NOT_INFORMED
 
 WHITESPACE = " \t\n\r\x0b\x0c"
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-SLASH_DATE = r"^\d{1,2}/\d{1,2}/\d{4}$"
-DASH_DATE = r"^\d{4}-\d{1,2}-\d{1,2}(\s+([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d)?$"
+SLASH_DATE = r"^\d{1,2}/\d{1,2}/(?!0000)\d{4}$"
+DASH_DATE = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}(\s+([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d)?$"
 
 # Texts that stand for "no date" and "no category".
 BLANK_DATES = ("", "nan", "None", "NaT")
@@ -68,12 +68,17 @@ def date_text_is_blank(c: Column) -> Column:
 
 
 def norm_date(c: Column) -> Column:
-    """``d/m/yyyy``, ``yyyy-m-d`` or ``yyyy-m-d h:m:s``; anything else is null."""
+    """``d/m/yyyy``, ``yyyy-m-d`` or ``yyyy-m-d h:m:s``; anything else is null.
+
+    The patterns decide the shape and the cast to date rejects impossible days.
+    """
     text = F.substring(clean_text(c), 1, 19)
-    day_first = F.when(text.rlike(SLASH_DATE), F.try_to_date(text, "d/M/yyyy"))
-    day = F.regexp_extract(text, r"^(\S+)", 1)
-    year_first = F.when(text.rlike(DASH_DATE), F.try_to_date(day, "yyyy-M-d"))
-    return F.coalesce(day_first, year_first)
+    year, month, day = (F.split_part(text, F.lit("/"), F.lit(i)) for i in (3, 2, 1))
+    return (
+        F.when(text.rlike(SLASH_DATE), F.concat_ws("-", year, month, day))
+        .when(text.rlike(DASH_DATE), F.regexp_extract(text, r"^\S+", 0))
+        .try_cast("date")
+    )
 
 
 def date_status(c: Column) -> Column:

@@ -42,8 +42,12 @@ def first_payment_default(loans: DataFrame, inst: DataFrame) -> DataFrame:
     has_first = F.col("p1_aberta").isNotNull()
     is_fpd = has_first & (F.col("p1_aberta") | (F.col("p1_dias") > 30))
     n, value = F.count(F.lit(1)), F.col("principal")
+    loans = loans.select("id_contrato", "safra", "principal")
+    # Loans without an id match nothing; kept out of the join they cannot pile up in one task.
+    matched = loans.where(F.col("id_contrato").isNotNull()).join(first_instalment_state(inst), "id_contrato", "left")
+    anonymous = loans.where(F.col("id_contrato").isNull())
     per_vintage = (
-        loans.join(first_instalment_state(inst), "id_contrato", "left")
+        matched.unionByName(anonymous, allowMissingColumns=True)
         .groupBy("safra")
         .agg(
             n.alias("contratos_n"),
