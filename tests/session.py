@@ -11,7 +11,7 @@ def session(cores: str = "8") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("vintora")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")

@@ -11,6 +11,7 @@ from tests.books import loan, make_loans
 from vintora.operators import curves
 from vintora.operators.portfolio import book_totals
 from vintora.params import Params
+from vintora.sources.workspace import materialise
 
 P = Params.at("2021-12")
 GROUPS = ("alto", "medio", "baixo")
@@ -33,10 +34,12 @@ def totals_frame(spark, term):
 
 def chain(spark, cells, principals, term):
     totals = totals_frame(spark, term)
-    months = curves.vintage_months(cells_frame(spark, cells), principals_frame(spark, principals), totals, P)
-    groups = curves.risk_groups(months, P)
+    months = materialise(
+        curves.vintage_months(cells_frame(spark, cells), principals_frame(spark, principals), totals, P), "months"
+    )
+    groups = materialise(curves.risk_groups(months, P), "groups")
     decay = curves.revenue_decay(groups, P)
-    shapes = curves.group_shapes(months, groups, totals, P)
+    shapes = materialise(curves.group_shapes(months, groups, totals, P), "shapes")
     return months, groups, decay, shapes, curves.project_curves(months, groups, shapes, P)
 
 

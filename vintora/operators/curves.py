@@ -5,6 +5,8 @@ Inputs are vintage x MOB cells, whose number is bounded by the calendar.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vintora.functions.calendar import int_range
@@ -50,9 +52,14 @@ def survival_factor(months: DataFrame) -> DataFrame:
     return months.where("limpo").select("safra", "mob", "perda_acum", "sobrevivencia")
 
 
+def at_clean_mob(p: Params) -> Column:
+    """The row of a mature vintage that holds its whole clean loss."""
+    return (F.col("mob") == F.col("mob_limpo")) & (F.col("mob_limpo") >= p.mature_mob)
+
+
 def realised_loss_final(months: DataFrame, p: Params) -> DataFrame:
     """Cumulative loss at the clean MOB of mature vintages."""
-    return months.where((F.col("mob") == F.col("mob_limpo")) & (F.col("mob_limpo") >= p.mature_mob)).select(
+    return months.where(at_clean_mob(p)).select(
         "safra", "mob_limpo", F.col("perda_acum").alias("perda_realizada")
     )
 
@@ -64,22 +71,15 @@ def risk_groups(months: DataFrame, p: Params) -> DataFrame:
     rest are ``medio`` without feeding any shape. With fewer, every vintage is ``alto``
     and feeds all groups.
     """
-    final = realised_loss_final(months, p)
-    cuts = final.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile("perda_realizada", F.array(*[F.lit(q) for q in p.group_quantiles])).alias("q"),
-        ).alias("cortes")
-    ).scalar()
+    everyone = Window.partitionBy()
     loss, mature = F.col("perda_realizada"), F.col("perda_realizada").isNotNull()
-    low, high = F.col("cortes")["q"][0], F.col("cortes")["q"][1]
-    by_loss = F.when(loss >= high, "alto").when(loss >= low, "medio").otherwise("baixo")
-    enough = F.col("cortes")["n"] >= 3
+    cuts = F.percentile("perda_realizada", F.array(*[F.lit(q) for q in p.group_quantiles]))
+    by_loss = F.when(loss >= F.col("q")[1], "alto").when(loss >= F.col("q")[0], "medio").otherwise("baixo")
+    enough = F.col("n") >= 3
     return (
-        months.where("mob = 1")
-        .select("safra", "principal_c", "mob_limpo")
-        .join(final.select("safra", "perda_realizada"), "safra", "left")
-        .withColumn("cortes", cuts)
+        months.groupBy("safra", "principal_c", "mob_limpo")
+        .agg(F.max(F.when(at_clean_mob(p), F.col("perda_acum"))).alias("perda_realizada"))
+        .withColumns({"n": F.count("perda_realizada").over(everyone), "q": cuts.over(everyone)})
         .select(
             "safra",
             "principal_c",
@@ -96,17 +96,18 @@ def risk_groups(months: DataFrame, p: Params) -> DataFrame:
 
 def revenue_decay(groups: DataFrame, p: Params) -> DataFrame:
     """Monthly revenue decay per group from its mean realised loss against the book's."""
-    spark = groups.sparkSession
-    overall = groups.agg(F.avg("perda_realizada").alias("m")).scalar()
-    means = groups.select(F.explode("alimenta").alias("grupo"), "perda_realizada").groupBy("grupo").agg(
-        F.avg("perda_realizada").alias("media")
+    overall = F.avg("perda_realizada").over(Window.partitionBy())
+    means = (
+        groups.withColumn("geral", overall)
+        .select(F.explode("alimenta").alias("grupo"), "perda_realizada", "geral")
+        .groupBy("grupo")
+        .agg(F.avg("perda_realizada").alias("media"), F.max("geral").alias("geral"))
     )
     base = F.lit(p.revenue_decay_base)
     relative = F.when(F.col("geral") > 0, F.col("media") / F.col("geral")).otherwise(1.0)
     return (
-        inline_table(spark, "grupo", [(g,) for g in RISK_GROUPS])
+        inline_table(groups.sparkSession, "grupo", [(g,) for g in RISK_GROUPS])
         .join(means, "grupo", "left")
-        .withColumn("geral", overall)
         .select(
             "grupo",
             F.when(F.col("media").isNull(), base)
@@ -184,38 +185,41 @@ def with_shape(months: DataFrame, groups: DataFrame, shapes: DataFrame) -> DataF
     return months.join(groups.select("safra", "grupo_risco"), "safra").join(shape, ["grupo_risco", "mob"], "left")
 
 
-def vintage_scale(shaped: DataFrame, p: Params) -> DataFrame:
-    """Realised over shape up to the clean MOB, floored; 1 for young vintages."""
+def scale_columns(total: Callable[[Column], Column], p: Params) -> dict[str, Column]:
+    """Realised over shape up to the clean MOB, floored; 1 for young vintages.
+
+    ``total`` sums over the clean months of a vintage.
+    """
 
     def scale(realised: Column, shape: str) -> Column:
-        total = F.sum(F.coalesce(F.col(shape), F.lit(0.0)))
-        fitted = F.when(total > 0, F.sum(realised) / total).otherwise(1.0)
-        return F.greatest(
-            F.when(F.first("mob_limpo") >= p.scale_mob, fitted).otherwise(1.0), F.lit(p.scale_floor)
-        )
+        base = total(F.when(F.col("limpo"), F.coalesce(F.col(shape), F.lit(0.0))))
+        fitted = F.when(base > 0, total(F.when(F.col("limpo"), realised)) / base).otherwise(1.0)
+        return F.greatest(F.when(F.col("mob_limpo") >= p.scale_mob, fitted).otherwise(1.0), F.lit(p.scale_floor))
 
-    return (
-        shaped.where("limpo")
-        .groupBy("safra")
-        .agg(
-            scale(F.col("inc_perda"), "forma_perda").alias("escala_perda"),
-            scale(F.col("inc_receita") * F.col("sobrevivencia"), "forma_receita").alias("escala_receita"),
-        )
-    )
+    return {
+        "escala_perda": scale(F.col("inc_perda"), "forma_perda"),
+        "escala_receita": scale(F.col("inc_receita") * F.col("sobrevivencia"), "forma_receita"),
+    }
+
+
+def vintage_scale(shaped: DataFrame, p: Params) -> DataFrame:
+    scales = scale_columns(F.sum, p)
+    return shaped.groupBy("safra", "mob_limpo").agg(*[c.alias(n) for n, c in scales.items()]).drop("mob_limpo")
 
 
 def project_curves(months: DataFrame, groups: DataFrame, shapes: DataFrame, p: Params) -> DataFrame:
     """Cumulative loss and revenue per vintage and MOB, realised then projected."""
-    shaped = with_shape(months, groups, shapes)
     floor = F.lit(p.shape_floor)
     loss = F.greatest(F.coalesce(F.col("forma_perda"), floor) * F.col("escala_perda"), floor)
     revenue = F.greatest(
         F.coalesce(F.col("forma_receita"), floor) * F.col("escala_receita"), F.lit(p.revenue_floor)
     )
-    by_mob = Window.partitionBy("safra").orderBy("mob").rowsBetween(Window.unboundedPreceding, 0)
+    vintage = Window.partitionBy("safra")
+    by_mob = vintage.orderBy("mob").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        shaped.where("no_prazo")
-        .join(vintage_scale(shaped, p), "safra")
+        with_shape(months, groups, shapes)
+        .withColumns(scale_columns(lambda c: F.sum(c).over(vintage), p))
+        .where("no_prazo")
         .select(
             "safra",
             "mob",
