@@ -84,7 +84,7 @@ def test_first_instalment_written_with_a_decimal_is_found(spark):
 
 def test_presence(spark, good):
     l, i, r = good
-    tables = {"LOANS": (l.where("1 = 0"), layouts.LOANS), "INSTALLMENTS": (None, layouts.INSTALLMENTS), "RENEGOCIACAO": (r.where("1 = 0"), layouts.RENEGOTIATIONS)}
+    tables = [(l.where("1 = 0"), layouts.LOANS), (None, layouts.INSTALLMENTS), (r.where("1 = 0"), layouts.RENEGOTIATIONS)]
     got = {r["dataset"]: r["severity"] for r in q.dq_presence(spark, tables).collect()}
     assert got == {"LOANS": "erro", "INSTALLMENTS": "erro", "RENEGOCIACAO": "aviso"}
 

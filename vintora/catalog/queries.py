@@ -128,7 +128,34 @@ def sink_result_table(spark, sf_dir):
     return readers.read_text_table(spark, path).select("faixa", "contratos_n", "pct_carteira")
 
 
-@register("export_bundle")
+BUNDLE_ROWS = {
+    "kpis": "42",
+    "faixas_atraso": "5",
+    "faixas_prazo": "7",
+    "rating": "(SELECT count(*) FROM b_rating)",
+    "uf": "(SELECT count(*) FROM b_uf)",
+    "perfil": "(SELECT count(DISTINCT especie_beneficio) FROM b_loans)",
+    "especie_situacao": "(SELECT count(DISTINCT (especie_beneficio, situacao_beneficio)) FROM b_loans)",
+    "canal_situacao": "(SELECT count(DISTINCT (canal_originacao, situacao_beneficio)) FROM b_loans)",
+    "fpd_safras": "(SELECT count(*) FROM b_fpd_raw)",
+    "vencimentario": "(SELECT count(DISTINCT strftime(venc, '%Y-%m')) FROM b_flow)",
+    "comportamento_pagamento": "(SELECT count(*) FROM b_vp)",
+    "rolagens": "(SELECT count(*) FROM b_spine)",
+    "vpl_cenarios": "6",
+    "parametros_pe": "6",
+    "perda_acumulada": "(SELECT count(*) * any_value(t) FROM b_vp, b_term)",
+    "receita_acumulada": "(SELECT count(*) * any_value(t) FROM b_vp, b_term)",
+    "safras_meta": "(SELECT count(*) FROM b_vp)",
+    "matriz_over60": "(SELECT count(DISTINCT rating_concessao) * count(DISTINCT bhv_m) FROM b_loans)",
+    "matriz_saldo": "(SELECT count(DISTINCT rating_concessao) * count(DISTINCT bhv_m) FROM b_loans)",
+    "meta_execucao": "7",
+}
+
+
+@register(
+    "export_bundle",
+    " UNION ALL ".join(f"SELECT '{t}' AS tabela, CAST({n} AS BIGINT) AS linhas" for t, n in BUNDLE_ROWS.items()),
+)
 def export_bundle(spark, sf_dir):
     path = new_folder(spark, "bundle")
     written = sinks.export_bundle(portfolio_results(spark, sf_dir), path)
@@ -922,15 +949,59 @@ def dq_presence(spark, sf_dir):
     empty = book.renegotiations(spark, sf_dir).where(F.col("id_contrato_novo").isNull())
     return quality.dq_presence(
         spark,
-        {
-            "LOANS": (messy(spark, sf_dir), layouts.LOANS),
-            "INSTALLMENTS": (None, layouts.INSTALLMENTS),
-            "RENEGOCIACAO": (empty, layouts.RENEGOTIATIONS),
-        },
+        [
+            (messy(spark, sf_dir), layouts.LOANS),
+            (None, layouts.INSTALLMENTS),
+            (empty, layouts.RENEGOTIATIONS),
+        ],
     )
 
 
-@register("dq_required_columns")
+def _layout_sql(dataset: str, required: str, optional: str, missing: str, unmapped: str) -> str:
+    """Findings of a layout: names are blank-separated lists; ``missing`` ones are optional columns."""
+    names = [("coluna_obrigatoria", c, "ok") for c in required.split()]
+    names += [("coluna_opcional", c, "ok") for c in optional.split()]
+    names += [("coluna_opcional", c, "aviso") for c in missing.split()]
+    names += [("coluna_nao_mapeada", c, "aviso") for c in unmapped.split()]
+    values = ", ".join(f"('{check}', '{c}', '{level}')" for check, c, level in names)
+    return (
+        f"""SELECT '{dataset}' AS dataset, c AS "check", n AS "column", s AS severity, CAST(s <> 'ok' AS BIGINT) AS n_bad, """
+        f"CAST(1 AS BIGINT) AS n_total, CASE WHEN s = 'ok' THEN 0.0e0 ELSE 100.0e0 END AS pct, 'layout' AS message "
+        f"FROM (VALUES {values}) v(c, n, s)"
+    )
+
+
+COLUMNS_SQL = " UNION ALL ".join(
+    [
+        _layout_sql(
+            "LOANS",
+            "principal pmt num_parcelas data_aquisicao taxa_cliente rating_concessao id_contrato dias_maior_atraso",
+            "regiao tipo_produto",
+            "vencimento_primeira_parcela vencimento_ultima_parcela bhv_m uf idade especie_beneficio situacao_beneficio "
+            "canal_originacao competencia_averbacao competencia_inicio_desconto margem_consignavel_utilizada "
+            "prazo_remanescente taxa_funding profissao",
+            "",
+        ),
+        _layout_sql(
+            "INSTALLMENTS",
+            "num_parcela data_vencimento id_contrato id_parcela data_pagamento valor_pago valor_parcela dias_atraso",
+            "",
+            "motivo_falha_repasse",
+            "",
+        ),
+        _layout_sql(
+            "RENEGOCIACAO",
+            "id_contrato_novo id_contrato_origem id_parcela_reneg data_renegociacao valor_refinanciado valor_troco "
+            "num_parcela data_vencimento valor_parcela data_pagamento valor_pago",
+            "",
+            "",
+            "",
+        ),
+    ]
+)
+
+
+@register("dq_required_columns", COLUMNS_SQL)
 def dq_required_columns(spark, sf_dir):
     loans, inst, reneg = raw_book(spark, sf_dir)
     return quality.union_all(
@@ -1154,6 +1225,39 @@ def dq_gate(spark, sf_dir):
     return quality.dq_gate(quality.union_all(found))
 
 
-@register("validate_book")
+def _counted(source: str, dataset: str, severity: str) -> str:
+    return finding_sql(
+        dataset, "presenca", "", "CAST(count(*) = 0 AS BIGINT)", "count(*)", severity, "linhas de dados", f"FROM {source}"
+    )
+
+
+RENEG_NULLS_SQL = _null_rows(
+    "RENEGOCIACAO",
+    "FROM b_reneg",
+    {c: ("false", "erro") for c in ("id_contrato_novo", "id_contrato_origem")}
+    | {
+        c: ("true" if c in ("data_pagamento", "valor_pago") else "false", "ok")
+        for c in layouts.RENEGOTIATIONS.nullable
+    },
+)
+VALIDATE_SQL = " UNION ALL ".join(
+    [
+        _counted("b_loans", "LOANS", "erro"),
+        _counted("b_inst", "INSTALLMENTS", "erro"),
+        _counted("b_reneg", "RENEGOCIACAO", "aviso"),
+        COLUMNS_SQL,
+        NULLS_SQL,
+        RENEG_NULLS_SQL,
+        LOAN_VALUES_SQL,
+        INST_VALUES_SQL,
+        RENEG_VALUES_SQL,
+        SNAPSHOT_SQL,
+        CROSS_SQL.replace("b_inst_orphans", "b_inst"),
+        CONDITIONAL_SQL,
+    ]
+)
+
+
+@register("validate_book", VALIDATE_SQL)
 def validate_book(spark, sf_dir):
     return quality.validate_book(spark, *raw_book(spark, sf_dir), PARAMS)

@@ -92,22 +92,25 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def dq_presence(spark: SparkSession, tables: dict[str, tuple[DataFrame | None, Layout]]) -> DataFrame:
+def presence_check(layout: Layout) -> Check:
+    no_rows = (F.count(F.lit(1)) == 0).cast("bigint")
+    return Check(layout.dataset, "presenca", "", no_rows, WARN if layout.may_be_empty else ERROR, "linhas de dados")
+
+
+def missing_input(spark: SparkSession, layout: Layout) -> DataFrame:
+    row = (layout.dataset, "presenca", "", ERROR, 1, 0, 0.0, "arquivo nao encontrado")
+    table = inline_table(spark, ", ".join(f"`{c}`" for c in FINDING), [row])
+    return table.withColumns({c: F.col(c).cast("bigint") for c in ("n_bad", "n_total")})
+
+
+def dq_presence(spark: SparkSession, tables: Sequence[tuple[DataFrame | None, Layout]]) -> DataFrame:
     """Missing input is an error; empty is an error unless the layout allows it."""
-    parts = []
-    for name, (df, layout) in tables.items():
-        empty = WARN if layout.may_be_empty else ERROR
-        if df is None:
-            row = (name, "presenca", "", ERROR, 1, 0, 0.0, "arquivo nao encontrado")
-            parts.append(
-                inline_table(spark, ", ".join(f"`{c}`" for c in FINDING), [row])
-                .withColumn("n_bad", F.col("n_bad").cast("bigint"))
-                .withColumn("n_total", F.col("n_total").cast("bigint"))
-            )
-        else:
-            no_rows = (F.count(F.lit(1)) == 0).cast("bigint")
-            parts.append(findings(df, [Check(name, "presenca", "", no_rows, empty, "linhas de dados")]))
-    return union_all(parts)
+    return union_all(
+        [
+            missing_input(spark, layout) if df is None else findings(df, [presence_check(layout)])
+            for df, layout in tables
+        ]
+    )
 
 
 def dq_columns(df: DataFrame, layout: Layout) -> DataFrame:
@@ -135,8 +138,7 @@ def dq_columns(df: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def dq_nulls(df: DataFrame, layout: Layout) -> DataFrame:
-    """Nulls of all required columns in one scan."""
+def null_checks(df: DataFrame, layout: Layout) -> list[Check]:
     checks = []
     for c in layout.required:
         if c not in df.columns:
@@ -146,53 +148,76 @@ def dq_nulls(df: DataFrame, layout: Layout) -> DataFrame:
         else:
             severity = WARN if c in NULL_MEANS_ZERO else ERROR
         checks.append(Check(layout.dataset, "nulos", c, count_where(F.col(c).isNull()), severity, "valores nulos"))
-    return findings(df, checks) if checks else no_findings(df.sparkSession)
+    return checks
 
 
-def dq_loans(df: DataFrame) -> DataFrame:
-    """Numbers, terms and acquisition dates of raw loans."""
+def dq_nulls(df: DataFrame, layout: Layout) -> DataFrame:
+    """Nulls of all required columns in one scan."""
+    return run_checks(df, null_checks(df, layout))
+
+
+def invalid_date(dataset: str, column: str, severity: str) -> Check:
+    bad = date_status(F.col(column)) == "invalid"
+    return Check(dataset, "data_invalida", column, count_where(bad), severity, "datas invalidas")
+
+
+def negative(dataset: str, column: str, severity: str) -> Check:
+    return Check(dataset, "negativo", column, count_where(number_of(column) < 0), severity, "negativos")
+
+
+def loan_checks(df: DataFrame) -> list[Check]:
     checks = []
     for c in ("principal", "pmt"):
         if c in df.columns:
             checks.append(Check("LOANS", "nao_numerico", c, count_where(number_of(c).isNull()), WARN, "nao numericos"))
-            checks.append(Check("LOANS", "negativo", c, count_where(number_of(c) < 0), ERROR, "negativos"))
+            checks.append(negative("LOANS", c, ERROR))
     if "num_parcelas" in df.columns:
         short = F.coalesce(number_of("num_parcelas"), F.lit(0.0)) < 1
         checks.append(Check("LOANS", "prazo_minimo", "num_parcelas", count_where(short), ERROR, "num_parcelas < 1"))
     if "data_aquisicao" in df.columns:
-        bad = date_status(F.col("data_aquisicao")) == "invalid"
-        checks.append(Check("LOANS", "data_invalida", "data_aquisicao", count_where(bad), ERROR, "datas invalidas"))
-    return findings(df, checks) if checks else no_findings(df.sparkSession)
+        checks.append(invalid_date("LOANS", "data_aquisicao", ERROR))
+    return checks
 
 
-def dq_installments(df: DataFrame) -> DataFrame:
-    """Dates, amounts and first instalments of raw instalments in one scan."""
-    name, checks = "INSTALLMENTS", []
-    for c, severity in (("data_vencimento", ERROR), ("data_pagamento", WARN)):
-        if c in df.columns:
-            bad = date_status(F.col(c)) == "invalid"
-            checks.append(Check(name, "data_invalida", c, count_where(bad), severity, "datas invalidas"))
-    for c in ("valor_parcela", "dias_atraso"):
-        if c in df.columns:
-            checks.append(Check(name, "negativo", c, count_where(number_of(c) < 0), WARN, "negativos"))
+def installment_checks(df: DataFrame) -> list[Check]:
+    name = "INSTALLMENTS"
+    dates = (("data_vencimento", ERROR), ("data_pagamento", WARN))
+    checks = [invalid_date(name, c, severity) for c, severity in dates if c in df.columns]
+    checks += [negative(name, c, WARN) for c in ("valor_parcela", "dias_atraso") if c in df.columns]
     if "num_parcela" in df.columns:
         missing = (count_where(number_of("num_parcela") == 1) == 0).cast("bigint")
         checks.append(Check(name, "sem_parcela_1", "num_parcela", missing, ERROR, "nenhuma parcela 1"))
-    return findings(df, checks) if checks else no_findings(df.sparkSession)
+    return checks
 
 
-def dq_renegotiations(df: DataFrame) -> DataFrame:
-    """Dates and amounts of raw renegotiations; never blocking."""
+def renegotiation_checks(df: DataFrame) -> list[Check]:
     name, checks = "RENEGOCIACAO", []
     if "data_renegociacao" in df.columns:
-        bad = date_status(F.col("data_renegociacao")) == "invalid"
-        checks.append(Check(name, "data_invalida", "data_renegociacao", count_where(bad), WARN, "datas invalidas"))
+        checks.append(invalid_date(name, "data_renegociacao", WARN))
     if "valor_refinanciado" in df.columns:
-        negative = number_of("valor_refinanciado") < 0
-        checks.append(Check(name, "negativo", "valor_refinanciado", count_where(negative), WARN, "negativos"))
+        checks.append(negative(name, "valor_refinanciado", WARN))
+    return checks
+
+
+def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return findings(df, checks) if checks else no_findings(df.sparkSession)
 
 
+def dq_loans(df: DataFrame) -> DataFrame:
+    """Numbers, terms and acquisition dates of raw loans."""
+    return run_checks(df, loan_checks(df))
+
+
+def dq_installments(df: DataFrame) -> DataFrame:
+    """Dates, amounts and first instalments of raw instalments in one scan."""
+    return run_checks(df, installment_checks(df))
+
+
+def dq_renegotiations(df: DataFrame) -> DataFrame:
+    """Dates and amounts of raw renegotiations; never blocking."""
+    return run_checks(df, renegotiation_checks(df))
+
+
 def id_presence(loans: DataFrame, inst: DataFrame, reneg: DataFrame | None = None) -> DataFrame:
     """One row per non-null contract id with the inputs that mention it.
 
@@ -313,13 +338,23 @@ def validate_book(
     reneg: DataFrame | None,
     p: Params | None = None,
 ) -> DataFrame:
-    """All findings of the three raw inputs; None stands for a missing file."""
-    tables = {"LOANS": (loans, LOANS), "INSTALLMENTS": (inst, INSTALLMENTS), "RENEGOCIACAO": (reneg, RENEGOTIATIONS)}
-    parts = [dq_presence(spark, tables)]
-    values = {"LOANS": dq_loans, "INSTALLMENTS": dq_installments, "RENEGOCIACAO": dq_renegotiations}
-    for name, (df, layout) in tables.items():
-        if df is not None:
-            parts += [dq_columns(df, layout), dq_nulls(df, layout), values[name](df)]
+    """All findings of the three raw inputs; None stands for a missing file.
+
+    Presence, nulls and values of an input share one aggregation, so each input is
+    scanned once for its own checks and once for the checks across inputs.
+    """
+    inputs = (
+        (loans, LOANS, loan_checks),
+        (inst, INSTALLMENTS, installment_checks),
+        (reneg, RENEGOTIATIONS, renegotiation_checks),
+    )
+    parts = []
+    for df, layout, values in inputs:
+        if df is None:
+            parts.append(missing_input(spark, layout))
+        else:
+            checks = [presence_check(layout), *null_checks(df, layout), *values(df)]
+            parts += [findings(df, checks), dq_columns(df, layout)]
     if loans is not None and p is not None:
         parts.append(dq_snapshot(loans, p))
     if loans is not None and inst is not None and "id_contrato" in loans.columns and "id_contrato" in inst.columns:
