@@ -120,6 +120,22 @@ def test_due_schedule_clips_month_ends_and_starts_after_the_snapshot(spark):
     assert got == {"2020-03": 10.0, "2020-04": 10.0, "2020-07": 1.0}
 
 
+@pytest.mark.parametrize(
+    "snapshot,acquired,kept",
+    [
+        (date(2020, 2, 29), "2020-01-31", ["2020-03"]),  # due on the snapshot itself is not future
+        (date(2020, 2, 28), "2020-01-31", ["2020-02", "2020-03"]),
+        (date(2020, 2, 15), "2020-01-15", ["2020-03"]),
+        (date(2020, 2, 15), "2020-01-16", ["2020-02", "2020-03"]),
+        (date(2019, 12, 31), "2020-01-16", ["2020-02", "2020-03"]),
+        (date(2020, 4, 1), "2020-01-16", []),
+    ],
+)
+def test_due_schedule_at_any_snapshot_day(spark, snapshot, acquired, kept):
+    flow = pf.future_due_schedule(make_loans(spark, [loan("1", n=2, aq=acquired)]), Params(snapshot=snapshot))
+    assert [r.mes for r in flow.collect()] == kept
+
+
 def test_due_schedule_equals_a_loop(spark):
     days = [date(2018 + i % 3, 1 + i % 12, 1 + (i * 7) % 28) for i in range(60)]
     rows = [loan(str(i), pmt=float(i), n=i % 40, aq=str(days[i])) for i in range(60)]

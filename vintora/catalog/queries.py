@@ -203,11 +203,11 @@ def stored_text(df: DataFrame, name: str) -> DataFrame:
 
 
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.norm_id_alias(stored_text(book.messy_loans(spark, sf_dir), "texto-loans"))
+    return readers.norm_id_alias(stored_text(book.spread(book.messy_loans(spark, sf_dir), spark, sf_dir, "orders"), "texto-loans"))
 
 
 def messy_inst(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_text(book.messy_installments(spark, sf_dir), "texto-inst")
+    return stored_text(book.spread(book.messy_installments(spark, sf_dir), spark, sf_dir, "lineitem"), "texto-inst")
 
 
 @register(

@@ -306,24 +306,31 @@ def matrix_balance(matrix: DataFrame) -> DataFrame:
 def future_flow(loans: DataFrame, p: Params) -> DataFrame:
     """Instalments due after the snapshot: cents per vintage, month and month offset.
 
-    Loans are first added up by (acquisition date, term), a set bounded by the
-    calendar, so the explode never touches single loans and starts at the first
-    instalment that can still be due.
+    Loans are first added up by vintage, term and whether their due day falls after the
+    snapshot's day, the only thing the exact date decides. The groups are bounded by the
+    calendar, so the explode never touches single loans, and it starts at the first
+    instalment still due.
     """
-    base = F.lit(p.snapshot)
+    base, acquired = F.lit(p.snapshot), F.col("data_aquisicao")
+    due_day = F.least(F.day(acquired), F.day(F.last_day(base)))
     terms = (
-        loans.where(F.col("data_aquisicao").isNotNull())
-        .groupBy("safra", "data_aquisicao", "num_parcelas")
+        loans.where(acquired.isNotNull())
+        .groupBy(
+            "safra",
+            months_diff(acquired, base).alias("idade"),
+            (due_day > F.day(base)).alias("depois"),
+            "num_parcelas",
+        )
         .agg(sum_cents(F.col("pmt")).alias("pmt_c"))
     )
-    first = F.greatest(F.lit(1), months_diff(F.col("data_aquisicao"), base))
-    due = F.add_months("data_aquisicao", F.col("p"))
+    passed = F.col("idade") + F.when(F.col("depois"), 0).otherwise(1)
+    first = F.greatest(F.lit(1), passed)
+    offset = F.col("p") - F.col("idade")
     return (
         terms.select("*", F.explode(int_range(first, F.col("num_parcelas"))).alias("p"))
-        .withColumn("vencimento", due)
-        .where(F.col("vencimento") > base)
-        .groupBy("safra", year_month(F.col("vencimento")).alias("mes"), months_diff(base, F.col("vencimento")).alias("dp"))
+        .groupBy("safra", offset.alias("dp"))
         .agg(F.sum("pmt_c").alias("pmt_c"))
+        .select("safra", year_month(F.add_months(F.trunc(base, "MM"), F.col("dp"))).alias("mes"), "dp", "pmt_c")
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vintora.functions.numbers import round_columns
 from vintora.operators import cohorts, curves, portfolio, rolls, valuation
 from vintora.params import Params
+from vintora.session import size_shuffles
 from vintora.sources.normalise import normalise_loans
 from vintora.sources.readers import portfolio_meta, read_loans, read_renegotiations, renegotiated_ids
 from vintora.sources.sinks import export_bundle, stage_installments
@@ -67,14 +68,15 @@ def book_facts(loans: DataFrame, inst: DataFrame, p: Params, store: bool = True)
     keep = materialise if store else (lambda df, name: df)
     totals = keep(portfolio.book_totals(loans), "totals")
     start = totals.select("primeiro_mes").scalar()
-    lazy = {
-        "cube": portfolio.loan_cube(loans),
-        "flow": portfolio.future_flow(loans, p),
-        "cells": cohorts.cohort_cells(loans, inst, p),
-        "aging": rolls.aging_from_cells(rolls.aging_cells(loans, inst, p, start), rolls.spine_rows(totals, p)),
-        "fpd": cohorts.first_payment_default(loans, inst),
+    spine = rolls.spine_rows(totals, p)
+    plans = {
+        "cube": lambda: portfolio.loan_cube(loans),
+        "flow": lambda: portfolio.future_flow(loans, p),
+        "cells": lambda: cohorts.cohort_cells(loans, inst, p),
+        "aging": lambda: rolls.aging_from_cells(rolls.aging_cells(loans, inst, p, start), spine),
+        "fpd": lambda: cohorts.first_payment_default(loans, inst),
     }
-    return Facts(totals=totals, **together({name: lambda n=name: keep(lazy[n], n) for name in lazy}))
+    return Facts(totals=totals, **together({n: lambda n=n: keep(plans[n](), n) for n in plans}))
 
 
 def results(facts: Facts, reneg_ids: DataFrame, meta: DataFrame, p: Params, store: bool = True) -> dict[str, DataFrame]:
@@ -164,8 +166,10 @@ def run_from_files(
     """Read the delimited inputs of a folder, run everything and write the bundle."""
     folder, output = folder.rstrip("/"), output.rstrip("/")
     p = Params.at(snapshot)
-    loans = materialise(normalise_loans(read_loans(spark, f"{folder}/LOANS.csv", sep)), "loans")
+    raw_loans = read_loans(spark, f"{folder}/LOANS.csv", sep)
     inst = stage_installments(spark, f"{folder}/INSTALLMENTS.csv", f"{folder}/INSTALLMENTS.parquet", sep)
+    size_shuffles(spark, raw_loans, inst)
+    loans = materialise(normalise_loans(raw_loans), "loans")
     ids = renegotiated_ids(read_renegotiations(spark, f"{folder}/RENEGOCIACAO.csv", sep))
     meta = portfolio_meta(spark, f"{folder}/META.csv", client, snapshot, sep)
     return export_bundle(run_portfolio(loans, inst, ids, p, meta), output, fmt)
