@@ -909,11 +909,11 @@ def finding_sql(dataset: str, check: str, column: str, bad: str, total: str, sev
     )
 
 
-def raw_book(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The messy inputs with normalised headers and some invalid values."""
+def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messy loans with normalised headers and some invalid values."""
     loans = messy(spark, sf_dir)
     key = norm_id(F.col("id_contrato")).cast("bigint")
-    loans = loans.withColumns(
+    return loans.withColumns(
         {
             "id_contrato": norm_id(F.col("id_contrato")),
             "pmt": F.when(key % 97 == 0, "-10,00").otherwise(F.col("pmt")),
@@ -923,16 +923,22 @@ def raw_book(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
             "tipo_produto": F.when(key % 7 == 0, "Crédito CONSIGNADO").otherwise("Pessoal"),
         }
     )
-    inst = messy_inst(spark, sf_dir)
+
+
+def raw_inst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messy instalments with normalised headers and some invalid values."""
     line = norm_id(F.col("id_contrato")).cast("bigint")
-    inst = inst.withColumns(
+    return messy_inst(spark, sf_dir).withColumns(
         {
             "data_pagamento": F.when(line % 61 == 0, "ontem").otherwise(F.col("data_pagamento")),
             "valor_parcela": F.when(line % 67 == 0, "-1.234,50").otherwise(F.col("valor_parcela")),
             "dias_atraso": F.when(line % 71 == 0, "-3").otherwise(F.col("dias_atraso")),
         }
     )
-    return loans, inst, book.renegotiations(spark, sf_dir)
+
+
+def raw_book(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return raw_loans(spark, sf_dir), raw_inst(spark, sf_dir), book.renegotiations(spark, sf_dir)
 
 
 PRESENCE_SQL = " UNION ALL ".join(
@@ -1078,7 +1084,7 @@ LOAN_VALUES_SQL = _rows(
 
 @register("dq_loans_values", LOAN_VALUES_SQL)
 def dq_loans_values(spark, sf_dir):
-    return quality.dq_loans(raw_book(spark, sf_dir)[0])
+    return quality.dq_loans(raw_loans(spark, sf_dir))
 
 
 INST_VALUES_SQL = _rows(
@@ -1098,7 +1104,7 @@ INST_VALUES_SQL = _rows(
 
 @register("dq_installments_values", INST_VALUES_SQL)
 def dq_installments_values(spark, sf_dir):
-    return quality.dq_installments(raw_book(spark, sf_dir)[1])
+    return quality.dq_installments(raw_inst(spark, sf_dir))
 
 
 RENEG_VALUES_SQL = _rows(
@@ -1192,7 +1198,7 @@ SNAPSHOT_SQL = finding_sql(
 
 @register("dq_snapshot_date", SNAPSHOT_SQL)
 def dq_snapshot_date(spark, sf_dir):
-    return quality.dq_snapshot(raw_book(spark, sf_dir)[0], PARAMS)
+    return quality.dq_snapshot(raw_loans(spark, sf_dir), PARAMS)
 
 
 @register(
@@ -1201,7 +1207,7 @@ def dq_snapshot_date(spark, sf_dir):
         count(*) FILTER (WHERE data_aquisicao > {o.SNAPSHOT}) AS posteriores FROM b_loans WHERE {VALID_DATE}""",
 )
 def dq_snapshot_facts(spark, sf_dir):
-    return quality.snapshot_facts(raw_book(spark, sf_dir)[0], PARAMS)
+    return quality.snapshot_facts(raw_loans(spark, sf_dir), PARAMS)
 
 
 @register(
