@@ -48,11 +48,11 @@ def test_renegotiated_ids_are_distinct_trimmed_not_null(spark):
 def test_meta_precedence(spark, tmp_path):
     path = write(tmp_path / "META.csv", "Nome_Cliente;data_base", " Banco ;2026-05-31")
     row = readers.portfolio_meta(spark, path).first()
-    assert tuple(row) == ("Banco", "2026-05", "Resian", "Crédito")
+    assert tuple(row) == ("Banco", "2026-05", "N/I", "Crédito")
     row = readers.portfolio_meta(spark, path, client="Outro", snapshot="2025-01-31").first()
     assert tuple(row)[:2] == ("Outro", "2025-01")
     row = readers.portfolio_meta(spark, str(tmp_path / "none.csv")).first()
-    assert tuple(row) == ("Cliente", "", "Resian", "Crédito")
+    assert tuple(row) == ("Cliente", "", "N/I", "Crédito")
 
 
 def test_table_profile(spark):

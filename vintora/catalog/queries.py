@@ -110,7 +110,7 @@ def stage_installments_parquet(spark, sf_dir):
 @register(
     "portfolio_meta",
     """SELECT max(c_name) AS nome_cliente, strftime((SELECT max(o_orderdate) FROM orders), '%Y-%m') AS data_base,
-       'Resian' AS analista, max(c_mktsegment) AS produto FROM customer""",
+       'N/I' AS analista, max(c_mktsegment) AS produto FROM customer""",
 )
 def portfolio_meta(spark, sf_dir):
     last = table(spark, sf_dir, "orders").agg(F.max(F.col("o_orderdate").cast("date").cast("string")).alias("d"))
@@ -857,7 +857,7 @@ def expected_loss(spark, sf_dir):
 
 KPI_ROWS = (
     [("meta", "nome_cliente", "'Cliente'", "b_ead"), ("meta", "data_base", "'2001-01'", "b_ead")]
-    + [("meta", "analista", "'Resian'", "b_ead"), ("meta", "produto", "'Crédito'", "b_ead")]
+    + [("meta", "analista", "'N/I'", "b_ead"), ("meta", "produto", "'Crédito'", "b_ead")]
     + [("kpi", c, f"CAST({c} AS VARCHAR)", "b_kpis") for c in ("contratos", "safra_min", "safra_max", "renegociacoes")]
     + [("kpi", c, o.text(c, 2), "b_kpis") for c in ("principal_total", "ticket_medio")]
     + [("kpi", "taxa_media_pct", o.text("taxa_media * 100", 4), "b_kpis"), ("kpi", "prazo_medio", o.text("prazo_medio", 1), "b_kpis")]

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vintora.functions.parsing import clean_text, norm_id
+from vintora.params import NOT_INFORMED
 from vintora.sources.layouts import ID_ALIASES, META, RENEGOTIATIONS, Layout
 
 
@@ -77,7 +78,10 @@ def portfolio_meta(
     snapshot: str | None = None,
     sep: str = ";",
 ) -> DataFrame:
-    """One row of run metadata: argument, else META row, else default."""
+    """One row of run metadata: argument, else META row, else default.
+
+    An analyst that is named nowhere is ``N/I``.
+    """
     raw = read_or_none(spark, path, sep) if path else None
     return meta_row(empty_raw(spark, META) if raw is None else raw, client, snapshot)
 
@@ -92,7 +96,7 @@ def meta_row(raw: DataFrame, client: str | None = None, snapshot: str | None = N
     return raw.agg(
         choose("nome_cliente", client, "Cliente").alias("nome_cliente"),
         F.substring(choose("data_base", snapshot, ""), 1, 7).alias("data_base"),
-        choose("analista", None, "Resian").alias("analista"),
+        choose("analista", None, NOT_INFORMED).alias("analista"),
         choose("produto", None, "Crédito").alias("produto"),
     )
 
