@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vintora.llm import attribution, packing
+from vintora.llm import attribution, licenses, packing, quality_rules, url_filter
 from vintora.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +33,24 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_best_fit_packing")
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), max_tokens=1024, end_id=2)
+
+
+@register("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+@register("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(quality_rules.judge_documents(read(spark, sf_dir, "documents")))
+
+
+@register("op3_url_filter")
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled through the document that its path names by number."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    _, path = url_filter.host_and_path(F.col("url"))
+    number = F.expr("try_cast(regexp_extract(path, '/([0-9]+)', 1) as bigint)")
+    named = pages.select("page_id", path.alias("path")).select("page_id", number.alias("doc_id"))
+    labels = named.join(read(spark, sf_dir, "labels"), "doc_id").select("page_id", (1 - F.col("quality")).alias("bad"))
+    return url_filter.judge_urls(pages, labels)
