@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import attribution, licenses, packing, quality_rules, url_filter
+from vintora.llm import attribution, licenses, packing, quality_knn, quality_rules, url_filter
 from vintora.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,9 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = pages.select("page_id", path.alias("path")).select("page_id", number.alias("doc_id"))
     labels = named.join(read(spark, sf_dir, "labels"), "doc_id").select("page_id", (1 - F.col("quality")).alias("bad"))
     return url_filter.judge_urls(pages, labels)
+
+
+@register("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_knn.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
