@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import attribution, licenses, packing, quality_knn, quality_rules, url_filter
+from vintora.llm import attribution, licenses, ngram_join, packing, quality_knn, quality_rules, url_filter
 from vintora.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,8 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_knn.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@register("op4_ngram_jaccard_join")
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(read(spark, sf_dir, "documents"), n=4, percent=85)
