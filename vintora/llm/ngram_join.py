@@ -115,13 +115,13 @@ def _dealt(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[list[int], list[np.ndarray], list[tuple]]]:
-    """Row blocks: keys and sets that are new in the block, and (doc_id, size, key) of all its rows."""
+    """Row blocks: keys and sets that are new in the block, and (doc_id, size, key, text_key) of all its rows."""
     keys, sets, rows, seen, held = [], [], [], set(), 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1)):
+        for doc_id, text, text_key in zip(batch.column(0), batch.column(1), batch.column(2)):
             hashes = ngram_set(text.as_py(), n)
             key = set_key(hashes) if len(hashes) else None
-            rows.append((doc_id.as_py(), len(hashes), key))
+            rows.append((doc_id.as_py(), len(hashes), key, text_key.as_py()))
             if key is not None and key not in seen:
                 seen.add(key)
                 keys.append(key)
@@ -143,7 +143,7 @@ def _documents(n: int) -> Callable:
             if sets:
                 hashes, counts = np.unique(np.concatenate(sets), return_counts=True)
                 frequent, count = hashes[counts >= HEAVY_IN_BLOCK], counts[counts >= HEAVY_IN_BLOCK]
-            docs, sizes, keys = zip(*rows)
+            docs, sizes, keys, texts = zip(*rows)
             none = [None] * len(rows)
             empty = [None] * len(frequent)
             yield pa.RecordBatch.from_arrays(
@@ -151,10 +151,11 @@ def _documents(n: int) -> Callable:
                     pa.array([*docs, *empty], pa.int64()),
                     pa.array([*sizes, *empty], pa.int64()),
                     pa.array([*keys, *empty], pa.int64()),
+                    pa.array([*texts, *empty], pa.int64()),
                     pa.array([*none, *frequent.view(np.int64).tolist()], pa.int64()),
                     pa.array([*none, *count.tolist()], pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "set_key", "column", "n_sets"],
+                ["doc_id", "n_shingles", "set_key", "text_key", "column", "n_sets"],
             )
 
     return run
@@ -422,21 +423,14 @@ def family_links(candidates: DataFrame, percent: int) -> DataFrame:
     return alone.union(between).union(rest)
 
 
-def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
-
-    Two rows link when ``100 * shared >= percent * united`` of their distinct n-gram sets; words are split at ASCII white
-    space, A-Z lower-cased. Null, empty and blank texts have no set, link with nothing and are their own component. Equal
-    sets are one row of the matrix, so copies and repeated rows share a component. ``component_id`` is the smallest
-    id reachable; null ids are never the smallest unless there is no other.
-    """
+def _component_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``doc_id, n_shingles, text_key, label, component_id`` of every row; ``label`` tells components apart, null without a set."""
     spark = docs.sparkSession
     ship(spark)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    table = materialise(
-        source.mapInArrow(_documents(n), "doc_id long, n_shingles long, set_key long, column long, n_sets long"), "ngram-rows"
-    )
-    rows = table.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "set_key")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_key"))
+    kinds = "doc_id long, n_shingles long, set_key long, text_key long, column long, n_sets long"
+    table = materialise(source.mapInArrow(_documents(n), kinds), "ngram-rows")
+    rows = table.where("n_shingles IS NOT NULL").drop("column", "n_sets")
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     least = max(HEAVY_IN_BLOCK, total // MAX_HEAVY)
     columns = table.where("column IS NOT NULL").groupBy("column").agg(F.sum("n_sets").alias("n")).where(F.col("n") >= least)
@@ -446,8 +440,9 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     back = max(1, parts // 4)
     tiles = source.mapInArrow(_tiles(n, parts, spark.sparkContext.broadcast(heavy)), TILES_DDL)
     returned = _dealt(tiles, "part").mapInArrow(_columns(parts, back), BACK_DDL)
-    candidates = _dealt(returned, "part").mapInArrow(_candidates(percent), "set_key long, size long, columns binary, probes array<long>")
-    links = family_links(materialise(candidates, "candidates"), percent)
+    found_ddl = "set_key long, size long, columns binary, probes array<long>"
+    candidates = materialise(_dealt(returned, "part").mapInArrow(_candidates(percent), found_ddl), "candidates")
+    links = family_links(candidates, percent)
     keys = rows.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("first_id"))
     found = connected_components(links, "u", "v").select(F.col("node").alias("_node"), "component")
     joined = keys.join(found, F.col("set_key") == F.col("_node"), "left")
@@ -455,10 +450,45 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
         joined.where("component IS NOT NULL").groupBy(F.col("component").alias("_of")).agg(F.min("first_id").alias("_least"))
     )
     named = joined.join(least_id, F.col("component") == F.col("_of"), "left").select(
-        F.col("set_key").alias("_key"), F.coalesce("_least", "first_id").alias("_component_id")
+        F.col("set_key").alias("_key"),
+        F.coalesce("component", "set_key").alias("label"),
+        F.coalesce("_least", "first_id").alias("_component_id"),
     )
     return rows.join(named, F.col("set_key") == F.col("_key"), "left").select(
-        "doc_id",
-        "n_shingles",
+        *["doc_id", "n_shingles", "text_key", "label"],
         F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("_component_id")).alias("component_id"),
     )
+
+
+def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
+
+    Two rows link when ``100 * shared >= percent * united`` of their distinct n-gram sets; words are split at ASCII white
+    space, A-Z lower-cased. Null, empty and blank texts have no set, link with nothing and are their own component. Equal
+    sets are one row of the matrix, so copies and repeated rows share a component. ``component_id`` is the smallest
+    id reachable; null ids are never the smallest unless there is no other.
+    """
+    return _component_rows(docs, n, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay when each component keeps one, with all their columns.
+
+    Kept is the row with the smallest id of its component, and of those the smallest text hash; rows equal in both are
+    one document, of which any one stays. Rows whose texts have no words all stay.
+    """
+    rows = materialise(_component_rows(docs, n, percent), "components")
+    best = rows.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("doc_id", "text_key")).alias("b"))
+    kept = best.select(F.col("b.doc_id").alias("_id"), F.col("b.text_key").alias("_text"))
+    blank = rows.where("label IS NULL").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct()
+    times = rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("_n")).where("_n > 1")
+    again = times.select(F.col("doc_id").alias("_again"), F.col("text_key").alias("_again_text"))
+    same = kept["_id"].eqNullSafe(F.col("_again")) & (kept["_text"] == F.col("_again_text"))
+    repeated = kept.join(again, same, "left_semi")
+    single = kept.join(again, same, "left_anti").union(blank)
+
+    def pick(keys: DataFrame) -> DataFrame:
+        here = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_text"))
+        return docs.join(keys, here, "left_semi")
+
+    return pick(single).unionByName(pick(repeated).dropDuplicates(["doc_id", "text"]))

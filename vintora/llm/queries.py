@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import attribution, licenses, ngram_join, packing, quality_knn, quality_rules, url_filter
+from vintora.llm import attribution, embedding_join, licenses, ngram_join, packing, quality_knn, quality_rules, url_filter
 from vintora.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_ngram_jaccard_join")
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(read(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+@register("op6_embedding_near_dedup")
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.embedding_components(read(spark, sf_dir, "embeddings"), cosine=0.9)
