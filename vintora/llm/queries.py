@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import attribution, embedding_join, licenses, ngram_join, packing, quality_knn, quality_rules, url_filter
+from vintora.llm import attribution, embedding_join, licenses, ngram_join, packing, quality_knn, quality_rules, url_filter, warc
 from vintora.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,8 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_embedding_near_dedup")
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.embedding_components(read(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+@register("op7_warc")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_report(warc.archive_pages(read(spark, sf_dir, "pages"), min_bytes=0))
