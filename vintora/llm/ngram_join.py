@@ -33,8 +33,8 @@ from vintora.llm.common import ship
 from vintora.llm.components import connected_components
 from vintora.sources.workspace import materialise
 
-BLOCK_ENTRIES = 1_500_000  #: entries of a row block
-RANGE_ENTRIES = 500_000  #: entries of a column range, about
+BLOCK_ENTRIES = 3_000_000  #: entries of a row block
+RANGE_ENTRIES = 2_000_000  #: entries of a column range, about
 TILE_ENTRIES = 400_000  #: entries of a family's tile, about
 TILE_ROWS = 512
 HEAVY_IN_BLOCK = 64  #: sets of one block that make a column a candidate for the heavy ones
@@ -171,7 +171,7 @@ def _tiles(n: int, parts: int, heavy) -> Callable:
     def cut(hashes: np.ndarray, rows: np.ndarray, keys: np.ndarray, sizes: np.ndarray, part: int) -> tuple:
         present, local = np.unique(rows, return_inverse=True)
         wide, packed = _pack(hashes)
-        return part, wide, packed, local.astype(np.uint16).tobytes(), keys[present].tobytes(), sizes[present].tobytes()
+        return part, wide, packed, local.astype(np.uint16).tobytes(), keys[present].tobytes(), sizes[present].astype(np.uint32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, task = heavy.value, TaskContext.get().partitionId()
@@ -220,7 +220,7 @@ def _columns(parts: int, back: int) -> Callable:
             hashes = np.concatenate([_unpack(w, h) for w, h in zip(held["wide"], held["hashes"])])
             local = [np.frombuffer(r, np.uint16) for r in held["rows"]]
             keys = np.concatenate([np.frombuffer(k, np.int64)[r] for k, r in zip(held["keys"], local)])
-            sizes = np.concatenate([np.frombuffer(s, np.int64)[r] for s, r in zip(held["sizes"], local)])
+            sizes = np.concatenate([np.frombuffer(s, np.uint32)[r] for s, r in zip(held["sizes"], local)])
             levels = None
             if part < parts:
                 order = np.argsort(hashes, kind="stable")
@@ -261,7 +261,7 @@ def _candidates(percent: int) -> Callable:
         for _, held in _groups(batches, ["part"]):
             runs = np.concatenate([np.frombuffer(r, np.uint32) for r in held["runs"]])
             keys = np.repeat(np.concatenate([np.frombuffer(k, np.int64) for k in held["keys"]]), runs)
-            sizes = np.repeat(np.concatenate([np.frombuffer(s, np.int64) for s in held["sizes"]]), runs)
+            sizes = np.repeat(np.concatenate([np.frombuffer(s, np.uint32) for s in held["sizes"]]).astype(np.int64), runs)
             hashes = np.concatenate([np.frombuffer(h, np.uint64) for h in held["hashes"]])
             levels = np.concatenate([np.frombuffer(v, np.uint8) for v in held["levels"]])
             order = np.lexsort((hashes, levels, keys))
