@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import attribution, embedding_join, licenses, ngram_join, packing, quality_knn, quality_rules, url_filter, warc
+from vintora.llm import attribution, embedding_join, licenses, ngram_join, packing, piece_sampling, quality_knn, quality_rules, url_filter, warc
 from vintora.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,9 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_warc")
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_report(warc.archive_pages(read(spark, sf_dir, "pages"), min_bytes=0))
+
+
+@register("op5_sentencepiece_sampling")
+def op5_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = piece_sampling.sample_pieces(read(spark, sf_dir, "documents"), k=2)
+    return samples.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
