@@ -144,9 +144,11 @@ def report(judged: DataFrame) -> DataFrame:
 
 
 def keep_documents(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
-    good = judge_documents(docs, host, **limits).where("kept").select(
-        F.col("_host").alias("_good_host"), F.col("_text").alias("_good_text")
-    ).distinct()
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    Verdicts are written first: a filter on them would otherwise be pushed into the window expressions and repeat them.
+    """
+    judged = materialise(judge_documents(docs, host, **limits).select("_host", "_text", "kept"), "verdicts")
+    good = judged.where("kept").select(F.col("_host").alias("_good_host"), F.col("_text").alias("_good_text")).distinct()
     same = docs[host].eqNullSafe(F.col("_good_host")) & (F.xxhash64(docs["text"]) == F.col("_good_text"))
     return docs.join(good, same, "left_semi")
