@@ -26,11 +26,12 @@ from vintora.llm.ngram_join import _dealt, _groups
 from vintora.operators.inline_tables import inline_table
 from vintora.sources.workspace import materialise
 
-RADII = (1.0, 0.5, 0.25)
+RADII = (0.5, 0.25, 0.125)
 SAMPLE = 2048  #: distinct vectors that the top level is fitted on, at most
 CELLS = 16  #: centres of the top level, at most
 BLOCK_ROWS = 4096
 SLACK = 1e-7  #: more than the rounding of a distance
+MARGIN = 1e-5  #: more than the rounding of a single-precision product of unit vectors
 CHUNK = 100_000  #: pairs compared at once
 
 
@@ -114,14 +115,18 @@ def dual_links(one: Tree, two: Tree, cosine: float, same: bool) -> tuple[np.ndar
         vs.append(j + shift)
 
     ends = [[np.append(s[1:], len(t.keys)) for s in t.starts] for t in (one, two)]
-    p, q = [], []
-    c2, r2 = two.vectors[two.centres[0]], two.radii[0]
-    for a in range(0, len(one.centres[0]), 512):
-        dots = one.vectors[one.centres[0][a : a + 512]] @ c2.T
-        bound = limit + SLACK + one.radii[0][a : a + 512, None] + r2[None, :]
-        i, j = np.nonzero(2 - 2 * dots <= bound * bound)
-        p.append(i + a)
-        q.append(j)
+    p, q = [np.zeros(0, int)], [np.zeros(0, int)]
+    # single precision is enough to prune with a margin; nodes of one row have no radius and need no bound of their own
+    tops = [(t.vectors[t.centres[0]].astype(np.float32), t.radii[0]) for t in (one, two)]
+    for rows in (np.flatnonzero(tops[0][1] == 0), np.flatnonzero(tops[0][1] > 0)):
+        for columns in (np.flatnonzero(tops[1][1] == 0), np.flatnonzero(tops[1][1] > 0)):
+            right, wide = tops[1][0][columns].T, tops[1][1][columns]
+            for a in range(0, len(rows) if len(columns) else 0, 512):
+                at = rows[a : a + 512]
+                bound = limit + tops[0][1][at].max() + wide.max()
+                i, j = np.nonzero(tops[0][0][at] @ right >= np.float32(1 - bound * bound / 2 - MARGIN))
+                p.append(at[i])
+                q.append(columns[j])
     p, q = np.concatenate(p), np.concatenate(q)
     if same:
         p, q = p[p <= q], q[p <= q]
