@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from vintora.catalog import book
+from vintora.catalog.queries import raw_book
 from vintora.operators import cohorts, portfolio, quality, rolls
-from vintora.session import size_shuffles
+from vintora.session import row_bytes, size_shuffles
+from vintora.sources.readers import norm_columns
 from vintora.sources.normalise import dedup_loans, normalise_installments
 from vintora.sources.workspace import materialise
 
@@ -89,6 +91,11 @@ def test_id_presence_scans_each_input_once(stored):
     assert plan(quality.dq_cross(*stored)).count("FileScan parquet") == 2
 
 
+def test_validation_scans(spark):
+    raw = [materialise(df, "raw") for df in raw_book(spark, SF)]
+    assert plan(quality.validate_book(spark, *raw, P)).count("FileScan parquet") == 6
+
+
 def test_a_hot_contract_is_split_in_the_cohort_join(spark, stored):
     loans, inst = stored
     hot = inst.crossJoin(spark.range(40)).drop("id").withColumn("id_contrato", F.lit(loans.first().id_contrato))
@@ -114,7 +121,7 @@ def test_a_hot_contract_is_split_in_the_cohort_join(spark, stored):
 
 
 def test_text_parsing_stays_in_generated_code(spark):
-    raw = materialise(book.messy_installments(spark, SF), "text")
+    raw = materialise(norm_columns(book.messy_installments(spark, SF)), "text")
     df = normalise_installments(raw)
     df.count()
     text = df._jdf.queryExecution().executedPlan().toString()
@@ -122,11 +129,14 @@ def test_text_parsing_stays_in_generated_code(spark):
 
 
 def test_shuffle_sizing_only_grows(spark):
-    small = spark.range(10)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        assert size_shuffles(spark, small) == current
-        assert size_shuffles(spark, spark.range(10**12)) == 8 * 10**12 // (128 * 1024 * 1024) + 1
-        assert size_shuffles(spark, spark.range(10**16)) == 100_000
+        assert size_shuffles(spark, 80) == current
+        assert size_shuffles(spark, 8 * 10**12) == 8 * 10**12 // (128 * 1024 * 1024) + 1
+        assert size_shuffles(spark, 8 * 10**16) == 100_000
+        assert size_shuffles(spark, 8 * 10**13, limit=10**6) == 8 * 10**13 // (128 * 1024 * 1024) + 1
+        same = spark.range(10**6).selectExpr("cast(1 as double) AS a", "cast('x' as string) AS b")
+        stored = materialise(same, "same")  # compresses to a few bytes a row
+        assert row_bytes(stored) == 24 * 10**6
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")

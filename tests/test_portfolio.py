@@ -48,19 +48,19 @@ def test_empty_book(spark, book):
     assert pf.rating_profile(none).count() == 0
 
 
-def test_delinquency_bands_skip_fractions_between_bands(book):
+def test_delinquency_bands_show_loans_between_bands(book):
     got = pf.delinquency_bands(book).collect()
-    assert [r.contratos_n for r in got] == [2, 0, 0, 1, 1]
-    assert [r.pct_carteira for r in got] == [40.0, 0.0, 0.0, 20.0, 20.0]
-    assert [r.acumulado for r in got] == pytest.approx([40.0, 40.0, 40.0, 60.0, 80.0])
-    assert got[0].faixa == "Corrente (0 dias)" and got[-1].faixa == "Acima de 90 dias"
+    assert [r.contratos_n for r in got] == [2, 0, 0, 1, 1, 1]
+    assert [r.pct_carteira for r in got] == [40.0, 0.0, 0.0, 20.0, 20.0, 20.0]
+    assert [r.acumulado for r in got] == pytest.approx([40.0, 40.0, 40.0, 60.0, 80.0, 100.0])
+    assert got[0].faixa == "Corrente (0 dias)" and [r.faixa for r in got[-2:]] == ["Acima de 90 dias", "Sem faixa"]
 
 
-def test_term_bands_include_empty_and_exclude_out_of_range(book):
+def test_term_bands_cover_all_loans(book):
     got = pf.term_bands(book).collect()
-    assert [r.contratos_n for r in got] == [1, 1, 0, 0, 0, 0, 1]
-    assert [r.principal for r in got] == [100.0, 300.0, 0.0, 0.0, 0.0, 0.0, 600.0]
-    assert [r.over60_pct for r in got] == [0.0, 100.0, 0.0, 0.0, 0.0, 0.0, 100.0]
+    assert [r.contratos_n for r in got] == [1, 1, 0, 0, 0, 0, 2, 1]
+    assert [r.principal for r in got] == [100.0, 300.0, 0.0, 0.0, 0.0, 0.0, 600.0, 0.0]
+    assert [r.over60_pct for r in got] == [0.0, 100.0, 0.0, 0.0, 0.0, 0.0, 50.0, 0.0]
 
 
 def test_rating_profile(book):

@@ -5,8 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from vintora.operators.quality import dq_malformed_lines
 from vintora.sources import layouts, normalise, readers, sinks
-from vintora.sources.workspace import materialise, new_folder, together
+from vintora.sources.workspace import NoSharedFolder, hadoop_path, materialise, new_folder, run_scratch, scratch_root, together
 
 
 def write(path, *lines):
@@ -34,6 +35,22 @@ def test_malformed_lines_are_dropped_whatever_is_selected(spark, tmp_path):
     assert [tuple(r) for r in df.orderBy("id_contrato").collect()] == [("1", "2", "3"), ("10", None, "12")]
 
 
+def test_quoted_values_and_counted_malformed_lines(spark, tmp_path):
+    lines = ["a;b;c", '1;"a ""q"" ; b";10', "2;plain;20", "3;short", '4;"it\\";30', '5;"x ""y""";50', "6;a;b;c"]
+    path = write(tmp_path / "t.csv", *lines)
+    got = sorted(tuple(r) for r in readers.read_text_table(spark, path).collect())
+    assert got == [("1", 'a "q" ; b', "10"), ("2", "plain", "20"), ("4", "it\\", "30"), ("5", 'x "y"', "50")]
+    found = dq_malformed_lines(readers.read_text_lines(spark, path), layouts.LOANS, max_share=0.5).first()
+    assert (found["n_bad"], found["n_total"], found["severity"]) == (2, 6, "aviso")
+    assert dq_malformed_lines(readers.read_text_lines(spark, path), layouts.LOANS).first()["severity"] == "erro"
+
+
+def test_wrong_separator_is_an_error(spark, tmp_path):
+    path = write(tmp_path / "LOANS.csv", "id_contrato,principal,pmt", "1,2,3")
+    with pytest.raises(normalise.MissingColumns):
+        normalise.normalise_loans(readers.read_loans(spark, path))
+
+
 def test_missing_renegotiations_are_none(spark, tmp_path):
     df = readers.read_renegotiations(spark, str(tmp_path / "none.csv"))
     assert readers.renegotiated_ids(df).count() == 0
@@ -66,7 +83,7 @@ def test_normalise_loans_with_missing_columns(spark):
         [(" 7 ", "1.000,50", "12", "1,5", None, "nan", "SP"), ("8", "x", None, None, "15/02/2024", "B", None)],
         "id_contrato string, principal string, num_parcelas string, taxa_cliente string, data_aquisicao string, "
         "rating_concessao string, regiao string",
-    )
+    ).selectExpr("*", "cast(null as string) AS pmt", "cast(null as string) AS dias_maior_atraso")
     a, b = normalise.normalise_loans(raw).orderBy("id_contrato").collect()
     assert (a.id_contrato, a.principal, a.pmt, a.num_parcelas, a.taxa_cliente) == ("7", 1000.5, 0.0, 12, 0.015)
     assert (a.safra, a.rating_concessao, a.uf, a.profissao, a.dias_maior_atraso) == ("N/I", "N/I", "SP", "N/I", 0.0)
@@ -77,7 +94,7 @@ def test_installments_keep_null_and_zero_garbage(spark):
     raw = spark.createDataFrame(
         [("1", None, "x", "", "3,7"), ("1", "10", None, "nan", None)],
         "id_contrato string, valor_parcela string, valor_pago string, data_pagamento string, num_parcela string",
-    )
+    ).selectExpr("*", "'p' AS id_parcela", "cast(null as string) AS data_vencimento", "'0' AS dias_atraso")
     a, b = normalise.normalise_installments(raw).collect()
     assert (a.valor_parcela, a.valor_pago, a.data_pagamento, a.num_parcela) == (None, 0.0, None, 4)
     assert (b.valor_parcela, b.valor_pago, b.num_parcela) == (10.0, None, None)
@@ -106,18 +123,25 @@ def test_stage_is_reused_and_unfinished_copies_are_rewritten(spark, tmp_path):
     dst = str(tmp_path / "inst.parquet")
     first = sinks.stage_installments(spark, src, dst)
     assert first.count() == 1 and first.first().valor_parcela == 1000.0
-    write(tmp_path / "INSTALLMENTS.csv", header, "1;a;1;15/01/2024;;1;;0", "2;b;1;15/01/2024;;1;;0")
+    marked = os.stat(os.path.join(dst, "_SUCCESS")).st_mtime_ns
     assert sinks.stage_installments(spark, src, dst).count() == 1
+    assert os.stat(os.path.join(dst, "_SUCCESS")).st_mtime_ns == marked
+    write(tmp_path / "INSTALLMENTS.csv", header, "1;a;1;15/01/2024;;1;;0", "2;b;1;15/01/2024;;1;;0")
+    assert sinks.stage_installments(spark, src, dst).count() == 2
+    with pytest.raises(normalise.MissingColumns):
+        sinks.stage_installments(spark, src, dst, sep=",")
     os.remove(os.path.join(dst, "_SUCCESS"))
     assert sinks.stage_installments(spark, src, dst).count() == 2
+    assert sinks.text_bytes(spark, src, str(tmp_path / "none.csv")) == os.path.getsize(src)
 
 
-def test_write_result_skips_empty_tables(spark, tmp_path):
+def test_write_result_replaces_old_tables_by_empty_ones(spark, tmp_path):
     df = spark.createDataFrame([(1, "ação")], "n int, t string")
     assert sinks.write_result(df, str(tmp_path / "a"), "csv")
     assert readers.read_text_table(spark, str(tmp_path / "a")).collect()[0].t == "ação"
+    assert sinks.write_result(df, str(tmp_path / "b"))
     assert not sinks.write_result(df.where("n > 1"), str(tmp_path / "b"))
-    assert not (tmp_path / "b").exists()
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 0
 
 
 def test_scratch_folder_comes_from_the_session(spark):
@@ -126,6 +150,29 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert kept.count() == 3 and "FileScan parquet" in kept._jdf.queryExecution().executedPlan().toString()
 
 
+def test_no_local_scratch_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(NoSharedFolder):
+        scratch_root(Session())
+
+
+def test_run_folder_is_removed_also_after_a_failure(spark):
+    with pytest.raises(ZeroDivisionError):
+        with run_scratch(spark) as folder:
+            kept = together({"a": lambda: materialise(spark.range(3), "x")})["a"]
+            assert kept.inputFiles()[0].split(":", 1)[-1].lstrip("/").startswith(folder.split(":", 1)[-1].lstrip("/"))
+            1 / 0
+    files, target = hadoop_path(spark, folder)
+    assert not files.exists(target)
+
+
 def test_together_returns_and_raises(spark):
     assert together({"a": lambda: spark.range(2).count(), "b": lambda: spark.range(5).count()}) == {"a": 2, "b": 5}
     with pytest.raises(ZeroDivisionError):

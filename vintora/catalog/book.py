@@ -16,16 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    """Use every core on rows derived from a small test file.
-
-    A test file is one row group, so one task would do all the work. A source with at
-    least as many splits as cores is left as it is.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    return df if table(spark, sf_dir, source).rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _order_columns() -> dict[str, Column]:
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     return {

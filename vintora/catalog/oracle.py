@@ -358,7 +358,8 @@ def sql(select: str) -> str:
         return select
     order = sorted(needed, key=_rank)
     keyword = "WITH RECURSIVE" if "b_steps" in needed else "WITH"
-    return f"{keyword} " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + f"\n{select}"
+    once = {n: "MATERIALIZED " if n in ("b_grid", "b_oldest") else "" for n in order}
+    return f"{keyword} " + ",\n".join(f"{n} AS {once[n]}({CTES[n]})" for n in order) + f"\n{select}"
 
 
 def _rank(name: str) -> int:

@@ -61,26 +61,31 @@ def write_text(df: DataFrame, name: str) -> str:
 
 
 def broken_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messy loans in which one line in 29 has a separator too many."""
+    """Messy loans in which one line in 29 has a separator too many, and some values are quoted."""
     df = book.messy_loans(spark, sf_dir)
     key = norm_id(F.col("` Unique ID `")).cast("bigint")
     term = F.when(key % 29 == 0, F.concat("num_parcelas", F.lit(";;"))).otherwise(F.col("num_parcelas"))
-    return df.withColumn("num_parcelas", term)
+    quoted = F.when(key % 31 == 0, '"a ""q"" ; b"').when(key % 37 == 0, '"it\\"').otherwise(F.col("regiao"))
+    return df.withColumn("num_parcelas", term).withColumn("regiao", quoted)
 
 
 RAW_LOANS_SQL = f"""
 SELECT '  ' || id_contrato || ' ' AS "id_contrato", {o.money_text('principal', '(k % 5)')} AS principal,
   {o.money_text('pmt', '((k + 1) % 5)')} AS pmt, CAST(num_parcelas AS VARCHAR) AS num_parcelas,
   {o.date_text('data_aquisicao', '(k % 4)')} AS data_aquisicao,
+  replace(CAST(CAST(taxa_cliente AS DECIMAL(10, 4)) AS VARCHAR), '.', ',') AS taxa_cliente,
   CASE WHEN k % 11 = 0 THEN NULL ELSE CAST(CAST(dias_maior_atraso AS INTEGER) AS VARCHAR) END AS dias_maior_atraso,
   CASE WHEN k % 13 = 0 THEN 'NaN' ELSE rating_concessao END AS rating_concessao, situacao_beneficio AS regiao
 FROM b_loans"""
 
 
-@register("src_loans_csv", RAW_LOANS_SQL + " WHERE k % 29 <> 0")
+QUOTED_SQL = "CASE WHEN k % 31 = 0 THEN 'a \"q\" ; b' WHEN k % 37 = 0 THEN 'it\\' ELSE situacao_beneficio END AS regiao"
+
+
+@register("src_loans_csv", RAW_LOANS_SQL.replace("situacao_beneficio AS regiao", QUOTED_SQL) + " WHERE k % 29 <> 0")
 def src_loans_csv(spark, sf_dir):
     path = write_text(broken_loans(spark, sf_dir), "loans-csv")
-    return readers.read_loans(spark, path).drop("taxa_cliente")
+    return readers.read_loans(spark, path)
 
 
 @register("src_renegotiated_ids", "SELECT DISTINCT CAST(origem AS VARCHAR) AS id_contrato FROM b_reneg")
@@ -203,11 +208,11 @@ def stored_text(df: DataFrame, name: str) -> DataFrame:
 
 
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.norm_id_alias(stored_text(book.spread(book.messy_loans(spark, sf_dir), spark, sf_dir, "orders"), "texto-loans"))
+    return readers.norm_id_alias(stored_text(book.messy_loans(spark, sf_dir), "texto-loans"))
 
 
 def messy_inst(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_text(book.spread(book.messy_installments(spark, sf_dir), spark, sf_dir, "lineitem"), "texto-inst")
+    return stored_text(book.messy_installments(spark, sf_dir), "texto-inst")
 
 
 @register(
@@ -215,13 +220,13 @@ def messy_inst(spark: SparkSession, sf_dir: str) -> DataFrame:
     RAW_LOANS_SQL.replace('"id_contrato"', '"unique id"'),
 )
 def norm_columns(spark, sf_dir):
-    df = readers.norm_columns(book.messy_loans(spark, sf_dir)).drop("taxa_cliente")
+    df = readers.norm_columns(book.messy_loans(spark, sf_dir))
     return df.withColumn("data_aquisicao", F.when(F.col("data_aquisicao") != "", F.col("data_aquisicao")))
 
 
 @register("norm_id_alias", RAW_LOANS_SQL)
 def norm_id_alias(spark, sf_dir):
-    df = messy(spark, sf_dir).drop("taxa_cliente")
+    df = messy(spark, sf_dir)
     return df.withColumn("data_aquisicao", F.when(F.col("data_aquisicao") != "", F.col("data_aquisicao")))
 
 
@@ -506,17 +511,18 @@ def cross_profile_channel(spark, sf_dir):
 
 
 def sparse_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loans without one rating x score pair, so that the matrix has an empty cell."""
+    """All loans, those of one rating x score pair under another score, so that the matrix has an empty cell."""
     loans = book.loans(spark, sf_dir, attributes=True)
-    return loans.where(~((F.col("rating_concessao") == "1") & (F.col("bhv_m") == "MACHINERY")))
+    pair = (F.col("rating_concessao") == "1") & (F.col("bhv_m") == "MACHINERY")
+    return loans.withColumn("bhv_m", F.when(pair, "BUILDING").otherwise(F.col("bhv_m")))
 
 
 def _matrix_sql(columns: str) -> str:
     return f"""
 SELECT rating, bhv, {columns} FROM (SELECT DISTINCT rating_concessao AS rating FROM b_loans) CROSS JOIN
   (SELECT DISTINCT bhv_m AS bhv FROM b_loans) LEFT JOIN
-  (SELECT rating_concessao AS rating, bhv_m AS bhv, count(*) AS n, {o.money('principal')} AS p, {o.OVER60} AS o60
-   FROM b_loans WHERE NOT (rating_concessao = '1' AND bhv_m = 'MACHINERY') GROUP BY 1, 2) USING (rating, bhv)"""
+  (SELECT rating_concessao AS rating, CASE WHEN rating_concessao = '1' AND bhv_m = 'MACHINERY' THEN 'BUILDING' ELSE bhv_m END AS bhv,
+   count(*) AS n, {o.money('principal')} AS p, {o.OVER60} AS o60 FROM b_loans GROUP BY 1, 2) USING (rating, bhv)"""
 
 
 @register(
@@ -1007,16 +1013,30 @@ COLUMNS_SQL = " UNION ALL ".join(
 )
 
 
-@register("dq_required_columns", COLUMNS_SQL)
-def dq_required_columns(spark, sf_dir):
-    loans, inst, reneg = raw_book(spark, sf_dir)
-    return quality.union_all(
-        [
-            quality.dq_columns(loans, layouts.LOANS),
-            quality.dq_columns(inst, layouts.INSTALLMENTS),
-            quality.dq_columns(reneg, layouts.RENEGOTIATIONS),
-        ]
+HELD_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS dataset, '{column}' AS \"column\", CAST(count({value}) AS BIGINT) AS linhas {source}"
+    for name, column, value, source in (
+        ("LOANS", "id_contrato", "id_contrato", "FROM b_loans"),
+        ("LOANS", "principal", "principal", "FROM b_loans"),
+        ("LOANS", "pmt", "pmt", "FROM b_loans"),
+        ("LOANS", "num_parcelas", "num_parcelas", "FROM b_loans"),
+        ("LOANS", "data_aquisicao", "k", "FROM b_loans"),
+        ("LOANS", "taxa_cliente", "taxa_cliente", "FROM b_loans"),
+        ("LOANS", "rating_concessao", "CASE WHEN k % 13 <> 0 THEN 1 END", "FROM b_loans"),
+        ("LOANS", "dias_maior_atraso", "CASE WHEN k % 11 <> 0 THEN 1 END", "FROM b_loans"),
+        ("RENEGOCIACAO", "id_contrato_novo", "k", "FROM b_reneg"),
+        ("RENEGOCIACAO", "id_contrato_origem", "origem", "FROM b_reneg"),
+        ("RENEGOCIACAO", "data_pagamento", "NULL", "FROM b_reneg"),
     )
+)
+
+
+@register("dq_required_columns", HELD_SQL)
+def dq_required_columns(spark, sf_dir):
+    """Rows that hold a value, for required columns of the loans and some of the renegotiations."""
+    loans = quality.rows_held(raw_loans(spark, sf_dir), layouts.LOANS)
+    reneg = quality.rows_held(book.renegotiations(spark, sf_dir), layouts.RENEGOTIATIONS)
+    return loans.unionByName(reneg.where(F.col("column").isin("id_contrato_novo", "id_contrato_origem", "data_pagamento")))
 
 
 def _null_rows(dataset: str, source: str, conditions: dict[str, tuple[str, str]]) -> str:
@@ -1077,11 +1097,24 @@ LOAN_VALUES_SQL = _rows(
         ("nao_numerico", "pmt", "(k + 1) % 5 = 4 AND k % 97 <> 0", "aviso", "nao numericos"),
         ("negativo", "pmt", "k % 97 = 0", "erro", "negativos"),
         ("prazo_minimo", "num_parcelas", "k % 89 = 0 OR k % 83 = 0", "erro", "num_parcelas < 1"),
+        ("prazo_maximo", "num_parcelas", "false", "erro", "num_parcelas acima do limite"),
         ("data_invalida", "data_aquisicao", "k % 79 = 0", "erro", "datas invalidas"),
     ],
 )
 
 
+@register(
+    "dq_malformed_lines",
+    finding_sql(
+        "LOANS", "linhas_malformadas", "", "count(*) FILTER (WHERE k % 29 = 0)", "count(*)", "erro", "linhas fora do cabecalho",
+        "FROM b_loans",
+    ),
+)
+def dq_malformed_lines(spark, sf_dir):
+    lines = readers.read_text_lines(spark, write_text(broken_loans(spark, sf_dir), "loans-csv"))
+    return quality.dq_malformed_lines(lines, layouts.LOANS)
+
+
 @register("dq_loans_values", LOAN_VALUES_SQL)
 def dq_loans_values(spark, sf_dir):
     return quality.dq_loans(raw_loans(spark, sf_dir))

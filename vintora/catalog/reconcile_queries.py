@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vintora.catalog import book
 from vintora.catalog import oracle as o
-from vintora.catalog.queries import kpis, ltm, npv, register
+from vintora.catalog.queries import Curves, kpis, ltm, npv, register
 from vintora.catalog.book import PARAMS
-from vintora.operators import cohorts, portfolio, reconcile, valuation
+from vintora.operators import cohorts, curves, portfolio, reconcile, valuation
 from vintora.operators.inline_tables import inline_table
 from vintora.plans.portfolio_run import export_rounded
+from vintora.sources.workspace import materialise
 
 
 def long_sql(source: str, key: str, measures: Mapping[str, str], check: str) -> str:
@@ -261,12 +262,26 @@ def rollup_consistency(spark, sf_dir):
 
 @register(
     "monotonic_curves",
-    """SELECT safra, count(*) AS quedas FROM (SELECT safra, perda, lag(perda) OVER (PARTITION BY safra ORDER BY mob) AS antes
-       FROM b_mob) WHERE perda < antes - 1e-9 GROUP BY safra""",
+    """SELECT curva, safra, count(*) AS quedas FROM (
+         SELECT curva, safra, v, lag(v) OVER (PARTITION BY curva, safra ORDER BY mob) AS antes FROM (
+           SELECT 'perda' AS curva, safra, mob, p AS v FROM b_curve UNION ALL
+           SELECT 'receita', safra, mob, r FROM b_curve UNION ALL
+           SELECT 'incremento', safra, mob, perda FROM b_mob)) WHERE v < antes - 1e-9 GROUP BY 1, 2""",
 )
 def monotonic_curves(spark, sf_dir):
-    cells = cohorts.loss_revenue_by_mob(book.loans(spark, sf_dir), book.installments(spark, sf_dir), PARAMS)
-    return reconcile.monotonic_curves(cells, "safra", "mob", "perda")
+    """Both cumulative curves, which must not fall, and monthly losses as the planted violation, which do."""
+    curve = materialise(Curves(spark, sf_dir).curve(), "curves")
+    monthly = cohorts.loss_revenue_by_mob(book.loans(spark, sf_dir), book.installments(spark, sf_dir), PARAMS)
+    checked = (
+        ("perda", curves.loss_curve(curve), "perda_acum_pct"),
+        ("receita", curves.revenue_curve(curve), "receita_acum_pct"),
+        ("incremento", monthly, "perda"),
+    )
+    found = [
+        reconcile.monotonic_curves(df, "safra", "mob", value).select(F.lit(name).alias("curva"), "safra", "quedas")
+        for name, df, value in checked
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 def golden_states(profile: DataFrame) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import Column, functions as F
 
 from vintora.params import NOT_INFORMED
 
+MAX_INT = 2**31 - 1
 WHITESPACE = " \t\n\r\x0b\x0c"
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 SLASH_DATE = r"^\d{1,2}/\d{1,2}/(?!0000)\d{4}$"
-DASH_DATE = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}(\s+([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d)?$"
+DASH_DATE = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}(\s+([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d([.]\d{1,9})?)?$"
 
 # Texts that stand for "no date" and "no category".
 BLANK_DATES = ("", "nan", "None", "NaT")
@@ -54,8 +55,10 @@ def norm_decimal(c: Column, *, null_as_zero: bool = True) -> Column:
 
 
 def norm_int(c: Column, *, null_as_zero: bool = True) -> Column:
-    """As ``norm_decimal`` then rounded half-even to an integer."""
-    return F.rint(norm_decimal(c, null_as_zero=null_as_zero)).try_cast("int")
+    """As ``norm_decimal`` then rounded half-even to an integer; one that does not fit fails the job."""
+    value = F.rint(norm_decimal(c, null_as_zero=null_as_zero))
+    message = F.concat(F.lit("integer out of range: "), c.cast("string"))
+    return F.when(F.abs(value) > MAX_INT, F.raise_error(message).cast("int")).otherwise(value.try_cast("int"))
 
 
 def norm_decimal_strict(c: Column) -> Column:
@@ -68,11 +71,11 @@ def date_text_is_blank(c: Column) -> Column:
 
 
 def norm_date(c: Column) -> Column:
-    """``d/m/yyyy``, ``yyyy-m-d`` or ``yyyy-m-d h:m:s``; anything else is null.
+    """``d/m/yyyy``, ``yyyy-m-d`` or ``yyyy-m-d h:m:s`` with or without a fraction; anything else is null.
 
     The patterns decide the shape and the cast to date rejects impossible days.
     """
-    text = F.substring(clean_text(c), 1, 19)
+    text = clean_text(c)
     year, month, day = (F.split_part(text, F.lit("/"), F.lit(i)) for i in (3, 2, 1))
     return (
         F.when(text.rlike(SLASH_DATE), F.concat_ws("-", year, month, day))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from vintora.functions.calendar import int_range, months_diff, year_month
 from vintora.functions.numbers import cents, from_cents, pct, ratio, sum_cents
 from vintora.operators.inline_tables import inline_table
-from vintora.params import DELINQUENCY_BANDS, NOT_INFORMED, TERM_BANDS, Params
+from vintora.params import DELINQUENCY_BANDS, NO_BAND, NOT_INFORMED, TERM_BANDS, Params
 
 
 def days_late() -> Column:
@@ -85,7 +85,7 @@ def _band(value: Column, bands) -> Column:
     """Ordinal of the band holding the value; null when it falls between two bands."""
     out = None
     for i, (_, lo, hi) in enumerate(bands):
-        inside = value <= hi if lo is None else value.between(lo, hi)
+        inside = value <= hi if lo is None else value >= lo if hi is None else value.between(lo, hi)
         out = F.when(inside, i) if out is None else out.when(inside, i)
     return out
 
@@ -178,33 +178,34 @@ def shares(cut: DataFrame) -> DataFrame:
 def _all_bands(cut: DataFrame, key: str, bands) -> DataFrame:
     """Every band with its cut, zero where it is empty; values between bands come last.
 
-    Loans in no band keep a row without label, so totals over the frame cover all loans.
+    Loans in no band share a last row of their own, so counts always add up to all loans.
     """
     labels = inline_table(cut.sparkSession, f"{key}, faixa", [(i, b[0]) for i, b in enumerate(bands)])
-    return labels.join(cut, key, "full").na.fill(0)
+    numbers = [c for c in cut.columns if c != key]
+    return labels.join(cut, key, "full").na.fill(0, numbers).na.fill(NO_BAND, ["faixa"])
 
 
 def delinquency_rows(cut: DataFrame) -> DataFrame:
     rows = _all_bands(cut, "faixa_atraso", DELINQUENCY_BANDS)
     n, everyone = F.col("contratos_n"), Window.partitionBy()
-    order = Window.orderBy(F.col("faixa").isNull(), "faixa_atraso")
+    order = Window.orderBy(F.col("faixa_atraso").asc_nulls_last())
     running = order.rowsBetween(Window.unboundedPreceding, 0)
     return rows.select(
         "faixa",
         "contratos_n",
         pct(n, F.sum(n).over(everyone)).alias("pct_carteira"),
         pct(F.sum(n).over(running), F.sum(n).over(everyone)).alias("acumulado"),
-    ).where(F.col("faixa").isNotNull())
+    )
 
 
 def delinquency_bands(loans: DataFrame) -> DataFrame:
-    """Five bands of days late, with share and cumulative share; all bands present."""
+    """Five bands of days late, with share and cumulative share; all bands present, loans between bands last."""
     return delinquency_rows(loan_cut(loans, "faixa_atraso"))
 
 
 def term_rows(cut: DataFrame) -> DataFrame:
-    rows = _all_bands(cut, "faixa_prazo", TERM_BANDS).where(F.col("faixa").isNotNull())
-    return rows.orderBy("faixa_prazo").select(
+    rows = _all_bands(cut, "faixa_prazo", TERM_BANDS)
+    return rows.orderBy(F.col("faixa_prazo").asc_nulls_last()).select(
         "faixa",
         "contratos_n",
         from_cents(F.col("principal_c")).alias("principal"),
@@ -214,7 +215,7 @@ def term_rows(cut: DataFrame) -> DataFrame:
 
 
 def term_bands(loans: DataFrame) -> DataFrame:
-    """Seven term bands with count, principal and over-60 share; all bands present."""
+    """Seven term bands with count, principal and over-60 share; all bands present, loans in none last."""
     return term_rows(loan_cut(loans, "faixa_prazo"))
 
 

@@ -23,6 +23,7 @@ from vintora.functions.parsing import (
 from vintora.operators.inline_tables import inline_table
 from vintora.params import Params
 from vintora.sources.layouts import INSTALLMENTS, LOANS, NULL_MEANS_ZERO, RENEGOTIATIONS, Layout
+from vintora.sources.readers import MALFORMED, well_formed, with_data_column
 
 OK, WARN, ERROR = "ok", "aviso", "erro"
 FINDING = ("dataset", "check", "column", "severity", "n_bad", "n_total", "pct", "message")
@@ -42,6 +43,7 @@ class Check:
     bad: Column
     severity: Column | str
     message: str
+    total: Column | None = None
 
 
 def count_where(condition: Column) -> Column:
@@ -50,10 +52,9 @@ def count_where(condition: Column) -> Column:
 
 def findings(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Run all checks of one table in a single aggregation."""
-    total = F.count(F.lit(1))
     rows = []
     for c in checks:
-        bad = c.bad.cast("bigint")
+        bad, total = c.bad.cast("bigint"), F.count(F.lit(1)) if c.total is None else c.total
         level = F.when(bad > 0, c.severity).otherwise(OK) if isinstance(c.severity, str) else c.severity
         rows.append(
             F.struct(
@@ -138,6 +139,16 @@ def dq_columns(df: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
+def rows_held(df: DataFrame, layout: Layout) -> DataFrame:
+    """Rows with a value in each required column that the input has, from one scan."""
+    rows = [
+        F.struct(F.lit(layout.dataset).alias("dataset"), F.lit(c).alias("column"), F.count(c).alias("linhas"))
+        for c in layout.required
+        if c in df.columns
+    ]
+    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+
+
 def null_checks(df: DataFrame, layout: Layout) -> list[Check]:
     checks = []
     for c in layout.required:
@@ -165,7 +176,7 @@ def negative(dataset: str, column: str, severity: str) -> Check:
     return Check(dataset, "negativo", column, count_where(number_of(column) < 0), severity, "negativos")
 
 
-def loan_checks(df: DataFrame) -> list[Check]:
+def loan_checks(df: DataFrame, max_term: int = Params.max_term) -> list[Check]:
     checks = []
     for c in ("principal", "pmt"):
         if c in df.columns:
@@ -174,6 +185,8 @@ def loan_checks(df: DataFrame) -> list[Check]:
     if "num_parcelas" in df.columns:
         short = F.coalesce(number_of("num_parcelas"), F.lit(0.0)) < 1
         checks.append(Check("LOANS", "prazo_minimo", "num_parcelas", count_where(short), ERROR, "num_parcelas < 1"))
+        long = count_where(number_of("num_parcelas") > max_term)
+        checks.append(Check("LOANS", "prazo_maximo", "num_parcelas", long, ERROR, "num_parcelas acima do limite"))
     if "data_aquisicao" in df.columns:
         checks.append(invalid_date("LOANS", "data_aquisicao", ERROR))
     return checks
@@ -203,9 +216,16 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return findings(df, checks) if checks else no_findings(df.sparkSession)
 
 
-def dq_loans(df: DataFrame) -> DataFrame:
+def dq_loans(df: DataFrame, max_term: int = Params.max_term) -> DataFrame:
     """Numbers, terms and acquisition dates of raw loans."""
-    return run_checks(df, loan_checks(df))
+    return run_checks(df, loan_checks(df, max_term))
+
+
+def dq_malformed_lines(lines: DataFrame, layout: Layout, max_share: float = Params.max_malformed) -> DataFrame:
+    """Lines of ``read_text_lines`` that do not match the header; an error above the share ``max_share``."""
+    bad, total = F.count_if(F.col(MALFORMED).isNotNull()), F.count(F.lit(1))
+    level = F.when(bad > max_share * total, ERROR).when(bad > 0, WARN).otherwise(OK)
+    return findings(with_data_column(lines), [Check(layout.dataset, "linhas_malformadas", "", bad, level, "linhas fora do cabecalho")])
 
 
 def dq_installments(df: DataFrame) -> DataFrame:
@@ -288,14 +308,16 @@ def dq_cross(loans: DataFrame, inst: DataFrame, reneg: DataFrame | None = None)
     return seen.agg(F.array(*rows).alias("f")).select(F.inline("f"))
 
 
-def dq_conditional_column(loans: DataFrame, inst: DataFrame) -> DataFrame:
-    """Payroll products need ``motivo_falha_repasse`` among the instalments."""
+def conditional_checks(loans: DataFrame, inst: DataFrame) -> list[Check]:
     if "motivo_falha_repasse" in inst.columns or "tipo_produto" not in loans.columns:
-        return no_findings(loans.sparkSession)
+        return []
     payroll = count_where(F.col("tipo_produto").rlike("(?i)consignado"))
-    return findings(
-        loans, [Check("INSTALLMENTS", "coluna_condicional", "motivo_falha_repasse", payroll, ERROR, "exigida por consignado")]
-    )
+    return [Check("INSTALLMENTS", "coluna_condicional", "motivo_falha_repasse", payroll, ERROR, "exigida por consignado")]
+
+
+def dq_conditional_column(loans: DataFrame, inst: DataFrame) -> DataFrame:
+    """Payroll products need ``motivo_falha_repasse`` among the instalments."""
+    return run_checks(loans, conditional_checks(loans, inst))
 
 
 def snapshot_facts(loans: DataFrame, p: Params) -> DataFrame:
@@ -316,19 +338,16 @@ def snapshot_facts(loans: DataFrame, p: Params) -> DataFrame:
 
 def dq_snapshot(loans: DataFrame, p: Params) -> DataFrame:
     """Loans acquired after the snapshot, or no usable acquisition date at all."""
+    return run_checks(loans, snapshot_checks(loans, p))
+
+
+def snapshot_checks(loans: DataFrame, p: Params) -> list[Check]:
     if "data_aquisicao" not in loans.columns:
-        return no_findings(loans.sparkSession)
-    bad, total = F.col("posteriores"), F.col("datas_validas")
-    return snapshot_facts(loans, p).select(
-        F.lit("LOANS").alias("dataset"),
-        F.lit("data_base").alias("check"),
-        F.lit("data_aquisicao").alias("column"),
-        F.when((bad > 0) | (total == 0), WARN).otherwise(OK).alias("severity"),
-        bad.alias("n_bad"),
-        total.alias("n_total"),
-        pct(bad, total).alias("pct"),
-        F.lit("posteriores a data_base").alias("message"),
-    )
+        return []
+    acquired = norm_date(F.col("data_aquisicao"))
+    bad, total = count_where(acquired > F.lit(p.snapshot)), F.count(acquired)
+    level = F.when((bad > 0) | (total == 0), WARN).otherwise(OK)
+    return [Check("LOANS", "data_base", "data_aquisicao", bad, level, "posteriores a data_base", total)]
 
 
 def validate_book(
@@ -340,26 +359,39 @@ def validate_book(
 ) -> DataFrame:
     """All findings of the three raw inputs; None stands for a missing file.
 
-    Presence, nulls and values of an input share one aggregation, so each input is
-    scanned once for its own checks and once for the checks across inputs.
+    Presence, nulls, values, snapshot and conditional columns of an input share one aggregation, so each input is
+    scanned once for its own checks and once for the checks across inputs. Inputs may hold the column of
+    ``read_text_lines``; malformed lines then take one more scan, and only the others are checked.
     """
+    max_term, max_share = (p.max_term, p.max_malformed) if p else (Params.max_term, Params.max_malformed)
+    lines = ((loans, LOANS), (inst, INSTALLMENTS), (reneg, RENEGOTIATIONS))
+    malformed = [
+        dq_malformed_lines(df, layout, max_share) for df, layout in lines if df is not None and MALFORMED in df.columns
+    ]
+    loans, inst, reneg = (well_formed(df) if df is not None and MALFORMED in df.columns else df for df, _ in lines)
+
+    def of_loans(df: DataFrame) -> list[Check]:
+        return [
+            *loan_checks(df, max_term),
+            *(snapshot_checks(df, p) if p is not None else []),
+            *(conditional_checks(df, inst) if inst is not None else []),
+        ]
+
     inputs = (
-        (loans, LOANS, loan_checks),
+        (loans, LOANS, of_loans),
         (inst, INSTALLMENTS, installment_checks),
         (reneg, RENEGOTIATIONS, renegotiation_checks),
     )
-    parts = []
+    parts = list(malformed)
     for df, layout, values in inputs:
         if df is None:
             parts.append(missing_input(spark, layout))
         else:
             checks = [presence_check(layout), *null_checks(df, layout), *values(df)]
             parts += [findings(df, checks), dq_columns(df, layout)]
-    if loans is not None and p is not None:
-        parts.append(dq_snapshot(loans, p))
     if loans is not None and inst is not None and "id_contrato" in loans.columns and "id_contrato" in inst.columns:
         usable = reneg if reneg is not None and "id_contrato_origem" in reneg.columns else None
-        parts += [dq_cross(loans, inst, usable), dq_conditional_column(loans, inst)]
+        parts.append(dq_cross(loans, inst, usable))
     return union_all(parts)
 
 

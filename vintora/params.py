@@ -23,10 +23,10 @@ DELINQUENCY_BANDS = (
     ("1 a 30 dias", 1, 30),
     ("31 a 60 dias", 31, 60),
     ("61 a 90 dias", 61, 90),
-    ("Acima de 90 dias", 91, 999999),
+    ("Acima de 90 dias", 91, None),
 )
 
-# Fixed values: (label, first term, last term).
+# Fixed values: (label, first term, last term); a last term of None is open-ended.
 TERM_BANDS = (
     ("1-12 meses", 1, 12),
     ("13-24 meses", 13, 24),
@@ -34,7 +34,7 @@ TERM_BANDS = (
     ("37-48 meses", 37, 48),
     ("49-60 meses", 49, 60),
     ("61-72 meses", 61, 72),
-    (">72 meses", 73, 9999),
+    (">72 meses", 73, None),
 )
 
 # Roll name, numerator bucket this month, denominator bucket last month.
@@ -47,16 +47,25 @@ ROLLS = (
     ("r151_180", "f151_180", "f121_150"),
 )
 
+# Names and labels of the reports.
 RISK_GROUPS = ("alto", "medio", "baixo")
 NOT_INFORMED = "N/I"
 LTM_LABEL = "Média LTM"
+NO_BAND = "Sem faixa"  # our own: loans between two bands
 
 
 @dataclass(frozen=True)
 class Params:
-    """Snapshot date plus the fixed methodology constants."""
+    """Snapshot date plus the methodology constants.
+
+    The gate refuses terms above ``max_term``, which would otherwise size every curve, and a share of malformed
+    lines above ``max_malformed``.
+    """
 
     snapshot: date
+    max_term: int = 600
+    max_malformed: float = 0.0
+    # The methodology's constants.
     mob_cut: int = 2
     mature_mob: int = 6
     scale_mob: int = 4

@@ -9,11 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from vintora.functions.numbers import round_columns
 from vintora.operators import cohorts, curves, portfolio, rolls, valuation
 from vintora.params import Params
-from vintora.session import size_shuffles
+from vintora.operators.quality import require_pass, validate_book
+from vintora.session import row_bytes, size_shuffles
+from vintora.sources.layouts import RENEGOTIATIONS
 from vintora.sources.normalise import normalise_loans
-from vintora.sources.readers import portfolio_meta, read_loans, read_renegotiations, renegotiated_ids
-from vintora.sources.sinks import export_bundle, stage_installments
-from vintora.sources.workspace import materialise, together
+from vintora.sources.readers import (
+    empty_raw,
+    norm_id_alias,
+    portfolio_meta,
+    read_loans,
+    read_or_none,
+    read_renegotiations,
+    read_text_lines,
+    renegotiated_ids,
+)
+from vintora.sources.sinks import export_bundle, stage_installments, text_bytes
+from vintora.sources.workspace import materialise, run_scratch, together
 
 # Decimals of the exported columns.
 EXPORT_DECIMALS = {
@@ -142,8 +153,10 @@ def run_portfolio(
     """All result tables of one book, rounded as exported.
 
     ``store`` writes the shared intermediates once; without it everything stays one
-    lazy plan per table.
+    lazy plan per table. With it the inputs are stored tables, whose rows size the shuffles.
     """
+    if store:
+        size_shuffles(loans.sparkSession, max(row_bytes(loans), row_bytes(inst)))
     if meta is None:
         meta = default_meta(loans.sparkSession, p)
     tables = results(book_facts(loans, inst, p, store), reneg_ids, meta, p, store)
@@ -162,14 +175,38 @@ def run_from_files(
     client: str | None = None,
     sep: str = ";",
     fmt: str = "parquet",
+    validate: bool = True,
+    **overrides,
 ) -> dict[str, bool]:
-    """Read the delimited inputs of a folder, run everything and write the bundle."""
+    """Read the delimited inputs of a folder, pass the gate, run everything and write the bundle.
+
+    A finding of severity ``erro`` stops the run with ``ValidationFailed`` unless ``validate`` is off. ``overrides`` are
+    fields of ``Params``, such as ``max_term``. Intermediates are removed at the end, also after a failure.
+    """
     folder, output = folder.rstrip("/"), output.rstrip("/")
-    p = Params.at(snapshot)
-    raw_loans = read_loans(spark, f"{folder}/LOANS.csv", sep)
-    inst = stage_installments(spark, f"{folder}/INSTALLMENTS.csv", f"{folder}/INSTALLMENTS.parquet", sep)
-    size_shuffles(spark, raw_loans, inst)
-    loans = materialise(normalise_loans(raw_loans), "loans")
-    ids = renegotiated_ids(read_renegotiations(spark, f"{folder}/RENEGOCIACAO.csv", sep))
-    meta = portfolio_meta(spark, f"{folder}/META.csv", client, snapshot, sep)
-    return export_bundle(run_portfolio(loans, inst, ids, p, meta), output, fmt)
+    p = Params.at(snapshot, **overrides)
+    with run_scratch(spark):
+        size_shuffles(spark, text_bytes(spark, *[f"{folder}/{n}.csv" for n in ("LOANS", "INSTALLMENTS", "RENEGOCIACAO")]))
+        if validate:
+            require_pass(validate_files(spark, folder, p, sep))
+        inst = stage_installments(spark, f"{folder}/INSTALLMENTS.csv", f"{folder}/INSTALLMENTS.parquet", sep)
+        loans = materialise(normalise_loans(read_loans(spark, f"{folder}/LOANS.csv", sep)), "loans")
+        ids = renegotiated_ids(read_renegotiations(spark, f"{folder}/RENEGOCIACAO.csv", sep))
+        meta = portfolio_meta(spark, f"{folder}/META.csv", client, snapshot, sep)
+        return export_bundle(run_portfolio(loans, inst, ids, p, meta), output, fmt)
+
+
+def validate_files(spark: SparkSession, folder: str, p: Params, sep: str = ";") -> DataFrame:
+    """All findings of the delimited inputs of a folder, malformed lines included.
+
+    As in the run, missing renegotiations count as none.
+    """
+
+    def lines(name: str) -> DataFrame | None:
+        df = read_or_none(spark, f"{folder}/{name}.csv", sep, read_text_lines)
+        return None if df is None else norm_id_alias(df)
+
+    reneg = lines("RENEGOCIACAO")
+    return validate_book(
+        spark, lines("LOANS"), lines("INSTALLMENTS"), empty_raw(spark, RENEGOTIATIONS) if reneg is None else reneg, p
+    )

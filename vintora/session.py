@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType
 
 TARGET_PARTITION = 128 * 1024 * 1024
+WIDTHS = {"boolean": 1, "integer": 4, "date": 4, "long": 8, "double": 8, "timestamp": 8}  #: others count 16 bytes
 
 
 def builder(app: str = "vintora") -> SparkSession.Builder:
@@ -19,16 +21,22 @@ def builder(app: str = "vintora") -> SparkSession.Builder:
     )
 
 
-def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
-    """Start shuffles with enough partitions for the inputs; AQE merges small ones.
+def size_shuffles(spark: SparkSession, text_bytes: int, limit: int = 100_000) -> int:
+    """Start shuffles with a partition for each ``TARGET_PARTITION`` of text; AQE merges small ones.
 
-    Uses the optimizer's size of the largest input, so a 100 TB book starts with some
-    800,000 reducers' worth of data cut to the 100,000 most that shuffle services take
-    well, and a small book keeps the session's own number.
+    The bytes are those of the uncompressed rows: stored Parquet of a book is some thirty times smaller, and AQE splits no
+    window or aggregate partition afterwards. ``limit`` is what the shuffle service takes; raise it with the service.
     """
-    size = max(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in inputs)
-    wanted = min(size // TARGET_PARTITION + 1, 100_000)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(wanted, current)
+    partitions = max(min(text_bytes // TARGET_PARTITION + 1, limit), current)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return partitions
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Rows of a stored table, from its footers, by the width of its columns."""
+    return df.count() * sum(_width(f.dataType) for f in df.schema)
+
+
+def _width(kind: DataType) -> int:
+    return WIDTHS.get(kind.typeName(), 16)

@@ -19,8 +19,9 @@ from vintora.functions.parsing import (
     rate_fraction,
 )
 from vintora.params import NOT_INFORMED
-from vintora.sources.layouts import CATEGORIES
+from vintora.sources.layouts import CATEGORIES, INSTALLMENTS, LOANS, RENEGOTIATIONS, Layout
 from vintora.sources.readers import norm_id_alias
+from vintora.sources.workspace import materialise
 
 LOAN_COLUMNS = (
     "id_contrato",
@@ -34,6 +35,17 @@ LOAN_COLUMNS = (
 ) + CATEGORIES
 
 
+class MissingColumns(ValueError):
+    """An input lacks columns that its layout requires, as a file read with a wrong separator does."""
+
+
+def require_columns(df: DataFrame, layout: Layout) -> DataFrame:
+    missing = [c for c in layout.required if c not in df.columns]
+    if missing:
+        raise MissingColumns(f"{layout.dataset}: missing {', '.join(missing)}; found {', '.join(df.columns)}")
+    return df
+
+
 def _source(df: DataFrame, name: str) -> Column:
     """The column, or a null text when the input does not have it."""
     return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string")
@@ -62,7 +74,7 @@ def canonical_loans(typed: DataFrame) -> DataFrame:
 
 def parse_loans(raw: DataFrame) -> DataFrame:
     """Text loans to the typed layer, duplicates kept."""
-    raw = norm_id_alias(raw)
+    raw = require_columns(norm_id_alias(raw), LOANS)
     acquired = norm_date(_source(raw, "data_aquisicao"))
     return raw.select(
         norm_id(_source(raw, "id_contrato")).alias("id_contrato"),
@@ -78,8 +90,11 @@ def parse_loans(raw: DataFrame) -> DataFrame:
 
 
 def normalise_loans(raw: DataFrame) -> DataFrame:
-    """Text loans to one typed row per contract."""
-    return dedup_loans(parse_loans(raw))
+    """Text loans to one typed row per contract.
+
+    The typed rows are written first: they are read twice, and only their text would be parsed twice otherwise.
+    """
+    return dedup_loans(materialise(parse_loans(raw), "parsed-loans"))
 
 
 def dedup_loans(loans: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
@@ -107,6 +122,7 @@ def dedup_loans(loans: DataFrame, order: Sequence[Column] | None = None) -> Data
 
 def normalise_installments(raw: DataFrame) -> DataFrame:
     """Text instalments to typed rows; null numbers stay null, garbage becomes 0."""
+    require_columns(raw, INSTALLMENTS)
 
     def number(name: str) -> Column:
         return norm_decimal(_source(raw, name), null_as_zero=False)
@@ -125,6 +141,7 @@ def normalise_installments(raw: DataFrame) -> DataFrame:
 
 def normalise_renegotiations(raw: DataFrame) -> DataFrame:
     """Text renegotiations to typed rows."""
+    require_columns(raw, RENEGOTIATIONS)
     numbers = ("valor_refinanciado", "valor_troco", "valor_parcela", "valor_pago")
     dates = ("data_renegociacao", "data_vencimento", "data_pagamento")
     return raw.select(

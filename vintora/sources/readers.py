@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vintora.functions.parsing import clean_text, norm_id
 from vintora.params import NOT_INFORMED
 from vintora.sources.layouts import ID_ALIASES, META, RENEGOTIATIONS, Layout
 
+MALFORMED = "_linha_malformada"
+Reader = Callable[[SparkSession, str, str], DataFrame]
+
 
 def norm_columns(df: DataFrame) -> DataFrame:
     """Strip and lower-case every header, keeping the order."""
@@ -26,25 +30,40 @@ def norm_id_alias(df: DataFrame) -> DataFrame:
 
 
 def read_text_table(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    """All-text read of a headed delimited file; malformed lines are dropped.
+    """All-text read of a headed delimited file without its malformed lines.
 
-    ``path`` may be any URI Spark can open. Column pruning is off in the parser so
-    that a line counts as malformed whichever columns the query selects.
+    ``read_text_lines`` keeps these, and ``quality.dq_malformed_lines`` counts them.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("mode", "DROPMALFORMED")
-        .option("columnPruning", False)
-        .csv(path)
-    )
-    return norm_columns(raw)
+    return well_formed(read_text_lines(spark, path, sep))
+
+
+def read_text_lines(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """All-text read of every line; ``MALFORMED`` holds the line where its columns do not match the header.
+
+    Quoting is that of RFC 4180: a quote inside a quoted value is doubled, a backslash is an ordinary character. Values
+    do not span lines. ``path`` may be any URI Spark can open. Column pruning is off in the parser so that a line
+    counts as malformed whichever columns the query selects.
+    """
+    options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "columnPruning": False}
+    names = spark.read.options(**options).csv(path).columns
+    schema = StructType([StructField(c, StringType()) for c in [*names, MALFORMED]])
+    lines = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
+    return norm_columns(lines.schema(schema).csv(path))
+
+
+def with_data_column(lines: DataFrame) -> DataFrame:
+    """The same rows by a filter that is always true: Spark does not read the malformed column without another."""
+    return lines.where(F.hash(F.col(f"`{lines.columns[0]}`")) >= -(2**31))
+
+
+def well_formed(lines: DataFrame) -> DataFrame:
+    return with_data_column(lines).where(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
 
-def read_or_none(spark: SparkSession, path: str, sep: str = ";") -> DataFrame | None:
-    """As ``read_text_table``, None when the path does not exist."""
+def read_or_none(spark: SparkSession, path: str, sep: str = ";", read: Reader | None = None) -> DataFrame | None:
+    """As ``read_text_table`` or the reader given, None when the path does not exist."""
     try:
-        return read_text_table(spark, path, sep)
+        return (read or read_text_table)(spark, path, sep)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -2,49 +2,84 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from vintora.sources.normalise import normalise_installments
 from vintora.sources.readers import read_text_table
-from vintora.sources.workspace import together
+from vintora.sources.workspace import hadoop_path, together
 
+FINGERPRINT = "_source.json"
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """True when a previous write of the folder was committed."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+
+def source_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of the files of an input."""
+    files, target = hadoop_path(spark, path)
+    found = files.globStatus(target) or []
+    out = []
+    for status in found:
+        parts = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+        out += [(p.getPath().toString(), p.getLen(), p.getModificationTime()) for p in parts]
+    return sorted(out)
+
+
+def text_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the text inputs, which sizes the shuffles of a run; missing ones count nothing."""
+    return sum(length for path in paths for _, length, _ in source_files(spark, path))
+
+
+def _fingerprint(spark: SparkSession, src: str, sep: str) -> str:
+    return json.dumps({"sep": sep, "files": source_files(spark, src)})
+
+
+def _stored(spark: SparkSession, path: str) -> str | None:
+    """Fingerprint of a copy that was committed, else None."""
+    files, done = hadoop_path(spark, f"{path.rstrip('/')}/_SUCCESS")
+    _, mark = hadoop_path(spark, f"{path.rstrip('/')}/{FINGERPRINT}")
+    if not (files.exists(done) and files.exists(mark)):
+        return None
+    stream = files.open(mark)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
 
 
 def stage_installments(spark: SparkSession, src: str, dst: str, sep: str = ";") -> DataFrame:
-    """Convert the text instalments to typed ZSTD Parquet once; reuse a finished copy.
+    """Convert the text instalments to typed ZSTD Parquet; reuse a finished copy of the same source.
 
     Rows stay in the partitions they were read in: no shuffle, and a contract that
-    owns a large part of the file cannot fill one task. A folder without its commit
-    marker is left over from a lost run and is written again.
+    owns a large part of the file cannot fill one task. The copy states its source's files, their lengths and times, and
+    the separator; where one differs, or the commit marker is missing, the copy is written again.
     """
-    if not is_complete(spark, dst):
+    wanted = _fingerprint(spark, src, sep)
+    if _stored(spark, dst) != wanted:
         typed = normalise_installments(read_text_table(spark, src, sep))
         typed.write.mode("overwrite").option("compression", "zstd").parquet(dst)
+        files, mark = hadoop_path(spark, f"{dst.rstrip('/')}/{FINGERPRINT}")
+        stream = files.create(mark, True)
+        try:
+            stream.write(bytearray(wanted.encode("utf-8")))
+        finally:
+            stream.close()
     return spark.read.parquet(dst)
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """Write one result table; an empty one is skipped and reported as False.
+    """Write one result table over an earlier one; True when it has rows.
 
-    The table is persisted, so the emptiness test and the write compute it once.
+    An empty result replaces the old table too, so a folder never mixes two runs. The table is persisted, so the emptiness
+    test and the write compute it once.
     """
     kept = df.persist()
     try:
-        if kept.isEmpty():
-            return False
         writer = kept.write.mode("overwrite")
         if fmt == "csv":
-            writer = writer.option("header", True).option("sep", ";").option("encoding", "UTF-8")
+            writer = writer.options(header=True, sep=";", encoding="UTF-8", escape='"')
         writer.format(fmt).save(path)
-        return True
+        return not kept.isEmpty()
     finally:
         kept.unpersist()
 
