@@ -34,14 +34,16 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Null ends and loops are no edges; repeated edges count once; an empty table gives an empty result.
     """
-    proper = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    current, seen = materialise(proper.distinct(), "edges"), None
-    while True:
-        contracted = _small_star(_large_star(current)).where("u <> v").distinct()
-        following = materialise(contracted, "edges")
-        mark = following.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            return following.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                following.select(F.col("v").alias("node"), F.col("v").alias("component"))
-            ).distinct()
-        current, seen = following, mark
+    proper = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    current = materialise(proper.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v"))).distinct(), "edges")
+    while not _is_contracted(current):
+        current = materialise(_small_star(_large_star(current)).where("u <> v").distinct(), "edges")
+    ends = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return ends.union(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _is_contracted(edges: DataFrame) -> bool:
+    """Whether every node hangs on one smaller node that hangs on none."""
+    several = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+    heads = edges.select(F.col("v").alias("_head")).distinct()
+    return several.union(edges.select("u").join(heads, F.col("u") == F.col("_head"), "left_semi")).isEmpty()

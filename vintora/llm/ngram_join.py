@@ -9,7 +9,7 @@ range, and goes through these steps:
 3. Of each other row the rarest columns, as many as the bound allows to miss, are its probes. Rows that link share a
    probe, so rows joined by shared probes form families, and only pairs within a family are multiplied.
 4. A family is multiplied tile by tile; overlap counts are exact and pairs below their bound are discarded. Only
-   a spanning tree of the links leaves a tile, so no group ever emits its pairs. A family larger than a tile is split:
+   a star of each component leaves a tile, so no group ever emits its pairs. A family larger than a tile is split:
    every tile alone first, then two members of each component found, then only those outside the family's largest
    component against all others.
 
@@ -317,33 +317,34 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """A forest of the links of a tile: each link that joins two parts."""
-    parent: dict[int, int] = {}
+class _Forest:
+    """Components of a tile, by their smallest key."""
 
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while self.parent.setdefault(x, x) != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
         return x
 
-    edges = []
-    for i, j in zip(*np.nonzero(linked)):
-        a, b = int(left[i]), int(right[j])
-        ra, rb = root(a), root(b)
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-            edges.append((a, b))
-    return edges
+    def join(self, linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        for i, j in zip(*np.nonzero(linked)):
+            a, b = self.root(int(left[i])), self.root(int(right[j]))
+            self.parent[max(a, b)] = min(a, b)
+
+    def edges(self) -> list[tuple[int, int]]:
+        return [(x, r) for x in list(self.parent) if (r := self.root(x)) != x]
 
 
 def _multiply(percent: int) -> Callable:
-    """Spanning links of each tile; visitors meet the tile's own rows, own rows meet each other unless there are visitors."""
+    """Each linked row of a tile with its component's smallest key; visitors meet the tile's own rows, own rows meet each other unless there are visitors."""
 
-    def links(k1, n1, l1, s1, k2, n2, l2, s2) -> list[tuple[int, int]]:
+    def links(forest: _Forest, k1, n1, l1, s1, k2, n2, l2, s2) -> None:
         both = overlaps(s1, s2)
         good = 100 * both >= percent * (np.add.outer(n1, n2) - both)
-        return _spanning(good & (l1[:, None] != l2[None, :]), k1, k2)
+        forest.join(good & (l1[:, None] != l2[None, :]), k1, k2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in _groups(batches, ["family", "tile"]):
@@ -352,15 +353,15 @@ def _multiply(percent: int) -> Callable:
             visits = np.array(held["visits"], dtype=bool)
             own, guests = np.flatnonzero(~visits), np.flatnonzero(visits)
             pick = lambda at: (keys[at], sizes[at], label[at], [sets[i] for i in at])
-            edges: list[tuple[int, int]] = []
+            forest = _Forest()
             for a in range(0, len(own), TILE_ROWS):
                 if len(guests):
                     for b in range(0, len(guests), TILE_ROWS):
-                        edges += links(*pick(own[a : a + TILE_ROWS]), *pick(guests[b : b + TILE_ROWS]))
+                        links(forest, *pick(own[a : a + TILE_ROWS]), *pick(guests[b : b + TILE_ROWS]))
                 else:
                     for b in range(a, len(own), TILE_ROWS):
-                        edges += links(*pick(own[a : a + TILE_ROWS]), *pick(own[b : b + TILE_ROWS]))
-            if edges:
+                        links(forest, *pick(own[a : a + TILE_ROWS]), *pick(own[b : b + TILE_ROWS]))
+            if edges := forest.edges():
                 u, v = zip(*edges)
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
@@ -372,12 +373,14 @@ def _tile_links(rows: DataFrame, percent: int) -> DataFrame:
     return _dealt(chosen, "family", "tile").mapInArrow(_multiply(percent), "u long, v long")
 
 
-def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows with the component that the links so far give them."""
-    found = connected_components(edges, "u", "v").select(F.col("node").alias("_node"), F.col("component").alias("_component"))
-    return rows.drop("label").join(found, F.col("set_key") == F.col("_node"), "left").select(
-        *[c for c in rows.columns if c != "label"], F.coalesce("_component", "set_key").alias("label")
-    )
+def _labelled(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """Rows whose label is replaced by the smallest key that a tile found for it.
+
+    Labels only spare pairs that are known to be connected, so those of separate tiles need not agree.
+    """
+    found = heads.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("_head"))
+    others = [c for c in rows.columns if c != "label"]
+    return rows.join(found, F.col("label") == F.col("_u"), "left").select(*others, F.coalesce("_head", "label").alias("label"))
 
 
 def family_links(candidates: DataFrame, percent: int) -> DataFrame:
@@ -413,7 +416,7 @@ def family_links(candidates: DataFrame, percent: int) -> DataFrame:
     sent = found.join(ends, F.col("set_key") == F.col("_end")).drop("_end")
     width = F.ceil(F.col("tiles") / TILE_ROWS).cast("int")
     between = materialise(_tile_links(sent.withColumn("tile", F.pmod(F.xxhash64("set_key"), width).cast("int")), percent), "links")
-    found = materialise(_labelled(split, alone.union(between)), "families")
+    found = materialise(_labelled(found, between), "families")  # a label is its component's smallest key, which was sent
     sizes = found.groupBy(F.col("family").alias("_family"), "label").agg(F.count("*").alias("_n"))
     largest = sizes.groupBy("_family").agg(F.max_by("label", F.struct("_n", "label")).alias("_largest"))
     apart = found.join(largest, F.col("family") == F.col("_family")).where(F.col("label") != F.col("_largest"))
