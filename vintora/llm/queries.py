@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import attribution, embedding_join, licenses, ngram_join, packing, piece_sampling, quality_knn, quality_rules, url_filter, warc
+from vintora.llm import attribution, embedding_join, licenses, ngram_join, oracle, packing, piece_sampling, quality_knn, quality_rules, url_filter, warc
 from vintora.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +40,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents"))
 
 
-@register("op10_quality_rules")
+@register("op10_quality_rules", oracle.QUALITY_RULES)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(quality_rules.judge_documents(read(spark, sf_dir, "documents")))
 
@@ -62,17 +62,17 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
-@register("op4_ngram_jaccard_join")
+@register("op4_ngram_jaccard_join", oracle.NGRAM_JOIN)
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(read(spark, sf_dir, "documents"), n=4, percent=85)
 
 
-@register("op6_embedding_near_dedup")
+@register("op6_embedding_near_dedup", oracle.EMBEDDINGS)
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.embedding_components(read(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
-@register("op7_warc")
+@register("op7_warc", oracle.WARC)
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_report(warc.archive_pages(read(spark, sf_dir, "pages"), min_bytes=0))
 
