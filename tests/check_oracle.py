@@ -7,6 +7,7 @@ import sys
 import time
 
 import duckdb
+import pandas as pd
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -28,7 +29,7 @@ def frame_rows(pdf):
     pdf = pdf[sorted(pdf.columns)]
     columns = []
     for c in pdf.columns:
-        columns.append(["NULL" if v is None or v != v else _show(v) for v in pdf[c].tolist()])
+        columns.append(["NULL" if v is None or v is pd.NA or v != v else _show(v) for v in pdf[c].tolist()])
     return sorted(zip(*columns))
 
 

@@ -65,7 +65,7 @@ def broken_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = book.messy_loans(spark, sf_dir)
     key = norm_id(F.col("` Unique ID `")).cast("bigint")
     term = F.when(key % 29 == 0, F.concat("num_parcelas", F.lit(";;"))).otherwise(F.col("num_parcelas"))
-    quoted = F.when(key % 31 == 0, '"a ""q"" ; b"').when(key % 37 == 0, '"it\\"').otherwise(F.col("regiao"))
+    quoted = F.when(key % 31 == 0, '"a ""q"", b"').when(key % 37 == 0, '"it\\"').otherwise(F.col("regiao"))
     return df.withColumn("num_parcelas", term).withColumn("regiao", quoted)
 
 
@@ -73,13 +73,13 @@ RAW_LOANS_SQL = f"""
 SELECT '  ' || id_contrato || ' ' AS "id_contrato", {o.money_text('principal', '(k % 5)')} AS principal,
   {o.money_text('pmt', '((k + 1) % 5)')} AS pmt, CAST(num_parcelas AS VARCHAR) AS num_parcelas,
   {o.date_text('data_aquisicao', '(k % 4)')} AS data_aquisicao,
-  replace(CAST(CAST(taxa_cliente AS DECIMAL(10, 4)) AS VARCHAR), '.', ',') AS taxa_cliente,
+  replace(CAST(CAST(taxa_cliente * CASE WHEN k % 7 = 0 THEN 100 ELSE 1 END AS DECIMAL(10, 4)) AS VARCHAR), '.', ',') AS taxa_cliente,
   CASE WHEN k % 11 = 0 THEN NULL ELSE CAST(CAST(dias_maior_atraso AS INTEGER) AS VARCHAR) END AS dias_maior_atraso,
   CASE WHEN k % 13 = 0 THEN 'NaN' ELSE rating_concessao END AS rating_concessao, situacao_beneficio AS regiao
 FROM b_loans"""
 
 
-QUOTED_SQL = "CASE WHEN k % 31 = 0 THEN 'a \"q\" ; b' WHEN k % 37 = 0 THEN 'it\\' ELSE situacao_beneficio END AS regiao"
+QUOTED_SQL = "CASE WHEN k % 31 = 0 THEN 'a \"q\", b' WHEN k % 37 = 0 THEN 'it\\' ELSE situacao_beneficio END AS regiao"
 
 
 @register("src_loans_csv", RAW_LOANS_SQL.replace("situacao_beneficio AS regiao", QUOTED_SQL) + " WHERE k % 29 <> 0")
