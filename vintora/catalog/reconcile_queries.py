@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vintora.catalog import book
 from vintora.catalog import oracle as o
-from vintora.catalog.queries import Curves, kpis, ltm, npv, register
+from vintora.catalog.queries import Curves, kpis, ltm, npv, portfolio_results, register
 from vintora.catalog.book import PARAMS
 from vintora.operators import cohorts, curves, portfolio, reconcile, valuation
 from vintora.operators.inline_tables import inline_table
+from vintora.plans.audit_run import audit_checks, audit_summary
 from vintora.plans.portfolio_run import export_rounded
 from vintora.sources.workspace import materialise
 
@@ -389,3 +390,70 @@ def regression_new_failures(spark, sf_dir):
 )
 def max_deviation(spark, sf_dir):
     return reconcile.max_deviation(fpd_checks(spark, sf_dir).unionByName(npv_checks(spark, sf_dir)))
+
+
+# --- the audit of a whole run ----------------------------------------------
+
+NPV_GOLDEN = (
+    "(SELECT k, vpl_valor * CASE WHEN k = 'otimista@1.5' THEN 1.002e0 ELSE 1.0005e0 END AS vpl_valor "
+    "FROM (SELECT k, vpl AS vpl_valor FROM b_npv_out))"
+)
+o.CTES["b_audit"] = " UNION ALL ".join(
+    f"SELECT * FROM ({part})"
+    for part in (
+        "SELECT * FROM b_check_rating",
+        "SELECT * FROM b_check_fpd",
+        compare_sql(
+            long_sql("b_bands_out", "faixa", BANDS, "faixas"),
+            long_sql("(SELECT * FROM b_bands_out WHERE faixa <> '1 a 30 dias')", "faixa", BANDS, "faixas"),
+        ),
+        compare_sql(
+            long_sql("(SELECT k, vpl AS vpl_valor FROM b_npv_out)", "k", {"vpl_valor": "rel"}, "npv"),
+            long_sql(NPV_GOLDEN, "k", {"vpl_valor": "rel"}, "npv"),
+        ),
+        *[
+            f"""SELECT 'curva {table}' AS "check", '' AS key, CAST(count(DISTINCT safra) AS DOUBLE) AS computed, 0.0e0 AS golden,
+                CAST(count(DISTINCT safra) AS DOUBLE) AS diff, 0.0e0 AS tol, 'count' AS kind,
+                CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END AS status
+                FROM (SELECT safra, v, lag(v) OVER (PARTITION BY safra ORDER BY mob) AS antes
+                      FROM (SELECT safra, mob, {o.r(value, 4)} AS v FROM b_curve)) WHERE v < antes - 1e-9"""
+            for table, value in (("perda_acumulada", "p"), ("receita_acumulada", "r"))
+        ],
+    )
+)
+
+
+def audited_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of the tables of a real run against golden tables that differ from them in known places."""
+    bundle = portfolio_results(spark, sf_dir)
+    names = ("rating", "faixas_atraso", "fpd_safras", "vpl_cenarios", "perda_acumulada", "receita_acumulada")
+    bundle = {n: materialise(bundle[n], n) for n in names}
+    safra, rate = F.col("safra"), F.when(F.col("taxa_am_pct") < 1.2, "1").otherwise("1.5")
+    factor = F.when(F.concat_ws("@", "cenario", rate) == "otimista@1.5", 1.002).otherwise(1.0005)
+    golden = {
+        "rating": golden_rating(bundle["rating"]),
+        "faixas_atraso": bundle["faixas_atraso"].where("faixa <> '1 a 30 dias'"),
+        "fpd_safras": bundle["fpd_safras"]
+        .where(~safra.like("%-12"))
+        .withColumn("fpd_qtd_pct", F.col("fpd_qtd_pct") + F.when(safra.like("%-07"), 0.25).otherwise(0.0)),
+        "vpl_cenarios": bundle["vpl_cenarios"].withColumn("vpl_valor", F.col("vpl_valor") * factor),
+    }
+    return audit_checks(bundle, golden)
+
+
+@register("audit_run", "SELECT * FROM b_audit")
+def audit_run(spark, sf_dir):
+    return audited_run(spark, sf_dir)
+
+
+@register(
+    "audit_summary",
+    """SELECT count(*) AS total, count(*) FILTER (WHERE status = 'pass') AS aprovados, count(*) FILTER (WHERE status <> 'pass') AS reprovados,
+       count(*) FILTER (WHERE status <> 'pass' AND "check" LIKE 'npv%') AS conhecidos,
+       count(*) FILTER (WHERE status <> 'pass' AND "check" NOT LIKE 'npv%') AS novos,
+       CASE WHEN count(*) FILTER (WHERE status <> 'pass' AND "check" NOT LIKE 'npv%') = 0 THEN 'GREEN' ELSE 'RED' END AS resultado
+       FROM b_audit""",
+)
+def audit_summary_query(spark, sf_dir):
+    known = inline_table(spark, "check_name", [("npv vpl_valor@otimista@1.5",)])
+    return audit_summary(audited_run(spark, sf_dir), known)
