@@ -22,8 +22,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the word, repetition and template-line rules."""
-    return quality_rules.keep_documents(docs)
+    """Documents that pass the word, repetition and template-line rules, without their template lines."""
+    return quality_rules.clean_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

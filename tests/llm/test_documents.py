@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tests.llm import brute
 from vintora.llm import attribution, bpe, licenses, ngram_join, packing, quality_knn, quality_rules
 from vintora.llm.queries import QUERIES
@@ -169,6 +170,34 @@ def test_template_lines_deplete_documents(spark):
     assert quality_rules.judge_documents(docs.where("1 = 0")).count() == 0
 
 
+def letters(i: int) -> str:
+    """Twelve words of text ``i``; digits would be alike in every text."""
+    return " ".join(f"Own{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + k)}" for k in range(12))
+
+
+def test_template_lines_are_removed_from_texts(spark):
+    own = letters
+    shared = lambda i: f"Menu {i % 10}\tHOME  news\r"
+    rows = [(i, f"{shared(i)}\n{own(i)}\n\n Last {own(i + 40)}\n{shared(i + 1)}", "h", "p", "l") for i in range(30)]
+    rows += [(100 + i, f"{shared(i)}\n{own(i)}", None, None, None) for i in range(30)]
+    rows += [(200, f"{shared(0)}\n{own(200)}", "rare", None, None), (300, None, "h", None, None), (301, "few", "h", None, None)]
+    docs = spark.createDataFrame(rows, brute.DOCS).repartition(3)
+    cleaned = quality_rules.clean_documents(docs)
+    assert cleaned.columns == docs.columns
+    got = sorted((tuple(r) for r in cleaned.collect()), key=repr)
+    want = [(i, f"{own(i)}\n\n Last {own(i + 40)}", "h", "p", "l") for i in range(30)]
+    want += [(100 + i, own(i), None, None, None) for i in range(30)] + [rows[60]]
+    assert got == sorted(want, key=repr)
+    assert quality_rules.clean_documents(docs.where("1 = 0")).count() == 0
+
+
+def test_pipeline_stage_hands_on_cleaned_texts(spark):
+    own = letters
+    rows = [(i, f"Skip to content\n{own(i)}", "h", None, None) for i in range(30)]
+    stay = corpus_pipeline.line_rules(spark, spark.createDataFrame(rows, brute.DOCS), SF)
+    assert sorted((r.doc_id, r.text) for r in stay.collect()) == [(i, own(i)) for i in range(30)]
+
+
 # --- licenses ---------------------------------------------------------------
 
 

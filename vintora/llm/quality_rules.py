@@ -4,7 +4,8 @@ Everything is a DataFrame expression. Word windows are hashed inside the row; on
 window sort theirs, so no window ever leaves its row. Lines are hashed and counted per host over distinct
 texts, because exact copies are one document as far as templates go. A line in more than ``max_share`` of a
 host's texts, and in more than ``min_texts`` of them, is template and is removed; a text left with less than
-``min_left`` of its words is rejected.
+``min_left`` of its words is rejected. ``judge_documents`` and ``keep_documents`` judge and leave texts as they are;
+``clean_documents`` returns the kept rows with the template lines taken out of their texts.
 """
 
 from __future__ import annotations
@@ -68,17 +69,24 @@ def text_counts(docs: DataFrame, host: str = "source") -> DataFrame:
     return placed.select(*kept, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
+def _plain(text: Column) -> Column:
+    return F.translate(ascii_lower(text), "123456789\t\x0b\f\r", "000000000    ")
+
+
+def _normal(plain_line: Column) -> Column:
+    return F.regexp_replace(F.btrim(plain_line), " +", " ")
+
+
 def host_lines(docs: DataFrame, host: str = "source") -> DataFrame:
     """Distinct (``_host``, ``_text``, ``_line``) with the line's words and its number of occurrences in the text.
 
     A line is normalised to lower case, single spaces and zeros for digits.
     """
-    plain = F.translate(ascii_lower(F.col("text")), "123456789\t\x0b\f\r", "000000000    ")
+    plain = _plain(F.col("text"))
     lines = docs.where(F.col("text").isNotNull()).select(
         F.col(host).alias("_host"), F.xxhash64(F.col("text")).alias("_text"), F.explode(F.split(plain, "\n")).alias("_raw")
     )
-    line = F.regexp_replace(F.btrim("_raw"), " +", " ")
-    worded = lines.select("_host", "_text", line.alias("_norm")).where(F.col("_norm") != "")
+    worded = lines.select("_host", "_text", _normal(F.col("_raw")).alias("_norm")).where(F.col("_norm") != "")
     words = F.length("_norm") - F.length(F.translate("_norm", " ", "")) + 1
     return worded.select("_host", "_text", F.xxhash64("_norm").alias("_line"), words.alias("_n")).groupBy(
         "_host", "_text", "_line"
@@ -116,11 +124,19 @@ def judge_documents(
     the same text and host get the same verdict; an empty table gives an empty result.
     """
     lines = materialise(host_lines(docs, host), "host-lines")
-    templates = template_lines(lines, max_share, min_texts).withColumn("_template", F.lit(True))
-    on = F.col("_host").eqNullSafe(F.col("_t_host")) & (F.col("_line") == F.col("_t_line"))
+    return _judge(docs, host, lines, template_lines(lines, max_share, min_texts), min_left, min_words, max_repeat)
+
+
+def _is_template() -> Column:
+    return F.col("_host").eqNullSafe(F.col("_t_host")) & (F.col("_line") == F.col("_t_line"))
+
+
+def _judge(
+    docs: DataFrame, host: str, lines: DataFrame, templates: DataFrame, min_left: float, min_words: int, max_repeat: int
+) -> DataFrame:
     template = F.coalesce(F.col("_template"), F.lit(False))
     left = (
-        lines.join(templates, on, "left")
+        lines.join(templates.withColumn("_template", F.lit(True)), _is_template(), "left")
         .groupBy(F.col("_host").alias("_of"), F.col("_text").alias("_left_text"))
         .agg(F.sum("_n").alias("_all_words"), F.sum(F.when(template, 0).otherwise(F.col("_n"))).alias("left_words"))
         .where(F.col("left_words") < F.col("_all_words"))
@@ -152,3 +168,36 @@ def keep_documents(docs: DataFrame, host: str = "source", **limits) -> DataFrame
     good = judged.where("kept").select(F.col("_host").alias("_good_host"), F.col("_text").alias("_good_text")).distinct()
     same = docs[host].eqNullSafe(F.col("_good_host")) & (F.xxhash64(docs["text"]) == F.col("_good_text"))
     return docs.join(good, same, "left_semi")
+
+
+def clean_documents(
+    docs: DataFrame,
+    host: str = "source",
+    max_share: float = 0.01,
+    min_texts: int = 20,
+    min_left: float = 0.2,
+    min_words: int = 10,
+    max_repeat: int = 20,
+) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns and without the template lines in ``text``.
+
+    Other lines stay as they are, blank ones too; a text without a template line is returned unchanged. Each row meets
+    only the template lines of its own text.
+    """
+    lines = materialise(host_lines(docs, host), "host-lines")
+    templates = materialise(template_lines(lines, max_share, min_texts), "template-lines")
+    verdicts = _judge(docs, host, lines, templates, min_left, min_words, max_repeat)
+    judged = materialise(verdicts.select("_host", "_text", "kept"), "verdicts")
+    cut = (
+        lines.join(templates, _is_template())
+        .groupBy(F.col("_host").alias("_cut_host"), F.col("_text").alias("_cut_text"))
+        .agg(F.collect_set("_line").alias("_cut"))
+    )
+    good = judged.where("kept").select("_host", "_text").distinct()
+    known = good.join(cut, F.col("_host").eqNullSafe(F.col("_cut_host")) & (F.col("_text") == F.col("_cut_text")), "left")
+    same = docs[host].eqNullSafe(F.col("_host")) & (F.xxhash64(docs["text"]) == F.col("_text"))
+    own = F.filter(
+        F.split(F.col("text"), "\n"), lambda x: ~F.array_contains(F.col("_cut"), F.xxhash64(_normal(_plain(x))))
+    )
+    text = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.array_join(own, "\n")).alias("text")
+    return docs.join(known, same).select(*[text if c == "text" else F.col(c) for c in docs.columns])
