@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
@@ -257,6 +258,25 @@ def test_jaccard_split_family(spark, monkeypatch):
     assert got == expected_components(rows, 4, 85)
 
 
+def test_rows_of_a_chained_family_meet_in_bounded_groups(spark, monkeypatch):
+    rng, largest = random.Random(7), []
+    passages = [" ".join(f"p{i}w{k}" for k in range(20)) for i in range(60)]
+    rows = [(i, " ".join(rng.sample(passages, 8)), "s", None, None) for i in range(500)]
+    rows += [(500 + i, f"{rows[5 * i][1]} end", "s", None, None) for i in range(60)]
+    links = ngram_join._tile_links
+
+    def counted(pairs, percent):
+        group = [c for c in ("family", "tile", "block") if c in pairs.columns]
+        largest.append(pairs.groupBy(*group).count().agg(F.max("count")).first()[0] or 0)
+        return links(pairs, percent)
+
+    monkeypatch.setattr(ngram_join, "TILE_ROWS", 16)
+    monkeypatch.setattr(ngram_join, "_tile_links", counted)
+    got = as_rows(ngram_join.jaccard_components(spark.createDataFrame(rows, brute.DOCS)), "doc_id", "n_shingles", "component_id")
+    assert got == expected_components(rows, 4, 85)
+    assert len(largest) == 3 and max(largest) <= 12 * 16
+
+
 def test_representatives(odd, spark):
     kept = ngram_join.keep_representatives(odd, n=5, percent=80)
     assert kept.columns == odd.columns

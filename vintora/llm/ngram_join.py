@@ -11,7 +11,8 @@ range, and goes through these steps:
 4. A family is multiplied tile by tile; overlap counts are exact and pairs below their bound are discarded. Only
    a star of each component leaves a tile, so no group ever emits its pairs. A family larger than a tile is split:
    every tile alone first, then two members of each component found, then only those outside the family's largest
-   component against all others.
+   component against all others. These visitors are dealt by block, and a tile and a block meet in one task of their
+   own, which holds only the rows that share a probe with the other side.
 
 Columns that many sets of a block hold are summed up first; at most ``MAX_HEAVY`` of them, by their share of all entries,
 skip the dealing by column and travel with their rows. Sets and n-grams are told apart by 64-bit hashes.
@@ -347,7 +348,7 @@ def _multiply(percent: int) -> Callable:
         forest.join(good & (l1[:, None] != l2[None, :]), k1, k2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in _groups(batches, ["family", "tile"]):
+        for _, held in _groups(batches, ["family", "tile", "block"]):
             keys, sizes, label = (np.array(held[n], dtype=np.int64) for n in ("set_key", "size", "label"))
             sets = [np.frombuffer(c, np.uint64) for c in held["columns"]]
             visits = np.array(held["visits"], dtype=bool)
@@ -369,8 +370,8 @@ def _multiply(percent: int) -> Callable:
 
 
 def _tile_links(rows: DataFrame, percent: int) -> DataFrame:
-    chosen = rows.select("family", "tile", "set_key", "size", "label", "visits", "columns")
-    return _dealt(chosen, "family", "tile").mapInArrow(_multiply(percent), "u long, v long")
+    chosen = rows.select("family", "tile", "block", "set_key", "size", "label", "visits", "columns")
+    return _dealt(chosen, "family", "tile", "block").mapInArrow(_multiply(percent), "u long, v long")
 
 
 def _labelled(rows: DataFrame, heads: DataFrame) -> DataFrame:
@@ -383,6 +384,36 @@ def _labelled(rows: DataFrame, heads: DataFrame) -> DataFrame:
     return rows.join(found, F.col("label") == F.col("_u"), "left").select(*others, F.coalesce("_head", "label").alias("label"))
 
 
+def _pieces(rows: DataFrame, name: str, times: int = 1) -> DataFrame:
+    """``_of`` and the number of pieces its family's ``rows`` take, each of ``times`` tiles' rows and entries at most, about."""
+    entries = F.ceil(F.sum(F.length("columns") / 8) / (times * TILE_ENTRIES))
+    pieces = F.greatest(entries, F.ceil(F.count("*") / (times * TILE_ROWS)), F.lit(1)).cast("int")
+    return rows.groupBy(F.col("family").alias("_of")).agg(pieces.alias(name))
+
+
+def _visits(found: DataFrame, apart: DataFrame, probes: DataFrame) -> DataFrame:
+    """Rows of every meeting of a tile of ``found`` and a block of visitors ``apart``: hosts and visitors.
+
+    Linked rows share a probe, so a row goes only to the tiles or blocks that hold one of its probes. Both sides of a
+    meeting are bounded by ``TILE_ROWS`` and ``TILE_ENTRIES``, about.
+    """
+    blocks = _pieces(apart, "_blocks")
+    block = F.pmod(F.xxhash64("set_key", F.lit(1)), F.col("_blocks")).cast("int")
+    visitors = apart.join(blocks, F.col("family") == F.col("_of")).select(*found.drop("block", "tile").columns, block.alias("block"))
+    visitors = materialise(visitors, "visitors")
+
+    def probed(rows: DataFrame, part: str) -> DataFrame:
+        return rows.select(F.col("set_key").alias("_key"), part).join(probes, F.col("_key") == F.col("_probed")).select("_key", "probe", part)
+
+    def met(rows: DataFrame, others: DataFrame, own: str, other: str) -> DataFrame:
+        parts = probed(others, other).select(F.col("probe").alias("_p"), other).distinct()
+        return probed(rows, own).join(parts, F.col("probe") == F.col("_p")).select("_key", other).distinct()
+
+    hosts = found.drop("block").join(met(found, visitors, "tile", "block"), F.col("set_key") == F.col("_key")).drop("_key")
+    guests = visitors.join(met(visitors, found, "block", "tile"), F.col("set_key") == F.col("_key")).drop("_key")
+    return hosts.unionByName(guests.withColumn("visits", F.lit(True)).select(*hosts.columns))
+
+
 def family_links(candidates: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) between set keys with the same components as all links."""
     probes = candidates.select("set_key", F.explode("probes").alias("probe"))
@@ -398,6 +429,7 @@ def family_links(candidates: DataFrame, percent: int) -> DataFrame:
     rows = tiled.select(
         "*",
         F.pmod(F.xxhash64("set_key"), F.col("tiles")).cast("int").alias("tile"),
+        F.lit(0).alias("block"),
         F.col("set_key").alias("label"),
         F.lit(False).alias("visits"),
     )
@@ -414,15 +446,15 @@ def family_links(candidates: DataFrame, percent: int) -> DataFrame:
         .select(F.explode(F.array_distinct(F.array("_a", "_b"))).alias("_end"))
     )
     sent = found.join(ends, F.col("set_key") == F.col("_end")).drop("_end")
-    width = F.ceil(F.col("tiles") / TILE_ROWS).cast("int")
-    between = materialise(_tile_links(sent.withColumn("tile", F.pmod(F.xxhash64("set_key"), width).cast("int")), percent), "links")
+    sent = sent.join(_pieces(sent, "_width", 8), F.col("family") == F.col("_of")).drop("_of")
+    sent = sent.withColumn("tile", F.pmod(F.xxhash64("set_key"), F.col("_width")).cast("int"))
+    between = materialise(_tile_links(sent, percent), "links")
     found = materialise(_labelled(found, between), "families")  # a label is its component's smallest key, which was sent
     sizes = found.groupBy(F.col("family").alias("_family"), "label").agg(F.count("*").alias("_n"))
     largest = sizes.groupBy("_family").agg(F.max_by("label", F.struct("_n", "label")).alias("_largest"))
     apart = found.join(largest, F.col("family") == F.col("_family")).where(F.col("label") != F.col("_largest"))
-    visitors = apart.drop("_family", "_largest").withColumn("visits", F.lit(True)).withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    hosts = found.join(visitors.select(F.col("family").alias("_family")).distinct(), F.col("family") == F.col("_family"), "left_semi")
-    rest = materialise(_tile_links(hosts.unionByName(visitors), percent), "links")
+    known = probes.withColumnRenamed("set_key", "_probed")
+    rest = materialise(_tile_links(_visits(found, apart.drop("_family", "_largest"), known), percent), "links")
     return alone.union(between).union(rest)
 
 
