@@ -140,3 +140,11 @@ def test_failed_gate_raises(spark, good):
     assert q.dq_gate(found).first().resultado == "REPROVADO"
     with pytest.raises(q.ValidationFailed, match="1 erros"):
         q.require_pass(found)
+
+
+def test_every_required_column_of_the_book_is_counted(spark):
+    from vintora.catalog.queries import QUERIES
+
+    got = {(r["dataset"], r["column"]) for r in QUERIES["dq_required_columns_book"](spark, "/root/testdata/sf0.001").collect()}
+    wanted = (layouts.LOANS, layouts.INSTALLMENTS, layouts.RENEGOTIATIONS)
+    assert got == {(layout.dataset, c) for layout in wanted for c in layout.required}

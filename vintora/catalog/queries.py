@@ -1030,10 +1030,40 @@ HELD_SQL = " UNION ALL ".join(
     )
 )
 
+HELD_REST_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS dataset, '{column}' AS \"column\", CAST(count(*) FILTER (WHERE NOT ({empty})) AS BIGINT) AS linhas {source}"
+    for name, column, empty, source in (
+        ("INSTALLMENTS", "num_parcela", "false", "FROM b_inst"),
+        ("INSTALLMENTS", "data_vencimento", "false", "FROM b_inst"),
+        ("INSTALLMENTS", "id_contrato", "false", "FROM b_inst"),
+        ("INSTALLMENTS", "id_parcela", "false", "FROM b_inst"),
+        ("INSTALLMENTS", "data_pagamento", "data_pagamento IS NULL AND (k + 1) % 4 <> 3 AND k % 61 <> 0", "FROM b_inst"),
+        ("INSTALLMENTS", "valor_pago", "valor_pago IS NULL AND (k + 2) % 5 <> 4", "FROM b_inst"),
+        ("INSTALLMENTS", "valor_parcela", "false", "FROM b_inst"),
+        ("INSTALLMENTS", "dias_atraso", "dias_atraso IS NULL AND k % 71 <> 0", "FROM b_inst"),
+        ("RENEGOCIACAO", "id_parcela_reneg", "false", "FROM b_reneg"),
+        ("RENEGOCIACAO", "data_renegociacao", "false", "FROM b_reneg"),
+        ("RENEGOCIACAO", "valor_refinanciado", "false", "FROM b_reneg"),
+        ("RENEGOCIACAO", "valor_troco", "false", "FROM b_reneg"),
+        ("RENEGOCIACAO", "num_parcela", "false", "FROM b_reneg"),
+        ("RENEGOCIACAO", "data_vencimento", "false", "FROM b_reneg"),
+        ("RENEGOCIACAO", "valor_parcela", "false", "FROM b_reneg"),
+        ("RENEGOCIACAO", "valor_pago", "true", "FROM b_reneg"),
+    )
+)
+
+
+@register("dq_required_columns_book", f"{HELD_SQL} UNION ALL {HELD_REST_SQL}")
+def dq_required_columns_book(spark, sf_dir):
+    """Rows that hold a value, for every required column of the three inputs."""
+    loans, inst, reneg = raw_book(spark, sf_dir)
+    held = quality.rows_held(loans, layouts.LOANS).unionByName(quality.rows_held(inst, layouts.INSTALLMENTS))
+    return held.unionByName(quality.rows_held(reneg, layouts.RENEGOTIATIONS))
+
 
 @register("dq_required_columns", HELD_SQL)
 def dq_required_columns(spark, sf_dir):
-    """Rows that hold a value, for required columns of the loans and some of the renegotiations."""
+    """Rows that hold a value, for required columns of the loans and some of the renegotiations; see ``dq_required_columns_book``."""
     loans = quality.rows_held(raw_loans(spark, sf_dir), layouts.LOANS)
     reneg = quality.rows_held(book.renegotiations(spark, sf_dir), layouts.RENEGOTIATIONS)
     return loans.unionByName(reneg.where(F.col("column").isin("id_contrato_novo", "id_contrato_origem", "data_pagamento")))
