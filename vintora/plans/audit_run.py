@@ -13,26 +13,49 @@ from vintora.operators.inline_tables import inline_table
 
 @dataclass(frozen=True)
 class Audited:
-    """A result table that golden values exist for: key expression, and kind of each measure."""
+    """A result table that golden values exist for: key expression, and kind of each measure, by name or by row."""
 
     check: str
     table: str
     key: str
     measures: Mapping[str, str]
+    kind: str | None = None
 
 
+# Kinds of the scalars; texts such as dates and names are compared by checksum.
+KPI_KIND = """CASE WHEN try_cast(valor AS double) IS NULL THEN 'count' WHEN chave LIKE 'vpl%valor' THEN 'rel'
+    WHEN chave LIKE '%pct%' OR chave = 'prazo_medio' THEN 'pct'
+    WHEN chave LIKE 'over%n' OR chave IN ('contratos', 'renegociacoes') THEN 'count' ELSE 'money' END"""
+KPI_VALUE = "coalesce(try_cast(valor AS double), CAST(crc32(CAST(valor AS binary)) AS double))"
+PE_KIND = "CASE WHEN parametro LIKE 'EAD%' OR parametro LIKE 'PE =%' THEN 'money' ELSE 'pct' END"
+
 # What is compared, by table of the bundle.
 AUDITED = (
     Audited("rating", "rating", "rating", {"contratos_n": "count", "principal": "money", "over60_n": "count"}),
     Audited("faixas", "faixas_atraso", "faixa", {"contratos_n": "count", "pct_carteira": "pct"}),
     Audited("fpd", "fpd_safras", "safra", {"fpd_qtd_pct": "pct", "fpd_val_pct": "pct"}),
     Audited("npv", "vpl_cenarios", "concat_ws('@', cenario, if(taxa_am_pct < 1.2, '1', '1.5'))", {"vpl_valor": "rel"}),
+    Audited("kpi", "kpis", "concat_ws('.', categoria, chave)", {"valor": KPI_VALUE}, KPI_KIND),
+    Audited("pe", "parametros_pe", "parametro", {"valor": "valor"}, PE_KIND),
+    Audited("uf", "uf", "uf", {"contratos_n": "count", "principal": "money", "over60_n": "count"}),
 )
+# Tables whose sums must give the totals of the run.
+ROLLUPS = {"rating": ("contratos_n", "principal"), "faixas_atraso": ("contratos_n", "acumulado"), "uf": ("contratos_n", "principal")}
+ROLLUP_TOLERANCES = {"contratos_n": 0.0, "principal": 5.0, "acumulado": 0.01}
+DEVIATIONS = ("fpd", "npv")
 CURVES = (("perda_acumulada", "perda_acum_pct"), ("receita_acumulada", "receita_acum_pct"))
 
 
 def _stack(df: DataFrame, audited: Audited) -> DataFrame:
-    return reconcile.long_values(df, F.expr(audited.key), audited.measures, audited.check)
+    if audited.kind is None:
+        return reconcile.long_values(df, F.expr(audited.key), audited.measures, audited.check)
+    ((name, value),) = audited.measures.items()
+    return df.select(
+        F.lit(f"{audited.check} {name}").alias("check"),
+        F.expr(audited.key).alias("key"),
+        F.expr(value).cast("double").alias("value"),
+        F.expr(audited.kind).alias("kind"),
+    )
 
 
 def curve_checks(bundle: Mapping[str, DataFrame]) -> DataFrame:
@@ -56,20 +79,75 @@ def curve_checks(bundle: Mapping[str, DataFrame]) -> DataFrame:
     return rows[0].unionByName(rows[1])
 
 
+def rollup_checks(bundle: Mapping[str, DataFrame]) -> DataFrame | None:
+    """Sums of the parts against the totals of the run, and the last cumulative share; none without ``kpis``."""
+    if "kpis" not in bundle:
+        return None
+
+    def total(key: str) -> Column:
+        rows = bundle["kpis"].where((F.col("categoria") == "kpi") & (F.col("chave") == key))
+        return rows.select(F.expr("try_cast(valor AS double)")).scalar()
+
+    known = {
+        "contratos_n": lambda: (F.sum("contratos_n"), total("contratos")),
+        "principal": lambda: (F.sum(F.col("principal").cast("decimal(28,2)")), total("principal_total")),
+        "acumulado": lambda: (F.max("acumulado"), F.lit(100.0)),
+    }
+    out = None
+    for table, names in ROLLUPS.items():
+        if table not in bundle:
+            continue
+        row = reconcile.rollup_consistency(bundle[table], {n: known[n]() for n in names}, ROLLUP_TOLERANCES, f"soma {table}")
+        part = row.select(
+            "check",
+            F.lit("").alias("key"),
+            *["computed", "golden", "diff", "tol"],
+            F.lit("sum").alias("kind"),
+            F.when(F.col("passed"), "pass").otherwise("fail").alias("status"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def coverage_checks(bundle: Mapping[str, DataFrame], golden: Mapping[str, DataFrame]) -> DataFrame | None:
+    """Failing rows for tables that cannot be compared: no golden table, no result table, or no entry in ``AUDITED``."""
+    audited = {a.table for a in AUDITED}
+    rows = [(t, "missing_golden") for t in sorted(audited & set(bundle) - set(golden))]
+    rows += [(t, "missing_actual") for t in sorted(audited & set(golden) - set(bundle))]
+    rows += [(t, "fail") for t in sorted(set(golden) - audited)]
+    if not rows:
+        return None
+    values = F.lit(None).cast("double")
+    return inline_table(next(iter({**bundle, **golden}.values())).sparkSession, "key, status", rows).select(
+        F.lit("tabela").alias("check"),
+        "key",
+        *[values.alias(c) for c in ("computed", "golden", "diff", "tol")],
+        F.lit("table").alias("kind"),
+        "status",
+    )
+
+
 def audit_checks(bundle: Mapping[str, DataFrame], golden: Mapping[str, DataFrame]) -> DataFrame:
-    """Every keyed comparison that golden tables exist for, and the shape of both curves.
+    """Every keyed comparison that golden tables exist for, sums of parts against totals, and the shape of both curves.
 
     ``golden`` maps table names of the bundle to tables with the same key and measures; keys on one side only are reported.
+    An audited table of the bundle without a golden table, and a golden table that is not audited or not in the bundle,
+    fail as ``tabela``. Sums need the totals in ``kpis``.
     """
-    parts = [
-        reconcile.reconcile(_stack(bundle[a.table], a), _stack(golden[a.table], a)) for a in AUDITED if a.table in golden
-    ]
+    both = [a for a in AUDITED if a.table in golden and a.table in bundle]
+    parts = [reconcile.reconcile(_stack(bundle[a.table], a), _stack(golden[a.table], a)) for a in both]
     out = curve_checks(bundle)
-    for part in parts:
-        out = out.unionByName(part)
+    for part in (*parts, rollup_checks(bundle), coverage_checks(bundle, golden)):
+        if part is not None:
+            out = out.unionByName(part)
     return out
 
 
+def audit_deviations(checks: DataFrame) -> DataFrame:
+    """Largest deviation of first-payment default (points) and of NPV (relative), by kind."""
+    return reconcile.max_deviation(checks.where(F.split("check", " ")[0].isin(*DEVIATIONS)))
+
+
 def audit_summary(checks: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Totals of the checks and the decision: GREEN when every failure is on the list ``known`` (check_name)."""
     if known is None:
