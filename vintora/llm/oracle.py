@@ -79,3 +79,43 @@ remain AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT coalesce(rest < 0.2 * every, false) AS kept
 FROM judged LEFT JOIN remain ON judged.source = remain.source AND judged.t = remain.t"""
+
+
+HARD_NEGATIVES = """
+WITH taking AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM taking a JOIN taking b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 5"""
+
+TERMS = r"regexp_extract_all({t}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(t=LOWER.format(t="coalesce(text, '')"))
+
+LEXICAL_SEARCH = f"""
+WITH words AS (SELECT doc_id, {TERMS} AS w FROM documents),
+totals AS (SELECT count(*) FILTER (len(w) > 0) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM words),
+frequency AS (
+  SELECT doc_id, any_value(len(w)) AS n, t, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS t FROM words) GROUP BY doc_id, t),
+weight AS (
+  SELECT t, CAST(floor(1000 * ln((2 * totals.n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM frequency, totals GROUP BY t, totals.n),
+items AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest({TERMS}) AS t FROM benchmark) GROUP BY item_id, t),
+impact AS (
+  SELECT doc_id, t, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * f.n * totals.n) // totals.l)) AS v
+  FROM frequency f, totals),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(c * w * v) AS BIGINT) AS score
+  FROM items JOIN weight USING (t) JOIN impact USING (t) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20"""

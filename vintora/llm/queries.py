@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintora.llm import attribution, embedding_join, licenses, ngram_join, oracle, packing, piece_sampling, quality_knn, quality_rules, url_filter, warc
+from vintora.llm import (
+    attribution,
+    embedding_join,
+    hard_negatives,
+    lexical_search,
+    licenses,
+    ngram_join,
+    oracle,
+    packing,
+    piece_sampling,
+    quality_knn,
+    quality_rules,
+    url_filter,
+    vector_packing,
+    warc,
+)
 from vintora.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +96,20 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = piece_sampling.sample_pieces(read(spark, sf_dir, "documents"), k=2)
     return samples.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@register("op11_hard_negatives", oracle.HARD_NEGATIVES)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@register("op12_vector_packing")
+def op12_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
+@register("op13_lexical_search", oracle.LEXICAL_SEARCH)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
