@@ -109,17 +109,16 @@ class _Group:
         for a in range(0, len(self.ids), TILE[0]):
             part = slice(a, a + TILE[0])
             score = products([r[part] for r in self.residues], right, primes)
-            same = self.labels[part][:, None] == labels
+            same, other = self.labels[part][:, None] == labels, self.ids[part][:, None] != ids
             if self.windows is None:
-                least = self.best.least[part][:, None]
-                row, column = np.nonzero(same & (self.ids[part][:, None] != ids) & (score >= least))
+                row, column = np.nonzero(same & other & (score >= self.best.least[part][:, None]))
                 self.best.add(row + a, score[row, column], ids[column])
                 continue
             slots = self.windows.shape[1]
             for slot in range(slots):
                 low, high = self.windows[part, slot].T
                 low = np.maximum(low, self.best.least[slot::slots][part])
-                row, column = np.nonzero(~same & (score >= low[:, None]) & (score <= high[:, None]))
+                row, column = np.nonzero(~same & other & (score >= low[:, None]) & (score <= high[:, None]))
                 self.best.add((row + a) * slots + slot, score[row, column], ids[column])
 
 
@@ -215,9 +214,9 @@ def mine_hard_negatives(
     """``anchor_id, positive_id, rank, negative_id, positive_score, negative_score``, for the rows of ``vectors``.
 
     ``vectors`` has ``vec_id``, ``embedding`` and ``label``. A row's score is its inner product with the anchor, both as
-    ``integer_vectors``. An anchor's positives are its best rows of the same label and another id, its negatives those of
-    other labels with ``low * positive <= 100 * negative <= high * positive``; ties go to the smaller id. Rows that repeat
-    an id with the same score count once. Vectors of other lengths than the anchor's are no candidates. An anchor without
+    ``integer_vectors``. An anchor's positives are its best rows of the same label, its negatives those of other labels
+    with ``low * positive <= 100 * negative <= high * positive``; ties go to the smaller id. Rows with
+    the anchor's own id are neither; rows that repeat an id with the same score count once. Vectors of other lengths than the anchor's are no candidates. An anchor without
     a positive or a negative gives no row, an empty table an empty result. Norms whose square reaches 2**62 fail the job, because
     scores would not fit.
     """
