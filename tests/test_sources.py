@@ -123,14 +123,14 @@ def test_stage_is_reused_and_unfinished_copies_are_rewritten(spark, tmp_path):
     dst = str(tmp_path / "inst.parquet")
     first = sinks.stage_installments(spark, src, dst)
     assert first.count() == 1 and first.first().valor_parcela == 1000.0
-    marked = os.stat(os.path.join(dst, "_SUCCESS")).st_mtime_ns
+    marked = os.stat(os.path.join(dst, sinks.STAGED)).st_mtime_ns
     assert sinks.stage_installments(spark, src, dst).count() == 1
-    assert os.stat(os.path.join(dst, "_SUCCESS")).st_mtime_ns == marked
+    assert os.stat(os.path.join(dst, sinks.STAGED)).st_mtime_ns == marked
     write(tmp_path / "INSTALLMENTS.csv", header, "1;a;1;15/01/2024;;1;;0", "2;b;1;15/01/2024;;1;;0")
     assert sinks.stage_installments(spark, src, dst).count() == 2
     with pytest.raises(normalise.MissingColumns):
         sinks.stage_installments(spark, src, dst, sep=",")
-    os.remove(os.path.join(dst, "_SUCCESS"))
+    os.remove(os.path.join(dst, sinks.STAGED))
     assert sinks.stage_installments(spark, src, dst).count() == 2
     assert sinks.text_bytes(spark, src, str(tmp_path / "none.csv")) == os.path.getsize(src)
 

@@ -8,6 +8,7 @@ from vintora.operators import portfolio as pf
 from vintora.operators import valuation as va
 from vintora.params import Params
 from vintora.plans.portfolio_run import run_from_files, run_portfolio
+from vintora.sources.sinks import read_bundle
 
 P = Params.at("2020-03")
 
@@ -113,7 +114,7 @@ def test_run_from_files(spark, tmp_path):
     write("META.csv", "nome_cliente;data_base;analista;produto", "Banco;2020-06-30;Ana;Consignado")
     done = run_from_files(spark, str(tmp_path), str(tmp_path / "out"), "2020-06", fmt="csv")
     assert len(done) == 20 and all(done.values())
-    kpis = spark.read.option("header", True).option("sep", ";").csv(str(tmp_path / "out" / "kpis"))
+    kpis = read_bundle(spark, str(tmp_path / "out"))["kpis"]
     values = {(r.categoria, r.chave): r.valor for r in kpis.collect()}
     assert values["kpi", "principal_total"] == "3600.00" and values["meta", "nome_cliente"] == "Banco"
     assert values["ead", "ead_inadimplente"] == "2400.00" and values["kpi", "renegociacoes"] == "0"

@@ -163,11 +163,10 @@ BUNDLE_ROWS = {
 )
 def export_bundle(spark, sf_dir):
     path = new_folder(spark, "bundle")
-    written = sinks.export_bundle(portfolio_results(spark, sf_dir), path)
+    sinks.export_bundle(portfolio_results(spark, sf_dir), path)
     counts = [
-        spark.read.parquet(f"{path}/{name}").agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("linhas"))
-        for name, ok in written.items()
-        if ok
+        df.agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("linhas"))
+        for name, df in sinks.read_bundle(spark, path).items()
     ]
     return quality.union_all(counts)
 

@@ -6,8 +6,8 @@ Severities are ``ok``, ``aviso`` and ``erro``; the book passes without an ``erro
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -35,7 +35,11 @@ class ValidationFailed(Exception):
 
 @dataclass(frozen=True)
 class Check:
-    """One counted rule: rows counted, and the severity when there are any."""
+    """One counted rule: rows counted, and the severity when there are any.
+
+    ``row`` is the condition whose rows are counted, and ``finish`` makes their number the result; rules over the whole table have
+    neither.
+    """
 
     dataset: str
     name: str
@@ -44,12 +48,52 @@ class Check:
     severity: Column | str
     message: str
     total: Column | None = None
+    row: Column | None = None
+    finish: Callable[[Column], Column] | None = None
 
 
 def count_where(condition: Column) -> Column:
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
 
+def row_check(
+    dataset: str, name: str, column: str, row: Column, severity: str, message: str, finish: Callable[[Column], Column] | None = None
+) -> Check:
+    bad = count_where(row)
+    return Check(dataset, name, column, finish(bad) if finish else bad, severity, message, None, row, finish)
+
+
+@dataclass(frozen=True)
+class Marks:
+    """Row conditions of checks as bits of one number, for staging text and checks in one pass."""
+
+    names: list[str]
+    bits: Column
+
+
+def marks_of(checks: Sequence[Check]) -> Marks:
+    rows = [c for c in checks if c.row is not None]
+    bits = F.lit(0).cast("bigint")
+    for i, c in enumerate(rows):
+        bits = bits.bitwiseOR(F.when(F.coalesce(c.row, F.lit(False)), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint"))
+    return Marks([f"{c.name}.{c.column}" for c in rows], bits)
+
+
+def of_marks(checks: Sequence[Check]) -> list[Check]:
+    """The same checks counted from ``_fora`` and ``_falhas`` instead of the text; those over whole tables must not need it."""
+    out, i = [], 0
+    inside = ~F.col("_fora")
+    for c in checks:
+        total = F.count_if(inside) if c.total is None else c.total
+        if c.row is None:
+            out.append(replace(c, total=total))
+            continue
+        n = F.count_if(inside & (F.col("_falhas").bitwiseAND(F.lit(1 << i)) != 0))
+        out.append(replace(c, bad=c.finish(n) if c.finish else n, total=total))
+        i += 1
+    return out
+
+
 def findings(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Run all checks of one table in a single aggregation."""
     rows = []
@@ -149,7 +193,7 @@ def rows_held(df: DataFrame, layout: Layout) -> DataFrame:
     return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
 
 
-def null_checks(df: DataFrame, layout: Layout) -> list[Check]:
+def null_checks(df: DataFrame | Header, layout: Layout) -> list[Check]:
     checks = []
     for c in layout.required:
         if c not in df.columns:
@@ -158,7 +202,7 @@ def null_checks(df: DataFrame, layout: Layout) -> list[Check]:
             severity = OK
         else:
             severity = WARN if c in NULL_MEANS_ZERO else ERROR
-        checks.append(Check(layout.dataset, "nulos", c, count_where(F.col(c).isNull()), severity, "valores nulos"))
+        checks.append(row_check(layout.dataset, "nulos", c, F.col(c).isNull(), severity, "valores nulos"))
     return checks
 
 
@@ -169,37 +213,37 @@ def dq_nulls(df: DataFrame, layout: Layout) -> DataFrame:
 
 def invalid_date(dataset: str, column: str, severity: str) -> Check:
     bad = date_status(F.col(column)) == "invalid"
-    return Check(dataset, "data_invalida", column, count_where(bad), severity, "datas invalidas")
+    return row_check(dataset, "data_invalida", column, bad, severity, "datas invalidas")
 
 
 def negative(dataset: str, column: str, severity: str) -> Check:
-    return Check(dataset, "negativo", column, count_where(number_of(column) < 0), severity, "negativos")
+    return row_check(dataset, "negativo", column, number_of(column) < 0, severity, "negativos")
 
 
 def loan_checks(df: DataFrame, max_term: int = Params.max_term) -> list[Check]:
     checks = []
     for c in ("principal", "pmt"):
         if c in df.columns:
-            checks.append(Check("LOANS", "nao_numerico", c, count_where(number_of(c).isNull()), WARN, "nao numericos"))
+            checks.append(row_check("LOANS", "nao_numerico", c, number_of(c).isNull(), WARN, "nao numericos"))
             checks.append(negative("LOANS", c, ERROR))
     if "num_parcelas" in df.columns:
         short = F.coalesce(number_of("num_parcelas"), F.lit(0.0)) < 1
-        checks.append(Check("LOANS", "prazo_minimo", "num_parcelas", count_where(short), ERROR, "num_parcelas < 1"))
-        long = count_where(number_of("num_parcelas") > max_term)
-        checks.append(Check("LOANS", "prazo_maximo", "num_parcelas", long, ERROR, "num_parcelas acima do limite"))
+        checks.append(row_check("LOANS", "prazo_minimo", "num_parcelas", short, ERROR, "num_parcelas < 1"))
+        long = number_of("num_parcelas") > max_term
+        checks.append(row_check("LOANS", "prazo_maximo", "num_parcelas", long, ERROR, "num_parcelas acima do limite"))
     if "data_aquisicao" in df.columns:
         checks.append(invalid_date("LOANS", "data_aquisicao", ERROR))
     return checks
 
 
-def installment_checks(df: DataFrame) -> list[Check]:
+def installment_checks(df: DataFrame | Header) -> list[Check]:
     name = "INSTALLMENTS"
     dates = (("data_vencimento", ERROR), ("data_pagamento", WARN))
     checks = [invalid_date(name, c, severity) for c, severity in dates if c in df.columns]
     checks += [negative(name, c, WARN) for c in ("valor_parcela", "dias_atraso") if c in df.columns]
     if "num_parcela" in df.columns:
-        missing = (count_where(number_of("num_parcela") == 1) == 0).cast("bigint")
-        checks.append(Check(name, "sem_parcela_1", "num_parcela", missing, ERROR, "nenhuma parcela 1"))
+        first, none = number_of("num_parcela") == 1, lambda n: (n == 0).cast("bigint")
+        checks.append(row_check(name, "sem_parcela_1", "num_parcela", first, ERROR, "nenhuma parcela 1", none))
     return checks
 
 
@@ -311,8 +355,8 @@ def dq_cross(loans: DataFrame, inst: DataFrame, reneg: DataFrame | None = None)
 def conditional_checks(loans: DataFrame, inst: DataFrame) -> list[Check]:
     if "motivo_falha_repasse" in inst.columns or "tipo_produto" not in loans.columns:
         return []
-    payroll = count_where(F.col("tipo_produto").rlike("(?i)consignado"))
-    return [Check("INSTALLMENTS", "coluna_condicional", "motivo_falha_repasse", payroll, ERROR, "exigida por consignado")]
+    payroll = F.col("tipo_produto").rlike("(?i)consignado")
+    return [row_check("INSTALLMENTS", "coluna_condicional", "motivo_falha_repasse", payroll, ERROR, "exigida por consignado")]
 
 
 def dq_conditional_column(loans: DataFrame, inst: DataFrame) -> DataFrame:
@@ -350,6 +394,42 @@ def snapshot_checks(loans: DataFrame, p: Params) -> list[Check]:
     return [Check("LOANS", "data_base", "data_aquisicao", bad, level, "posteriores a data_base", total)]
 
 
+@dataclass(frozen=True)
+class Header:
+    """Columns of an input, where nothing else of it is needed."""
+
+    columns: tuple[str, ...]
+
+
+def installment_row_checks() -> list[Check]:
+    """Checks of the staged instalments, which have all required columns."""
+    header = Header(INSTALLMENTS.required)
+    return [*null_checks(header, INSTALLMENTS), *installment_checks(header)]
+
+
+def installment_marks() -> Marks:
+    return marks_of(installment_row_checks())
+
+
+def staged_findings(df: DataFrame, layout: Layout, checks: Sequence[Check], max_share: float = Params.max_malformed) -> DataFrame:
+    """Malformed lines, presence and ``checks`` of a staged input from ``_fora`` and ``_falhas``, in one scan of these."""
+    inside, bad = F.count_if(~F.col("_fora")), F.count_if(F.col("_fora"))
+    level = F.when(bad > max_share * F.count(F.lit(1)), ERROR).when(bad > 0, WARN).otherwise(OK)
+    whole = [
+        Check(layout.dataset, "linhas_malformadas", "", bad, level, "linhas fora do cabecalho"),
+        replace(presence_check(layout), bad=(inside == 0).cast("bigint"), total=inside),
+    ]
+    return findings(df, [*whole, *of_marks(checks)])
+
+
+def staged_snapshot(loans: DataFrame, p: Params) -> DataFrame:
+    """``dq_snapshot`` of staged loans."""
+    acquired = F.when(~F.col("_fora"), F.col("data_aquisicao"))
+    bad, total = count_where(acquired > F.lit(p.snapshot)), F.count(acquired)
+    level = F.when((bad > 0) | (total == 0), WARN).otherwise(OK)
+    return findings(loans, [Check("LOANS", "data_base", "data_aquisicao", bad, level, "posteriores a data_base", total)])
+
+
 def validate_book(
     spark: SparkSession,
     loans: DataFrame | None,

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vintora.operators import reconcile
 from vintora.operators.inline_tables import inline_table
+from vintora.sources.sinks import read_bundle
 
 
 @dataclass(frozen=True)
@@ -143,6 +144,11 @@ def audit_checks(bundle: Mapping[str, DataFrame], golden: Mapping[str, DataFrame
     return out
 
 
+def audit_folder(spark: SparkSession, path: str, golden: Mapping[str, DataFrame]) -> DataFrame:
+    """``audit_checks`` of the bundle that was committed last in a folder, in whatever format it was written."""
+    return audit_checks(read_bundle(spark, path), golden)
+
+
 def audit_deviations(checks: DataFrame) -> DataFrame:
     """Largest deviation of first-payment default (points) and of NPV (relative), by kind."""
     return reconcile.max_deviation(checks.where(F.split("check", " ")[0].isin(*DEVIATIONS)))

@@ -4,26 +4,42 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vintora.functions.numbers import round_columns
+from vintora.functions.parsing import norm_id
 from vintora.operators import cohorts, curves, portfolio, rolls, valuation
+from vintora.operators.quality import (
+    Check,
+    conditional_checks,
+    dq_columns,
+    dq_cross,
+    installment_row_checks,
+    loan_checks,
+    marks_of,
+    missing_input,
+    null_checks,
+    renegotiation_checks,
+    require_pass,
+    staged_findings,
+    staged_snapshot,
+    union_all,
+    validate_book,
+)
 from vintora.params import Params
-from vintora.operators.quality import require_pass, validate_book
 from vintora.session import row_bytes, size_shuffles
-from vintora.sources.layouts import RENEGOTIATIONS
-from vintora.sources.normalise import normalise_loans
+from vintora.sources.layouts import INSTALLMENTS, LOANS, RENEGOTIATIONS
+from vintora.sources.normalise import dedup_loans, parse_loans
 from vintora.sources.readers import (
+    MALFORMED,
     empty_raw,
     norm_id_alias,
     portfolio_meta,
-    read_loans,
     read_or_none,
-    read_renegotiations,
     read_text_lines,
     renegotiated_ids,
 )
-from vintora.sources.sinks import export_bundle, stage_installments, text_bytes
+from vintora.sources.sinks import export_bundle, mark_columns, staged_installments, text_bytes
 from vintora.sources.workspace import materialise, run_scratch, together
 
 # Decimals of the exported columns.
@@ -187,13 +203,84 @@ def run_from_files(
     p = Params.at(snapshot, **overrides)
     with run_scratch(spark):
         size_shuffles(spark, text_bytes(spark, *[f"{folder}/{n}.csv" for n in ("LOANS", "INSTALLMENTS", "RENEGOCIACAO")]))
+        book = stage_book(spark, folder, p, sep, validate)
         if validate:
-            require_pass(validate_files(spark, folder, p, sep))
-        inst = stage_installments(spark, f"{folder}/INSTALLMENTS.csv", f"{folder}/INSTALLMENTS.parquet", sep)
-        loans = materialise(normalise_loans(read_loans(spark, f"{folder}/LOANS.csv", sep)), "loans")
-        ids = renegotiated_ids(read_renegotiations(spark, f"{folder}/RENEGOCIACAO.csv", sep))
+            require_pass(book.findings(p))
+        loans = materialise(dedup_loans(well_staged(book.loans)), "loans")
+        ids = renegotiated_ids(well_staged(book.reneg))
         meta = portfolio_meta(spark, f"{folder}/META.csv", client, snapshot, sep)
-        return export_bundle(run_portfolio(loans, inst, ids, p, meta), output, fmt)
+        return export_bundle(run_portfolio(loans, well_staged(book.inst), ids, p, meta), output, fmt)
+
+
+@dataclass(frozen=True)
+class StagedBook:
+    """Typed inputs with ``_fora`` and ``_falhas``, the checks behind these, and what the headers alone tell."""
+
+    loans: DataFrame
+    inst: DataFrame
+    reneg: DataFrame
+    checks: dict[str, list[Check]]
+    columns: DataFrame
+
+    def findings(self, p: Params) -> DataFrame:
+        """All findings of ``validate_files``, from the staged rows."""
+        parts = [
+            staged_findings(self.loans, LOANS, self.checks["LOANS"], p.max_malformed),
+            staged_findings(self.inst, INSTALLMENTS, self.checks["INSTALLMENTS"], p.max_malformed),
+            staged_findings(self.reneg, RENEGOTIATIONS, self.checks["RENEGOCIACAO"], p.max_malformed),
+            staged_snapshot(self.loans, p),
+            dq_cross(well_staged(self.loans), well_staged(self.inst), well_staged(self.reneg)),
+        ]
+        return union_all([*parts, self.columns])
+
+
+def well_staged(rows: DataFrame) -> DataFrame:
+    return rows.where("NOT _fora").drop("_fora", "_falhas")
+
+
+def stage_book(spark: SparkSession, folder: str, p: Params, sep: str = ";", validate: bool = True) -> StagedBook:
+    """Parse every text input once, into typed rows that also carry what the gate counts.
+
+    Missing inputs and columns show in the headers, so with ``validate`` they stop the run with ``ValidationFailed`` before
+    anything is parsed; without it they raise as the readers do. Missing renegotiations count as none.
+    """
+    path = {n: f"{folder}/{n}.csv" for n in ("LOANS", "INSTALLMENTS", "RENEGOCIACAO")}
+    loans, inst = (_lines(spark, path[n], sep) for n in ("LOANS", "INSTALLMENTS"))
+    reneg = _lines(spark, path["RENEGOCIACAO"], sep)
+    if reneg is None:
+        reneg = empty_raw(spark, RENEGOTIATIONS).withColumn(MALFORMED, F.lit(None).cast("string"))
+    inputs = ((loans, LOANS), (inst, INSTALLMENTS), (reneg, RENEGOTIATIONS))
+    columns = union_all(
+        [missing_input(spark, at) if df is None else dq_columns(df.drop(MALFORMED), at) for df, at in inputs]
+    )
+    if validate:
+        require_pass(columns)
+    if loans is None:
+        loans = read_text_lines(spark, path["LOANS"], sep)  # raises
+    conditional = [] if inst is None else conditional_checks(loans, inst)
+    checks = {
+        "LOANS": [*null_checks(loans, LOANS), *loan_checks(loans, p.max_term), *conditional],
+        "INSTALLMENTS": installment_row_checks(),
+        "RENEGOCIACAO": [*null_checks(reneg, RENEGOTIATIONS), *renegotiation_checks(reneg)],
+    }
+
+    def marks(name: str) -> list[Column]:
+        return mark_columns(marks_of(checks[name]).bits)
+
+    origin = norm_id(F.col("id_contrato_origem")).alias("id_contrato_origem")
+    staged = together(
+        {
+            "loans": lambda: materialise(parse_loans(loans, *marks("LOANS")), "parsed-loans"),
+            "inst": lambda: staged_installments(spark, path["INSTALLMENTS"], f"{folder}/INSTALLMENTS.parquet", sep),
+            "reneg": lambda: materialise(reneg.select(origin, *marks("RENEGOCIACAO")), "parsed-reneg"),
+        }
+    )
+    return StagedBook(**staged, checks=checks, columns=columns)
+
+
+def _lines(spark: SparkSession, path: str, sep: str) -> DataFrame | None:
+    df = read_or_none(spark, path, sep, read_text_lines)
+    return None if df is None else norm_id_alias(df)
 
 
 def validate_files(spark: SparkSession, folder: str, p: Params, sep: str = ";") -> DataFrame:
@@ -203,8 +290,7 @@ def validate_files(spark: SparkSession, folder: str, p: Params, sep: str = ";")
     """
 
     def lines(name: str) -> DataFrame | None:
-        df = read_or_none(spark, f"{folder}/{name}.csv", sep, read_text_lines)
-        return None if df is None else norm_id_alias(df)
+        return _lines(spark, f"{folder}/{name}.csv", sep)
 
     reneg = lines("RENEGOCIACAO")
     return validate_book(

@@ -72,8 +72,8 @@ def canonical_loans(typed: DataFrame) -> DataFrame:
     )
 
 
-def parse_loans(raw: DataFrame) -> DataFrame:
-    """Text loans to the typed layer, duplicates kept."""
+def parse_loans(raw: DataFrame, *extra: Column) -> DataFrame:
+    """Text loans to the typed layer, duplicates kept; ``extra`` columns come from the text."""
     raw = require_columns(norm_id_alias(raw), LOANS)
     acquired = norm_date(_source(raw, "data_aquisicao"))
     return raw.select(
@@ -86,6 +86,7 @@ def parse_loans(raw: DataFrame) -> DataFrame:
         norm_decimal(_source(raw, "dias_maior_atraso")).alias("dias_maior_atraso"),
         vintage(acquired).alias("safra"),
         *[c.alias(n) for n, c in category_columns(raw).items()],
+        *extra,
     )
 
 
@@ -120,8 +121,8 @@ def dedup_loans(loans: DataFrame, order: Sequence[Column] | None = None) -> Data
     return kept.unionByName(loans.where(F.col("id_contrato").isNull()))
 
 
-def normalise_installments(raw: DataFrame) -> DataFrame:
-    """Text instalments to typed rows; null numbers stay null, garbage becomes 0."""
+def normalise_installments(raw: DataFrame, *extra: Column) -> DataFrame:
+    """Text instalments to typed rows; null numbers stay null, garbage becomes 0; ``extra`` columns come from the text."""
     require_columns(raw, INSTALLMENTS)
 
     def number(name: str) -> Column:
@@ -136,11 +137,12 @@ def normalise_installments(raw: DataFrame) -> DataFrame:
         number("valor_parcela").alias("valor_parcela"),
         number("valor_pago").alias("valor_pago"),
         number("dias_atraso").alias("dias_atraso"),
+        *extra,
     )
 
 
-def normalise_renegotiations(raw: DataFrame) -> DataFrame:
-    """Text renegotiations to typed rows."""
+def normalise_renegotiations(raw: DataFrame, *extra: Column) -> DataFrame:
+    """Text renegotiations to typed rows; ``extra`` columns come from the text."""
     require_columns(raw, RENEGOTIATIONS)
     numbers = ("valor_refinanciado", "valor_troco", "valor_parcela", "valor_pago")
     dates = ("data_renegociacao", "data_vencimento", "data_pagamento")
@@ -149,6 +151,7 @@ def normalise_renegotiations(raw: DataFrame) -> DataFrame:
         *[norm_date(_source(raw, c)).alias(c) for c in dates],
         norm_int(_source(raw, "num_parcela"), null_as_zero=False).alias("num_parcela"),
         *[norm_decimal(_source(raw, c), null_as_zero=False).alias(c) for c in numbers],
+        *extra,
     )
 
 

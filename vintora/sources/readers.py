@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,7 +13,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from vintora.functions.parsing import clean_text, norm_id
 from vintora.params import NOT_INFORMED
+from vintora.sources.files import data_files, file_states, literal, read_head
 from vintora.sources.layouts import ID_ALIASES, META, RENEGOTIATIONS, Layout
+from vintora.sources.records import files_with_line_ends, text_records
 
 MALFORMED = "_linha_malformada"
 Reader = Callable[[SparkSession, str, str], DataFrame]
@@ -37,18 +42,75 @@ def read_text_table(spark: SparkSession, path: str, sep: str = ";") -> DataFrame
     return well_formed(read_text_lines(spark, path, sep))
 
 
-def read_text_lines(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    """All-text read of every line; ``MALFORMED`` holds the line where its columns do not match the header.
+def read_text_lines(spark: SparkSession, path: str | list[str], sep: str = ";", source: str | None = None) -> DataFrame:
+    """All-text read of every record; ``MALFORMED`` holds it where its columns do not match the header of its file.
 
-    Quoting is that of RFC 4180: a quote inside a quoted value is doubled, a backslash is an ordinary character. Values
-    do not span lines. ``path`` may be any URI Spark can open. Column pruning is off in the parser so that a line
-    counts as malformed whichever columns the query selects.
+    Every file is read by its own header, and files are put together by column name, stripped and lower-cased; a
+    column that a file lacks is null. Quoting is that of RFC 4180: a quote inside a quoted value is doubled, a backslash is
+    an ordinary character. Values may span lines: files in which they do are found by one scan, and only these are read by
+    ``text_records``. ``path`` may be any URI Spark can open, also a folder or a pattern, or the URIs of
+    files as ``data_files`` gives them. Column pruning is off in the parser
+    so that a line counts as malformed whichever columns the query selects. ``source`` names a column for the file.
     """
-    options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "columnPruning": False}
-    names = spark.read.options(**options).csv(path).columns
-    schema = StructType([StructField(c, StringType()) for c in [*names, MALFORMED]])
-    lines = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
-    return norm_columns(lines.schema(schema).csv(path))
+    files = path if isinstance(path, list) else data_files(spark, path)
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    with_ends = _with_line_ends(spark, files, sep)
+    for file, names in headers(spark, files, sep).items():
+        if names:
+            groups.setdefault((names, file in with_ends), []).append(file)
+    if not groups:
+        groups[(), False] = files
+    out = None
+    for (names, ends), part in groups.items():
+        rows = (_spanning_lines if ends else _single_lines)(spark, part, sep, names, source)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out.select(*[F.col(f"`{c}`") for c in out.columns if c not in (MALFORMED, source)], *[c for c in (source, MALFORMED) if c])
+
+
+OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+_LINE_ENDS: dict[tuple, set[str]] = {}  #: by files with their states: the gate and the staging share one scan
+
+
+def _with_line_ends(spark: SparkSession, files: list[str], sep: str) -> set[str]:
+    states = tuple(sorted(file_states(spark, files).items()))
+    key = spark.sparkContext.applicationId, sep, states
+    if key not in _LINE_ENDS:
+        if len(_LINE_ENDS) >= 64:
+            _LINE_ENDS.clear()
+        _LINE_ENDS[key] = files_with_line_ends(spark, files, sep) if files else set()
+    return _LINE_ENDS[key]
+
+
+def headers(spark: SparkSession, files: list[str], sep: str) -> dict[str, tuple[str, ...]]:
+    """Column names of each file, none for an empty one; unnamed and repeated ones are told apart by their number."""
+
+    def names(file: str) -> tuple[str, ...]:
+        head = read_head(spark, file).decode("utf-8-sig", errors="ignore")
+        row = next((r for r in csv.reader(io.StringIO(head), delimiter=sep) if any(c.strip() for c in r)), [])
+        found = [c.strip().lower() for c in row]
+        return tuple(f"_c{i}" if not c else f"{c}{i}" if found.count(c) > 1 else c for i, c in enumerate(found))
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return dict(zip(files, pool.map(names, files)))
+
+
+def _text_schema(names: tuple[str, ...]) -> StructType:
+    return StructType([StructField(c, StringType()) for c in [*names, MALFORMED]])
+
+
+def _single_lines(spark: SparkSession, files: list[str], sep: str, names: tuple[str, ...], source: str | None) -> DataFrame:
+    reader = spark.read.options(header=True, sep=sep, columnPruning=False, **OPTIONS).schema(_text_schema(names))
+    rows = reader.csv([literal(spark, f) for f in files])
+    return rows if source is None else rows.select("*", F.col("_metadata.file_path").alias(source))
+
+
+def _spanning_lines(spark: SparkSession, files: list[str], sep: str, names: tuple[str, ...], source: str | None) -> DataFrame:
+    records = text_records(spark, files, sep)
+    schema = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in _text_schema(names))
+    parsed = records.select("file", "value", "broken", F.from_csv("value", schema, {"sep": sep, **OPTIONS}).alias("p"))
+    values = [F.when(~F.col("broken"), F.col("p")[c]).alias(c) for c in names]
+    wrong = F.when(F.col("broken"), F.col("value")).otherwise(F.col("p")[MALFORMED]).alias(MALFORMED)
+    return parsed.select(*values, wrong, *([F.col("file").alias(source)] if source else []))
 
 
 def with_data_column(lines: DataFrame) -> DataFrame:
