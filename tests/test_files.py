@@ -245,3 +245,11 @@ def test_missing_inputs_and_columns_stop_before_parsing(spark, folder, monkeypat
     os.remove(f"{folder}/LOANS.csv")
     with pytest.raises(quality.ValidationFailed, match="1 erros"):
         run_from_files(spark, folder, f"{folder}/out", "2020-06")
+
+
+def test_everything_opens_where_only_the_session_knows(spark, folder, tmp_path):
+    spark.conf.set("fs.viewfs.mounttable.abc.link./book", tmp_path.as_uri())
+    found = stage_book(spark, "viewfs://abc/book", Params.at("2020-06")).findings(Params.at("2020-06"))
+    assert found.where("check = 'linhas_malformadas' AND n_bad = 1").count() == 2
+    sinks.export_bundle(small_tables(spark, 1), "viewfs://abc/book/out", "csv")
+    assert sinks.read_bundle(spark, "viewfs://abc/book/out")["perda_acumulada"].count() == 1

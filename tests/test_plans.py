@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vintora.catalog import book
 from vintora.catalog.queries import raw_book
+from vintora.functions.numbers import exact_sum
 from vintora.operators import cohorts, portfolio, quality, rolls
 from vintora.session import row_bytes, size_shuffles
 from vintora.sources.readers import norm_columns
@@ -76,10 +77,32 @@ def test_columns_and_filters_reach_the_scan(stored):
     assert re.findall(r"ReadSchema: struct<([^>]*)>", text) == ["pmt:double,num_parcelas:int,dias_maior_atraso:double"]
 
 
-def test_profiles_read_the_loans_once(stored):
+def test_profiles_take_their_total_from_one_column(stored):
     loans, _ = stored
-    for df in (portfolio.rating_profile(loans), portfolio.rating_matrix(loans), portfolio.segment_profile(loans), portfolio.delinquency_bands(loans)):
-        assert plan(df).count("FileScan parquet") == 1
+    profiles = (portfolio.rating_profile(loans), portfolio.rating_matrix(loans), portfolio.segment_profile(loans), portfolio.cross_profile(loans, "canal"))
+    for df in profiles:
+        text = plan(df)
+        assert "Window" not in text  # no cut is gathered in one task for its total
+        assert "ReadSchema: struct<principal:double>" in text
+    assert plan(portfolio.delinquency_bands(loans)).count("FileScan parquet") == 1
+
+
+def test_a_run_reads_cuts_without_windows(spark, stored):
+    cube = materialise(portfolio.loan_cube(stored[0]), "cube")
+    total = portfolio.cube_total(cube)
+    cut = lambda *keys: portfolio.cube_cut(cube, *keys)
+    for df in (
+        portfolio.rating_rows(cut("rating"), total),
+        portfolio.segment_rows(cut("especie"), cut("profissao"), F.lit(True), total),
+        portfolio.matrix_rows(cut("rating", "bhv"), total),
+    ):
+        assert "Window" not in plan(df)
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(spark):
+    values = spark.range(20_000).selectExpr("cast(id as double) / 7 * if(id % 3 = 0, 1e6, 0.001) AS x")
+    sums = {values.orderBy(F.rand(seed)).repartition(n).agg(exact_sum(F.col("x"))).first()[0] for seed, n in ((1, 1), (2, 7), (3, 13))}
+    assert len(sums) == 1
 
 
 def test_dedup_limits_groups_before_the_shuffle(stored):

@@ -145,6 +145,6 @@ def test_failed_gate_raises(spark, good):
 def test_every_required_column_of_the_book_is_counted(spark):
     from vintora.catalog.queries import QUERIES
 
-    got = {(r["dataset"], r["column"]) for r in QUERIES["dq_required_columns_book"](spark, "/root/testdata/sf0.001").collect()}
+    got = {(r["dataset"], r["column"]) for r in QUERIES["dq_required_columns"](spark, "/root/testdata/sf0.001").collect()}
     wanted = (layouts.LOANS, layouts.INSTALLMENTS, layouts.RENEGOTIATIONS)
     assert got == {(layout.dataset, c) for layout in wanted for c in layout.required}

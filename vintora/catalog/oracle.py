@@ -221,32 +221,45 @@ FROM b_vp v LEFT JOIN b_mob USING (safra) GROUP BY v.safra, v.principal"""
 CTES["b_spine"] = f"""
 SELECT CAST(unnest(generate_series(date_trunc('month', min(data_aquisicao)), {SNAPSHOT}, INTERVAL 1 MONTH)) AS DATE) AS cal
 FROM b_loans"""
-CTES["b_bounds"] = """
-SELECT id_contrato, min(data_vencimento) AS min_venc,
-  min(least(data_vencimento, coalesce(data_pagamento, data_vencimento))) AS min_event FROM b_inst GROUP BY 1"""
+# A contract's own months, numbered from the first month of the book: the month of its first event starts them.
+CTES["b_first"] = """
+SELECT *, date_diff('month', (SELECT min(cal) FROM b_spine), min_event) AS m0 FROM (
+  SELECT id_contrato, min(data_vencimento) AS min_venc,
+    min(CASE WHEN data_pagamento < data_vencimento THEN data_pagamento ELSE data_vencimento END) AS min_event
+  FROM b_inst GROUP BY id_contrato)"""
+CTES["b_month"] = "SELECT cal, row_number() OVER (ORDER BY cal) - 1 AS m FROM b_spine"
 CTES["b_grid"] = """
-SELECT id_contrato, cal, pmt, num_parcelas, min_venc FROM b_loans JOIN b_bounds USING (id_contrato)
-JOIN b_spine ON cal >= date_trunc('month', min_event)"""
+SELECT id_contrato, cal, pmt, num_parcelas, min_venc
+FROM (SELECT *, unnest(range(greatest(m0, 0), (SELECT count(*) FROM b_month))) AS m FROM b_first JOIN b_loans USING (id_contrato))
+JOIN b_month USING (m)"""
+# A payment counts from the first month that starts on its day or later, so months from then on hold it.
 CTES["b_pay"] = """
-SELECT id_contrato, CAST(CASE WHEN day(data_pagamento) = 1 THEN data_pagamento
-    ELSE date_trunc('month', data_pagamento) + INTERVAL 1 MONTH END AS DATE) AS cal, count(*) AS n
-FROM b_inst WHERE data_pagamento IS NOT NULL GROUP BY 1, 2"""
+SELECT id_contrato, cal, count(*) AS n
+FROM (SELECT id_contrato, CAST(last_day(data_pagamento - 1) + 1 AS DATE) AS cal FROM b_inst WHERE data_pagamento IS NOT NULL)
+GROUP BY ALL"""
+CTES["b_held"] = """
+SELECT id_contrato, cal, CAST(0 AS BIGINT) AS n, true AS asked FROM b_grid
+UNION ALL SELECT id_contrato, cal, n, false FROM b_pay WHERE id_contrato IN (SELECT id_contrato FROM b_first)"""
 CTES["b_cum"] = """
-SELECT id_contrato, cal, CAST(sum(coalesce(n, 0)) OVER (PARTITION BY id_contrato ORDER BY cal) AS BIGINT) AS pagas
-FROM b_grid LEFT JOIN b_pay USING (id_contrato, cal)"""
-CTES["b_oldest"] = """
-SELECT id_contrato, cal, min(data_vencimento) AS min_unpaid_due FROM b_inst JOIN b_spine
-  ON cal >= data_vencimento AND (data_pagamento IS NULL OR data_pagamento > cal) GROUP BY 1, 2"""
+SELECT id_contrato, cal, pagas FROM (
+  SELECT id_contrato, cal, asked, CAST(sum(n) OVER (PARTITION BY id_contrato ORDER BY cal) AS BIGINT) AS pagas FROM b_held)
+WHERE asked"""
+# Month starts at which an instalment is due and not yet paid, listed for each instalment by itself.
+CTES["b_oldest"] = f"""
+SELECT id_contrato, CAST(aberta AS DATE) AS cal, min(data_vencimento) AS min_unpaid_due FROM (
+  SELECT id_contrato, data_vencimento, unnest(generate_series(
+    CAST(last_day(data_vencimento - 1) + 1 AS TIMESTAMP),
+    CAST(least(coalesce(data_pagamento - 1, {SNAPSHOT}), {SNAPSHOT}) AS TIMESTAMP), INTERVAL 1 MONTH)) AS aberta FROM b_inst)
+WHERE aberta >= (SELECT min(cal) FROM b_spine) GROUP BY ALL"""
 BUCKET = (
     "CASE WHEN {d} <= 5 THEN 'corrente' WHEN {d} <= 30 THEN 'f5_30' WHEN {d} <= 60 THEN 'f31_60' "
     "WHEN {d} <= 90 THEN 'f61_90' WHEN {d} <= 120 THEN 'f91_120' WHEN {d} <= 150 THEN 'f121_150' "
     "WHEN {d} <= 180 THEN 'f151_180' ELSE 'f180p' END"
 )
 CTES["b_state"] = f"""
-SELECT g.id_contrato, g.cal, CAST(pmt * greatest(num_parcelas - pagas, 0) AS DOUBLE) AS saldo,
-  CASE WHEN min_unpaid_due IS NULL THEN 'corrente' ELSE {BUCKET.format(d='(g.cal - min_unpaid_due)')} END AS bucket
-FROM b_grid g JOIN b_cum USING (id_contrato, cal) LEFT JOIN b_oldest USING (id_contrato, cal)
-WHERE g.cal >= min_venc"""
+SELECT id_contrato, cal, CAST(pmt * CASE WHEN pagas < num_parcelas THEN num_parcelas - pagas ELSE 0 END AS DOUBLE) AS saldo,
+  coalesce({BUCKET.format(d='date_diff(\'day\', min_unpaid_due, cal)').replace("ELSE 'f180p'", "WHEN min_unpaid_due < cal THEN 'f180p'")}, 'corrente') AS bucket
+FROM b_cum JOIN (SELECT * FROM b_grid WHERE cal >= min_venc) USING (id_contrato, cal) LEFT JOIN b_oldest USING (id_contrato, cal)"""
 BUCKETS = ("corrente", "f5_30", "f31_60", "f61_90", "f91_120", "f121_150", "f151_180", "f180p")
 CTES["b_aging"] = f"""
 SELECT cal, strftime(cal, '%Y-%m') AS mes, {', '.join(money_if('saldo', f"bucket = '{b}'") + f' AS {b}' for b in BUCKETS)}
@@ -358,7 +371,7 @@ def sql(select: str) -> str:
         return select
     order = sorted(needed, key=_rank)
     keyword = "WITH RECURSIVE" if "b_steps" in needed else "WITH"
-    once = {n: "MATERIALIZED " if n in ("b_grid", "b_oldest") else "" for n in order}
+    once = {n: "MATERIALIZED " if n in ("b_spine", "b_month", "b_grid", "b_oldest") else "" for n in order}
     return f"{keyword} " + ",\n".join(f"{n} AS {once[n]}({CTES[n]})" for n in order) + f"\n{select}"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,7 @@ from vintora.catalog import book
 from vintora.catalog import oracle as o
 from vintora.catalog.book import PARAMS, table
 from vintora.functions.calendar import dpd_bucket, months_diff, vintage
-from vintora.functions.numbers import format_locale, round_columns
+from vintora.functions.numbers import format_locale, round_columns, rounded
 from vintora.functions.parsing import (
     date_status,
     norm_category,
@@ -25,7 +26,8 @@ from vintora.functions.parsing import (
 from vintora.operators import cohorts, curves, portfolio, quality, reconcile, rolls, valuation
 from vintora.plans.portfolio_run import export_rounded, run_portfolio
 from vintora.sources import layouts, normalise, readers, sinks
-from vintora.sources.workspace import materialise, new_folder
+from vintora.sources.files import remove
+from vintora.sources.workspace import hadoop_path, materialise, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,6 +90,44 @@ def src_loans_csv(spark, sf_dir):
     return readers.read_loans(spark, path)
 
 
+def write_quoted(df: DataFrame, path: str) -> None:
+    """Text with quoted values where they hold a separator, a quote or a line end."""
+    options = {"header": True, "sep": ";", "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(**options).csv(path)
+
+
+def loan_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of loan files: a third with reversed columns, a third without ``regiao``, regions that hold line ends and quotes."""
+    df, folder = book.messy_loans(spark, sf_dir), new_folder(spark, "loan-files")
+    key = norm_id(F.col("` Unique ID `")).cast("bigint")
+    spanning = F.when(key % 31 == 0, 'a\n"q"; b\n').when(key % 37 == 0, "\n").otherwise(F.col("regiao"))
+    df = df.withColumn("regiao", spanning)
+    for part, columns in enumerate((df.columns, df.columns[::-1], [c for c in df.columns if c != "regiao"])):
+        write_quoted(df.where(key % 3 == part).select(*[F.col(f"`{c}`") for c in columns]), f"{folder}/{part}")
+    return folder
+
+
+FILES_SQL = RAW_LOANS_SQL.replace(
+    "situacao_beneficio AS regiao",
+    """CASE WHEN k % 3 = 2 THEN NULL WHEN k % 31 = 0 THEN 'a' || chr(10) || '"q"; b' || chr(10)
+         WHEN k % 37 = 0 THEN chr(10) ELSE situacao_beneficio END AS regiao""",
+)
+
+
+@register("src_loans_files", FILES_SQL)
+def src_loans_files(spark, sf_dir):
+    return readers.read_loans(spark, f"{loan_files(spark, sf_dir)}/*")
+
+
+@register("src_path_config", FILES_SQL)
+def src_path_config(spark, sf_dir):
+    """The same files through another file system, which only the session's settings name."""
+    files, folder = hadoop_path(spark, loan_files(spark, sf_dir))
+    name = f"book{uuid.uuid4().hex}"
+    spark.conf.set(f"fs.viewfs.mounttable.{name}.link./loans", files.makeQualified(folder).toString())
+    return readers.read_loans(spark, f"viewfs://{name}/loans/*")
+
+
 @register("src_renegotiated_ids", "SELECT DISTINCT CAST(origem AS VARCHAR) AS id_contrato FROM b_reneg")
 def src_renegotiated_ids(spark, sf_dir):
     return readers.renegotiated_ids(book.renegotiations(spark, sf_dir))
@@ -112,6 +152,19 @@ def stage_installments_parquet(spark, sf_dir):
     return sinks.stage_installments(spark, src, new_folder(spark, "inst-parquet"))
 
 
+@register("stage_changed_files", TYPED_INST_SQL)
+def stage_changed_files(spark, sf_dir):
+    """Staging of a folder that has got a second file since it was staged first, and lost a third."""
+    messy, src, dst = book.messy_installments(spark, sf_dir), new_folder(spark, "inst-files"), new_folder(spark, "inst-staged")
+    key = F.trim("ID_CONTRATO").cast("bigint")
+    write_quoted(messy.where(key % 2 == 0), f"{src}/even")
+    write_quoted(messy.where(key % 7 == 0), f"{src}/gone")
+    sinks.stage_installments(spark, f"{src}/*", dst)
+    remove(spark, f"{src}/gone")
+    write_quoted(messy.where(key % 2 == 1), f"{src}/odd")
+    return sinks.stage_installments(spark, f"{src}/*", dst)
+
+
 @register(
     "portfolio_meta",
     """SELECT max(c_name) AS nome_cliente, strftime((SELECT max(o_orderdate) FROM orders), '%Y-%m') AS data_base,
@@ -246,6 +299,16 @@ def norm_decimal_query(spark, sf_dir):
     )
 
 
+@register(
+    "round_half",
+    "SELECT o_orderkey AS k, CAST(round((o_orderkey % 4001 - 2000) * 0.001, 2) AS DOUBLE) AS v FROM orders",
+)
+def round_half(spark, sf_dir):
+    """Thousandths of both signs to two decimals, ties away from zero."""
+    value = (F.col("o_orderkey") % 4001 - 2000) / 1000
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), rounded(value, 2).alias("v"))
+
+
 @register("norm_int", "SELECT o_orderkey AS k, CAST(round_even((o_orderkey % 160) / 4.0e0, 0) AS INTEGER) AS n FROM orders")
 def norm_int_query(spark, sf_dir):
     key = F.col("o_orderkey")
@@ -348,10 +411,11 @@ def format_locale_columns(spark, sf_dir):
 @register(
     "dpd_bucket",
     f"""SELECT {o.BUCKET.format(d='dias_atraso')} AS bucket, dias_atraso, count(*) AS n
-        FROM b_inst WHERE dias_atraso IS NOT NULL GROUP BY ALL""",
+        FROM b_inst GROUP BY ALL""",
 )
 def dpd_bucket_query(spark, sf_dir):
-    inst = book.installments(spark, sf_dir).where(F.col("dias_atraso").isNotNull())
+    """Unknown days are in the last bucket."""
+    inst = book.installments(spark, sf_dir)
     return inst.groupBy(dpd_bucket(F.col("dias_atraso")).alias("bucket"), "dias_atraso").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -608,7 +672,7 @@ def month_spine(spark, sf_dir):
     return rolls.month_spine(book.loans(spark, sf_dir), PARAMS)
 
 
-@register("contract_event_bounds", "SELECT * FROM b_bounds")
+@register("contract_event_bounds", "SELECT id_contrato, min_venc, min_event FROM b_first")
 def contract_event_bounds(spark, sf_dir):
     return rolls.contract_event_bounds(book.installments(spark, sf_dir))
 
@@ -1052,22 +1116,14 @@ HELD_REST_SQL = " UNION ALL ".join(
 )
 
 
-@register("dq_required_columns_book", f"{HELD_SQL} UNION ALL {HELD_REST_SQL}")
-def dq_required_columns_book(spark, sf_dir):
+@register("dq_required_columns", f"{HELD_SQL} UNION ALL {HELD_REST_SQL}")
+def dq_required_columns(spark, sf_dir):
     """Rows that hold a value, for every required column of the three inputs."""
     loans, inst, reneg = raw_book(spark, sf_dir)
     held = quality.rows_held(loans, layouts.LOANS).unionByName(quality.rows_held(inst, layouts.INSTALLMENTS))
     return held.unionByName(quality.rows_held(reneg, layouts.RENEGOTIATIONS))
 
 
-@register("dq_required_columns", HELD_SQL)
-def dq_required_columns(spark, sf_dir):
-    """Rows that hold a value, for required columns of the loans and some of the renegotiations; see ``dq_required_columns_book``."""
-    loans = quality.rows_held(raw_loans(spark, sf_dir), layouts.LOANS)
-    reneg = quality.rows_held(book.renegotiations(spark, sf_dir), layouts.RENEGOTIATIONS)
-    return loans.unionByName(reneg.where(F.col("column").isin("id_contrato_novo", "id_contrato_origem", "data_pagamento")))
-
-
 def _null_rows(dataset: str, source: str, conditions: dict[str, tuple[str, str]]) -> str:
     return " UNION ALL ".join(
         finding_sql(dataset, "nulos", c, f"count(*) FILTER (WHERE {cond})", "count(*)", sev, "valores nulos", source)

@@ -14,11 +14,13 @@ from vintora.catalog import book
 from vintora.catalog import oracle as o
 from vintora.catalog.queries import Curves, kpis, ltm, npv, portfolio_results, register
 from vintora.catalog.book import PARAMS
+from vintora.functions.numbers import round_columns
 from vintora.operators import cohorts, curves, portfolio, reconcile, valuation
 from vintora.operators.inline_tables import inline_table
-from vintora.plans.audit_run import audit_checks, audit_summary
+from vintora.plans.audit_run import audit_checks, audit_folder, audit_summary, lineage_checks, stage_comparison
 from vintora.plans.portfolio_run import export_rounded
-from vintora.sources.workspace import materialise
+from vintora.sources.sinks import export_bundle
+from vintora.sources.workspace import materialise, new_folder
 
 
 def long_sql(source: str, key: str, measures: Mapping[str, str], check: str) -> str:
@@ -300,9 +302,9 @@ FROM b_uf WHERE uf <> 'NATION_2'"""
 
 @register(
     "lineage_by_group",
-    f"""SELECT uf, contratos_n AS detalhe_n, contratos AS resumo_n, contratos_n = contratos AS confere,
+    f"""SELECT uf, contratos_n AS detalhe_n, contratos AS resumo_n, coalesce(contratos_n = contratos, false) AS confere,
         {o.r('b_uf.principal / b_golden_uf.principal', 4)} AS razao_principal, over60_n AS detalhe_over60
-        FROM b_uf JOIN b_golden_uf USING (uf)""",
+        FROM b_uf FULL JOIN b_golden_uf USING (uf)""",
 )
 def lineage_by_group(spark, sf_dir):
     detail = portfolio.state_profile(book.loans(spark, sf_dir, attributes=True))
@@ -424,7 +426,11 @@ o.CTES["b_audit"] = " UNION ALL ".join(
 
 
 def audited_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checks of the tables of a real run against golden tables that differ from them in known places."""
+    return audit_checks(*audited_tables(spark, sf_dir))
+
+
+def audited_tables(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Tables of a real run, and golden tables that differ from them in known places."""
     bundle = portfolio_results(spark, sf_dir)
     names = ("rating", "faixas_atraso", "fpd_safras", "vpl_cenarios", "perda_acumulada", "receita_acumulada")
     bundle = {n: materialise(bundle[n], n) for n in names}
@@ -438,7 +444,40 @@ def audited_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("fpd_qtd_pct", F.col("fpd_qtd_pct") + F.when(safra.like("%-07"), 0.25).otherwise(0.0)),
         "vpl_cenarios": bundle["vpl_cenarios"].withColumn("vpl_valor", F.col("vpl_valor") * factor),
     }
-    return audit_checks(bundle, golden)
+    return bundle, golden
+
+
+@register("audit_exported_run", "SELECT * FROM b_audit")
+def audit_exported_run(spark, sf_dir):
+    """The same audit of a bundle that was committed as text and read back."""
+    bundle, golden = audited_tables(spark, sf_dir)
+    folder = new_folder(spark, "exported")
+    export_bundle(bundle, folder, "csv")
+    return audit_folder(spark, folder, golden)
+
+
+AUDIT_UF = {"contratos_n": "count", "principal": "money", "over60_n": "count"}
+o.CTES["b_golden_detail"] = "SELECT * REPLACE (contratos_n + CASE WHEN uf LIKE '%_1' THEN 1 ELSE 0 END AS contratos_n) FROM b_uf WHERE uf <> 'NATION_2'"
+
+
+@register("audit_lineage", compare_sql(long_sql("b_uf", "uf", AUDIT_UF, "linhagem uf"), long_sql("b_golden_detail", "uf", AUDIT_UF, "linhagem uf")))
+def audit_lineage(spark, sf_dir):
+    """Golden states against the loans themselves, with a state that is missing and one that is off."""
+    loans = book.loans(spark, sf_dir, attributes=True)
+    profile = export_rounded(portfolio.state_profile(loans)).where("uf <> 'NATION_2'")
+    off = F.when(F.col("uf").like("%_1"), 1).otherwise(0)
+    return lineage_checks(loans, {"uf": profile.withColumn("contratos_n", F.col("contratos_n") + off)})
+
+
+@register(
+    "compare_stages",
+    f"""SELECT 'uf' AS tabela, {o.r('a')} AS total_a, {o.r('b')} AS total_b, {o.r('a / b', 4)} AS razao, comparadas, total_chaves_a, total_chaves_b
+        FROM (SELECT sum(principal) AS a, count(*) AS total_chaves_a FROM b_golden_uf), (SELECT sum(principal) AS b, count(*) AS total_chaves_b FROM b_uf),
+        (SELECT count(*) AS comparadas FROM b_uf JOIN b_golden_uf USING (uf))""",
+)
+def compare_stages(spark, sf_dir):
+    detail = portfolio.state_profile(book.loans(spark, sf_dir, attributes=True))
+    return round_columns(stage_comparison({"uf": golden_states(detail)}, {"uf": detail}), {"total_a": 2, "total_b": 2})
 
 
 @register("audit_run", "SELECT * FROM b_audit")

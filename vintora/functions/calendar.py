@@ -43,7 +43,7 @@ def int_range(lo: Column, hi: Column) -> Column:
 
 
 def dpd_bucket(days: Column) -> Column:
-    """Bucket of a days-past-due number; up to 5 days counts as current."""
+    """Bucket of a days-past-due number; up to 5 days counts as current, null as the last bucket."""
     return (
         F.when(days <= 5, "corrente")
         .when(days <= 30, "f5_30")

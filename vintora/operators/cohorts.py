@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vintora.functions.calendar import months_diff
-from vintora.functions.numbers import from_cents, pct, sum_cents
+from vintora.functions.numbers import exact_sum, from_cents, pct, sum_cents
 from vintora.operators.portfolio import loan_cut
 from vintora.params import NOT_INFORMED, Params
 
@@ -113,7 +113,7 @@ def cohort_cells(loans: DataFrame, inst: DataFrame, p: Params) -> DataFrame:
             sum_cents(
                 F.col("valor_parcela"), matured & (F.col("dias_atraso") > 60) & paid.isNull()
             ).alias("loss_c"),
-            F.coalesce(F.sum(revenue), F.lit(0.0)).alias("revenue"),
+            F.coalesce(exact_sum(revenue), F.lit(0.0)).alias("revenue"),
             F.count_if(matured).alias("observadas"),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vintora.functions.calendar import int_range, months_diff, year_month
-from vintora.functions.numbers import cents, from_cents, pct, ratio, sum_cents
+from vintora.functions.numbers import cents, exact_sum, from_cents, pct, ratio, sum_cents
 from vintora.operators.inline_tables import inline_table
 from vintora.params import DELINQUENCY_BANDS, NO_BAND, NOT_INFORMED, TERM_BANDS, Params
 
@@ -26,7 +26,7 @@ def book_totals(loans: DataFrame) -> DataFrame:
     n, principal = F.count(F.lit(1)), sum_cents(F.col("principal"))
     known = F.when(F.col("safra") != NOT_INFORMED, F.col("safra"))
     known_day = F.when(F.col("safra") != NOT_INFORMED, F.col("data_aquisicao"))
-    total = F.sum("principal")
+    total = exact_sum(F.col("principal"))
     exposure = cents(F.col("pmt")) * F.col("num_parcelas")
     species = F.bool_or(F.col("especie_beneficio") != NOT_INFORMED)
     unrated = F.bool_or(F.col("rating_concessao") == NOT_INFORMED)
@@ -34,7 +34,7 @@ def book_totals(loans: DataFrame) -> DataFrame:
         n.alias("contratos"),
         from_cents(principal).alias("principal_total"),
         ratio(from_cents(principal), n).alias("ticket_medio"),
-        F.when(total > 0, F.sum(F.col("taxa_cliente") * F.col("principal")) / total).otherwise(0.0).alias("taxa_media"),
+        F.when(total > 0, exact_sum(F.col("taxa_cliente") * F.col("principal")) / total).otherwise(0.0).alias("taxa_media"),
         F.avg("num_parcelas").alias("prazo_medio"),
         *[n_over(d).alias(f"over{d}_n") for d in (30, 60, 90)],
         *[ratio(n_over(d), n).alias(f"over{d}_pct") for d in (30, 60, 90)],
@@ -112,14 +112,16 @@ def cut_keys() -> dict[str, Column]:
     } | {k: F.col(c) for k, c in CUT_COLUMNS.items()}
 
 
-# The cuts a whole run needs.
+# The cuts a whole run needs; the one without a key is the total.
 CUTS = (
+    (),
     ("faixa_atraso",),
     ("faixa_prazo",),
     ("rating",),
     ("rating", "bhv"),
     ("uf",),
-    ("especie", "profissao"),
+    ("especie",),
+    ("profissao",),
     ("especie", "situacao"),
     ("canal", "situacao"),
     ("safra",),
@@ -132,8 +134,8 @@ def _measures() -> list[Column]:
         sum_cents(F.col("principal")).alias("principal_c"),
         n_over(60).alias("over60_n"),
         n_over(90).alias("over90_n"),
-        F.sum(F.col("taxa_cliente") * F.col("principal")).alias("taxa_principal"),
-        F.sum("principal").alias("peso"),
+        exact_sum(F.col("taxa_cliente") * F.col("principal")).alias("taxa_principal"),
+        exact_sum(F.col("principal")).alias("peso"),
     ]
 
 
@@ -158,12 +160,18 @@ def cube_cut(cube: DataFrame, *keys: str) -> DataFrame:
     return cube.where(F.col("corte") == mask).drop("corte", *[k for k in CUT_KEYS if k not in keys])
 
 
-def shares(cut: DataFrame) -> DataFrame:
-    """Adds money, portfolio share and percentages to a cut.
+def cube_total(cube: DataFrame) -> Column:
+    """Cents of principal of all loans, a scalar."""
+    return cube_cut(cube).select("principal_c").scalar()
 
-    The total is a window over the finished groups, so the loans are read once.
-    """
-    total = F.sum("principal_c").over(Window.partitionBy())
+
+def principal_total(loans: DataFrame) -> Column:
+    """As ``cube_total`` from the loans, of which it scans one column."""
+    return loans.agg(sum_cents(F.col("principal")).alias("principal_c")).scalar()
+
+
+def shares(cut: DataFrame, total: Column) -> DataFrame:
+    """Adds money, share of the ``total`` and percentages to a cut."""
     return cut.withColumns(
         {
             "principal": from_cents(F.col("principal_c")),
@@ -222,9 +230,9 @@ def term_bands(loans: DataFrame) -> DataFrame:
 PROFILE = ("contratos_n", "principal", "part_pct", "over60_n", "over60_pct")
 
 
-def rating_rows(cut: DataFrame) -> DataFrame:
+def rating_rows(cut: DataFrame, total: Column) -> DataFrame:
     return (
-        shares(cut)
+        shares(cut, total)
         .select("rating", "contratos_n", "principal", "over60_n", "over60_pct", "taxa_pond_pct", "part_pct")
         .orderBy("rating")
     )
@@ -232,68 +240,63 @@ def rating_rows(cut: DataFrame) -> DataFrame:
 
 def rating_profile(loans: DataFrame) -> DataFrame:
     """Counts, over-60 share, principal-weighted rate and share by rating."""
-    return rating_rows(loan_cut(loans, "rating"))
+    return rating_rows(loan_cut(loans, "rating"), principal_total(loans))
 
 
-def profile_rows(cut: DataFrame, *labels: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def profile_rows(cut: DataFrame, total: Column, *labels: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Counts and shares of a cut, largest principal first."""
-    return shares(cut).select(*labels, *PROFILE, *extra).orderBy(F.desc("principal"), *labels)
+    return shares(cut, total).select(*labels, *PROFILE, *extra).orderBy(F.desc("principal"), *labels)
 
 
 def profile(loans: DataFrame, key: str) -> DataFrame:
-    return profile_rows(loan_cut(loans, key), key)
+    return profile_rows(loan_cut(loans, key), principal_total(loans), key)
 
 
 def state_profile(loans: DataFrame) -> DataFrame:
     return profile(loans, "uf")
 
 
-def segment_rows(cut: DataFrame) -> DataFrame:
-    """Roll a species x profession cut up to species when any loan has one, else to profession."""
-    informed = F.bool_or(F.col("especie") != NOT_INFORMED).over(Window.partitionBy())
-    sums = [c for c in cut.columns if c not in ("especie", "profissao")]
-    chosen = cut.withColumn("_especie", informed).groupBy(
-        F.when(F.col("_especie"), "especie").otherwise("profissao").alias("rotulo"),
-        F.when(F.col("_especie"), F.col("especie")).otherwise(F.col("profissao")).alias("perfil"),
-    )
-    return profile_rows(chosen.agg(*[F.sum(c).alias(c) for c in sums]), "rotulo", "perfil")
+def segment_rows(species: DataFrame, professions: DataFrame, informed: Column, total: Column) -> DataFrame:
+    """The species cut when any loan has one (``informed``, a scalar), else the profession cut."""
+
+    def labelled(cut: DataFrame, key: str) -> DataFrame:
+        return cut.select(F.lit(key).alias("rotulo"), F.col(key).alias("perfil"), *[c for c in cut.columns if c != key])
+
+    chosen = labelled(species, "especie").where(informed).unionByName(labelled(professions, "profissao").where(~informed))
+    return profile_rows(chosen, total, "rotulo", "perfil")
 
 
 def segment_profile(loans: DataFrame) -> DataFrame:
     """Profile by benefit species when any loan has one, else by profession."""
-    return segment_rows(loan_cut(loans, "especie", "profissao"))
+    informed = loans.agg(F.coalesce(F.bool_or(F.col("especie_beneficio") != NOT_INFORMED), F.lit(False)).alias("i")).scalar()
+    return segment_rows(loan_cut(loans, "especie"), loan_cut(loans, "profissao"), informed, principal_total(loans))
 
 
-def cross_rows(cut: DataFrame, label: str) -> DataFrame:
-    return profile_rows(cut, label, "situacao", extra=("over90_pct",))
+def cross_rows(cut: DataFrame, label: str, total: Column) -> DataFrame:
+    return profile_rows(cut, total, label, "situacao", extra=("over90_pct",))
 
 
 def cross_profile(loans: DataFrame, label: str) -> DataFrame:
     """Counts and shares by an attribute and the benefit status."""
-    return cross_rows(loan_cut(loans, label, "situacao"), label)
+    return cross_rows(loan_cut(loans, label, "situacao"), label, principal_total(loans))
 
 
 MATRIX_MEASURES = ("contratos_n", "principal", "part_pct", "over60_n", "over60_pct")
 
 
-def matrix_rows(cut: DataFrame) -> DataFrame:
-    """Every rating with every behaviour score, absent pairs filled with zero."""
-    scores = F.collect_set("bhv").over(Window.partitionBy())
-    cell = F.struct(F.col("bhv"), F.struct(*MATRIX_MEASURES).alias("m"))
-    return (
-        shares(cut)
-        .withColumn("notas", scores)
-        .groupBy("rating")
-        .agg(F.any_value("notas").alias("notas"), F.map_from_entries(F.collect_list(cell)).alias("celulas"))
-        .select("rating", F.explode("notas").alias("bhv"), "celulas")
-        .withColumn("m", F.try_element_at("celulas", F.col("bhv")))
-        .select("rating", "bhv", *[F.col(f"m.{c}").alias(c) for c in MATRIX_MEASURES])
-        .na.fill(0)
-    )
+def matrix_rows(cut: DataFrame, total: Column) -> DataFrame:
+    """Every rating with every behaviour score, absent pairs filled with zero.
+
+    The grid is the result itself: each rating with the list of scores, joined to the cut by both.
+    """
+    scores = cut.agg(F.array_sort(F.collect_set("bhv")).alias("notas")).scalar()
+    grid = cut.select("rating").distinct().select("rating", F.explode(scores).alias("bhv"))
+    cells = shares(cut, total).select("rating", "bhv", *MATRIX_MEASURES)
+    return grid.join(cells, ["rating", "bhv"], "left").na.fill(0)
 
 
 def rating_matrix(loans: DataFrame) -> DataFrame:
-    return matrix_rows(loan_cut(loans, "rating", "bhv"))
+    return matrix_rows(loan_cut(loans, "rating", "bhv"), principal_total(loans))
 
 
 def matrix_over60(matrix: DataFrame) -> DataFrame:

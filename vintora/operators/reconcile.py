@@ -92,16 +92,17 @@ def monotonic_curves(curves: DataFrame, key: str, order: str, value: str) -> Dat
 
 
 def lineage_by_group(detail: DataFrame, summary: DataFrame, key: str) -> DataFrame:
-    """Counts and principal of the detail roll-up against a summary table."""
+    """Counts and principal of the detail roll-up against a summary table; groups on one side only do not agree."""
+    d = detail.select(
+        key, F.col("contratos_n").alias("detalhe_n"), F.col("principal").alias("detalhe_p"), F.col("over60_n").alias("detalhe_over60")
+    )
     s = summary.select(key, F.col("contratos").alias("resumo_n"), F.col("principal").alias("resumo_p"))
     ratio = F.when(F.col("resumo_p") != 0, rounded(F.col("detalhe_p") / F.col("resumo_p"), 4))
-    return detail.select(
-        key, F.col("contratos_n").alias("detalhe_n"), F.col("principal").alias("detalhe_p"), F.col("over60_n").alias("detalhe_over60")
-    ).join(s, key).select(
+    return d.join(s, key, "full").select(
         key,
         "detalhe_n",
         "resumo_n",
-        (F.col("detalhe_n") == F.col("resumo_n")).alias("confere"),
+        F.coalesce(F.col("detalhe_n") == F.col("resumo_n"), F.lit(False)).alias("confere"),
         ratio.alias("razao_principal"),
         "detalhe_over60",
     )

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vintora.operators import reconcile
+from vintora.functions.numbers import round_columns
+from vintora.operators import portfolio, reconcile
 from vintora.operators.inline_tables import inline_table
 from vintora.sources.sinks import read_bundle
 
@@ -128,25 +129,74 @@ def coverage_checks(bundle: Mapping[str, DataFrame], golden: Mapping[str, DataFr
     )
 
 
-def audit_checks(bundle: Mapping[str, DataFrame], golden: Mapping[str, DataFrame]) -> DataFrame:
+def audit_checks(bundle: Mapping[str, DataFrame], golden: Mapping[str, DataFrame], loans: DataFrame | None = None) -> DataFrame:
     """Every keyed comparison that golden tables exist for, sums of parts against totals, and the shape of both curves.
 
     ``golden`` maps table names of the bundle to tables with the same key and measures; keys on one side only are reported.
     An audited table of the bundle without a golden table, and a golden table that is not audited or not in the bundle,
-    fail as ``tabela``. Sums need the totals in ``kpis``.
+    fail as ``tabela``. Sums need the totals in ``kpis``. With ``loans``, golden tables that these can give are also held
+    against them (``lineage_checks``).
     """
     both = [a for a in AUDITED if a.table in golden and a.table in bundle]
     parts = [reconcile.reconcile(_stack(bundle[a.table], a), _stack(golden[a.table], a)) for a in both]
     out = curve_checks(bundle)
-    for part in (*parts, rollup_checks(bundle), coverage_checks(bundle, golden)):
+    lineage = lineage_checks(loans, golden) if loans is not None and LINEAGE.keys() & golden.keys() else None
+    for part in (*parts, rollup_checks(bundle), coverage_checks(bundle, golden), lineage):
         if part is not None:
             out = out.unionByName(part)
     return out
 
 
-def audit_folder(spark: SparkSession, path: str, golden: Mapping[str, DataFrame]) -> DataFrame:
+# Golden tables that are also recomputed from the loans, by the cut behind them.
+LINEAGE = {"uf": "uf", "rating": "rating"}
+
+
+def lineage_checks(loans: DataFrame, golden: Mapping[str, DataFrame]) -> DataFrame:
+    """Golden tables against roll-ups of the loans themselves, whatever the run has made of them; groups on one side fail."""
+    parts = []
+    for a in AUDITED:
+        if a.table in golden and a.table in LINEAGE:
+            detail = round_columns(portfolio.profile(loans, LINEAGE[a.table]), {"principal": 2})
+            check = f"linhagem {a.check}"
+            stacked = [reconcile.long_values(df, F.expr(a.key), a.measures, check) for df in (detail, golden[a.table])]
+            parts.append(reconcile.reconcile(*stacked))
+    if not parts:
+        raise ValueError(f"no golden table of {', '.join(LINEAGE)}")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+# Money by which two stages of the same table are held against each other, and their keys.
+STAGES = {"uf": ("principal", "uf"), "rating": ("principal", "rating"), "faixas_prazo": ("principal", "faixa")}
+
+
+def stage_comparison(a: Mapping[str, DataFrame], b: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per table that both stages have: totals and their ratio, which shows a wrong scale, and how far keys overlap."""
+    out = None
+    for table, (value, key) in STAGES.items():
+        if table not in a or table not in b:
+            continue
+        keys = reconcile.overlap_coverage(a[table], b[table], key)
+        row = reconcile.stage_scale_ratio(a[table], b[table], value).select(
+            F.lit(table).alias("tabela"),
+            "*",
+            keys.select("comparadas").scalar().alias("comparadas"),
+            keys.select("total_a").scalar().alias("total_chaves_a"),
+            keys.select("total_b").scalar().alias("total_chaves_b"),
+        )
+        out = row if out is None else out.unionByName(row)
+    if out is None:
+        raise ValueError(f"no common table of {', '.join(STAGES)}")
+    return out
+
+
+def audit_folder(
+    spark: SparkSession, path: str, golden: Mapping[str, DataFrame], loans: DataFrame | None = None
+) -> DataFrame:
     """``audit_checks`` of the bundle that was committed last in a folder, in whatever format it was written."""
-    return audit_checks(read_bundle(spark, path), golden)
+    return audit_checks(read_bundle(spark, path), golden, loans)
 
 
 def audit_deviations(checks: DataFrame) -> DataFrame:

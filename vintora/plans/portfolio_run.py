@@ -116,6 +116,8 @@ def results(facts: Facts, reneg_ids: DataFrame, meta: DataFrame, p: Params, stor
 
     chained = rolls.chain_efficiency(rolls.roll_rates(facts.aging))
     vintages = cut("safra")
+    everything = portfolio.cube_total(facts.cube)
+    informed = totals.select("tem_especie").scalar()
     small = together(
         {
             "kpis": lambda: keep(portfolio.kpi_row(totals, reneg_ids), "kpis"),
@@ -133,16 +135,16 @@ def results(facts: Facts, reneg_ids: DataFrame, meta: DataFrame, p: Params, stor
     ead = portfolio.exposure_row(totals)
     npv = valuation.npv_grid(facts.flow, default_rates, ltm, principal, p)
     net = valuation.net_future_flow(facts.flow, default_rates, ltm)
-    matrix = portfolio.matrix_rows(cut("rating", "bhv"))
+    matrix = portfolio.matrix_rows(cut("rating", "bhv"), everything)
     return {
         "kpis": valuation.kpi_long(kpis, meta, ltm, ead, npv, net),
         "faixas_atraso": portfolio.delinquency_rows(cut("faixa_atraso")),
         "faixas_prazo": portfolio.term_rows(cut("faixa_prazo")),
-        "rating": portfolio.rating_rows(cut("rating")),
-        "uf": portfolio.profile_rows(cut("uf"), "uf"),
-        "perfil": portfolio.segment_rows(cut("especie", "profissao")),
-        "especie_situacao": portfolio.cross_rows(cut("especie", "situacao"), "especie"),
-        "canal_situacao": portfolio.cross_rows(cut("canal", "situacao"), "canal"),
+        "rating": portfolio.rating_rows(cut("rating"), everything),
+        "uf": portfolio.profile_rows(cut("uf"), everything, "uf"),
+        "perfil": portfolio.segment_rows(cut("especie"), cut("profissao"), informed, everything),
+        "especie_situacao": portfolio.cross_rows(cut("especie", "situacao"), "especie", everything),
+        "canal_situacao": portfolio.cross_rows(cut("canal", "situacao"), "canal", everything),
         "fpd_safras": facts.fpd,
         "vencimentario": portfolio.due_schedule(facts.flow),
         "comportamento_pagamento": cohorts.behaviour_from_cells(facts.cells, cohorts.vintage_rows(vintages)),
