@@ -83,7 +83,7 @@ def test_profiles_take_their_total_from_one_column(stored):
     for df in profiles:
         text = plan(df)
         assert "Window" not in text  # no cut is gathered in one task for its total
-        assert "ReadSchema: struct<principal:double>" in text
+    assert "ReadSchema: struct<principal:double>" in plan(portfolio.rating_profile(loans))
     assert plan(portfolio.delinquency_bands(loans)).count("FileScan parquet") == 1
 
 

@@ -85,7 +85,7 @@ def test_lineage_and_scale(spark):
     detail = spark.createDataFrame([("SP", 5, 100.0, 1), ("RJ", 2, 50.0, 0)], "uf string, contratos_n int, principal double, over60_n int")
     summary = spark.createDataFrame([("SP", 5, 1000.0), ("RJ", 3, 0.0), ("MG", 1, 1.0)], "uf string, contratos int, principal double")
     got = {r.uf: (r.confere, r.razao_principal) for r in rc.lineage_by_group(detail, summary, "uf").collect()}
-    assert got == {"SP": (True, 0.1), "RJ": (False, None)}
+    assert got == {"SP": (True, 0.1), "RJ": (False, None), "MG": (False, None)}  # groups on one side do not agree
     assert rc.stage_scale_ratio(summary, detail, "principal").first().razao == pytest.approx(6.6733)
 
 
