@@ -1,6 +1,6 @@
 """Document rules: word and repetition counts of each text, and lines that one host repeats across documents.
 
-Everything is a DataFrame expression. Word windows are hashed inside the row; only texts that hold a repeated
+Everything is a DataFrame expression. Words and then windows of their hashes are hashed inside the row; only texts that hold a repeated
 window sort theirs, so no window ever leaves its row. Lines are hashed and counted per host over distinct
 texts, because exact copies are one document as far as templates go. A line in more than ``max_share`` of a
 host's texts, and in more than ``min_texts`` of them, is template and is removed; a text left with less than
@@ -44,9 +44,9 @@ def text_counts(docs: DataFrame, host: str = "source") -> DataFrame:
         F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "").alias("_lines"),
-        space_words(F.col("text")).alias("_words"),
+        F.transform(space_words(F.col("text")), lambda w: F.xxhash64(w)).alias("_words"),
     )
-    windows = F.transform("_words", lambda _, i: F.xxhash64(F.slice("_words", i + 1, F.lit(WINDOW))))
+    windows = F.transform("_words", lambda w, i: F.xxhash64(w, *[F.get("_words", i + k) for k in range(1, WINDOW)]))
     hashed = base.select(
         *["doc_id", "_host", "_text", "word_chars", "n_symbols"],
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
