@@ -304,3 +304,100 @@ def test_classifier_odd_rows(spark, odd):
     assert len(rows) == len(ODD) and all(0 <= r.score <= 1 for r in rows)
     assert all(r.score == 1 for r in quality_knn.classify(odd, labels.where("1 = 0")).collect())
     assert quality_knn.keep_documents(odd, labels).columns == odd.columns
+
+
+# --- clashing names, repeated phrases, null spans ---------------------------
+
+
+def test_helper_names_do_not_clash(spark):
+    extra = ["_id", "_text", "_host", "_cut", "_good", "_good_text", "_good_host", "_key", "label"]
+    kinds = "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in extra)
+    lines = "menu entry a of the common page\nfooter text b with some other links"
+    rows = [(i, f"{lines}\n" + " ".join(f"w{i}x{k}" for k in range(30)), "h", *extra) for i in range(30)]
+    docs = spark.createDataFrame([*rows, (99, None, None, *extra)], kinds)
+    assert ngram_join.keep_representatives(docs).columns == docs.columns
+    assert ngram_join.keep_representatives(docs).count() == 31
+    assert quality_rules.keep_documents(docs).columns == docs.columns
+    cleaned = quality_rules.clean_documents(docs)
+    assert cleaned.columns == docs.columns and cleaned.count() == 30
+    assert not any("menu" in r.text or "footer" in r.text for r in cleaned.collect()) and {r["_id"] for r in cleaned.collect()} == {"_id"}
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    kept = quality_knn.keep_documents(docs, labels)
+    want = {r.doc_id for r in quality_knn.classify(docs, labels).where("predicted = 1").collect()}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want
+    assert quality_knn.keep_documents(docs.where("1 = 0"), labels).count() == 0
+
+
+def covers(words: list, template: list, max_shift: int) -> list[float]:
+    """Covers of the spans of one template, restated on word pairs."""
+    hits = [(at, pos) for at in range(len(template) - 1) for pos in range(len(words) - 1) if words[pos : pos + 2] == template[at : at + 2]]
+    spans: list[list] = []
+    for diagonal in sorted({pos - at for at, pos in hits}):
+        if not spans or diagonal - spans[-1][-1] > max_shift:
+            spans.append([])
+        spans[-1].append(diagonal)
+    out = []
+    for span in spans:
+        own, best = sorted(h for h in hits if h[1] - h[0] in span), 0
+        for step in (1, -1):
+            taken: list = []
+            for at, pos in own[::step]:
+                if not taken or ((at - taken[-1][0]) * step > 0 and 0 < (pos - taken[-1][1]) * step <= (at - taken[-1][0]) * step + max_shift):
+                    taken.append((at, pos))
+            best = max(best, len(taken))
+        out.append(best / (len(template) - 1))
+    return out
+
+
+def test_license_labels_need_the_template_in_order(spark, small):
+    texts = ["cc by " * 5, "licensed under " * 5, "0 4 nc by cc under licensed", "licensed under the cc by nc 4 0", "cc by licensed under cc by sa 4 0 cc by"]
+    texts += [" ".join(reversed(n.split())) for n, _ in licenses.NOTICES] + [f"{n} {n}" for n, _ in licenses.NOTICES]
+    rows = [*enumerate(texts), *((1000 + i, t) for i, t in small)]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        words = __import__("re").findall(licenses.WORD, lowered)
+        n_base, base = brute.license_counts(text, licenses.BASE)[1], brute.license_counts(text, licenses.BASE)[4]
+        good = [(label, c) for notice, label in licenses.NOTICES for c in covers(words, notice.split(), 3) if c >= 0.7]
+        labels = sorted({*filter(None, base.split(",")), *(label for label, _ in good)})
+        assert got[i] == (",".join(labels), pytest.approx(max([float(n_base > 0), *(c for _, c in good)]))), text
+    assert got[0] == ("cc-by", 1.0) and got[1] == ("", 0.0) and got[2] == ("", 0.0)
+    with pytest.raises(ValueError):
+        licenses.scan_licenses(spark.createDataFrame(rows[:1], "doc_id long, text string"), base=[("mit", "mit")])
+
+
+@pytest.mark.parametrize("rule", ["start", "majority", "share"])
+def test_tokens_per_section_against_brute_force(spark, rule):
+    encoder = bpe.load(bpe.tokenizer_path())
+    texts = ["one two\nthree  \n\n four", "ünï\ncödé \u4e2d\u6587\n", "", None, "a\n" * 30]
+    spans = [[0, None, 4, 9], [2, 3], [None], None, [0, 5, 1000]]
+    docs = spark.createDataFrame([(i, t, s) for i, (t, s) in enumerate(zip(texts, spans))], "doc_id long, text string, s array<long>")
+    for given in (None, "s"):
+        got = {(r.doc_id, r.section): (r.char_start, r.n_tokens, r.n_crossing) for r in attribution.attribute_tokens(docs, rule, spans=given).collect()}
+        want = {}
+        for i, (text, own) in enumerate(zip(texts, spans)):
+            data = (text or "").encode()
+            if given and own is not None:
+                chars = [0, *[x for x in own if x is not None][1:]]
+                cuts = [len((text or "")[:c].encode()) for c in chars]
+            else:
+                cuts = [0, *[k + 1 for k, b in enumerate(data) if b == 10 and k + 1 < len(data)]]
+            edges, counts, crossing, at = [*cuts, len(data)], [0.0] * len(cuts), [0] * len(cuts), 0
+            section = lambda byte: max(k for k, c in enumerate(cuts) if c <= byte)
+            for token in encoder.encode(text or ""):
+                size = int(encoder.sizes[token])
+                first, last = section(at), section(at + size - 1)
+                parts = [sum(edges[k] <= b < edges[k + 1] for b in range(at, at + size)) for k in range(len(cuts))]
+                if rule == "start" or first == last:
+                    counts[first] += 1
+                elif rule == "majority":
+                    counts[parts.index(max(parts))] += 1
+                else:
+                    counts = [c + p / size for c, p in zip(counts, parts)]
+                for k in range(first, last):
+                    crossing[k] += 1
+                at += size
+            for k, c in enumerate(cuts):
+                want[i, k] = (len(data[:c].decode()), pytest.approx(counts[k]), crossing[k])
+        assert got == want
+    assert attribution.attribute_tokens(docs.where("1 = 0"), rule).count() == 0

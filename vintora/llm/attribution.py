@@ -69,7 +69,7 @@ def attribute_tokens(docs: DataFrame, rule: str = "start", tokenizer: str | None
     """Rows ``doc_id, section, char_start, char_end, n_tokens, n_crossing`` for every section of every document.
 
     Sections are the lines of ``text``, or the ascending start characters in the array column ``spans`` (the first
-    start counts as 0, starts beyond the text are empty sections). Every row of ``docs`` is a document of its own.
+    start counts as 0, starts beyond the text are empty sections, nulls are left out). Every row of ``docs`` is a document of its own.
     Null or empty text has one empty section. A document's ``n_tokens`` add up to its whole count under every rule.
     """
     if rule not in RULES:
@@ -114,7 +114,7 @@ def attribute_tokens(docs: DataFrame, rule: str = "start", tokenizer: str | None
         if parts:
             yield flush()
 
-    given = F.col(spans).cast("array<long>") if spans else F.lit(None).cast("array<long>")
+    given = F.array_compact(F.col(spans).cast("array<long>")) if spans else F.lit(None).cast("array<long>")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), given.alias("spans"))
     schema = "doc_id long, section int, char_start long, char_end long, n_tokens double, n_crossing long"
     return source.mapInArrow(run, schema)

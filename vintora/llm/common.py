@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,17 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     return [F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_text")]
 
 
+def unused(taken: Iterable[str], *names: str) -> list[str]:
+    """``names``, each with underscores added until no column in ``taken`` is called so."""
+    lower = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in lower:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers once per application, as an archive that Spark serves."""
     context = spark.sparkContext

@@ -9,6 +9,7 @@ a literal of fixed size and the only side that is broadcast.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -42,6 +43,9 @@ NOTICES = (
 )
 
 
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
 def license_words(text: Column) -> Column:
     """Maximal runs of letters, digits and characters beyond ASCII, A-Z lower-cased; none for null."""
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
@@ -55,6 +59,9 @@ def grams(words: str) -> Column:
 
 def template_grams(spark: SparkSession, base: Sequence[tuple[str, str]], notices: Sequence[tuple[str, str]]) -> DataFrame:
     """Rows (_gram, template, at, first, second, size, is_base, label) of the templates, each at least two words long."""
+    short = [p for p, _ in [*base, *notices] if len(re.findall(WORD, p)) < GRAM]
+    if short:
+        raise ValueError(f"phrases of fewer than {GRAM} words: {', '.join(short)}")
     rows = [(i, p, label, i < len(base)) for i, (p, label) in enumerate([*base, *notices])]
     table = inline_table(spark, "template, phrase, label, is_base", rows)
     worded = table.select("template", "label", "is_base", license_words(F.col("phrase")).alias("w"))
@@ -76,26 +83,49 @@ def diagonal_votes(docs: DataFrame, templates: DataFrame) -> DataFrame:
     ).distinct()
     keys = ["_id", "_text", "template", "size", "is_base", "label", "diagonal"]
     return distinct.groupBy(*keys).agg(
-        F.count("*").alias("votes"), F.min("at").alias("from_at"), F.max("at").alias("to_at")
+        F.count("*").alias("votes"), F.collect_list("at").alias("ats")  # positions of one template, at most its size
     )
 
 
+def _in_order(hits: Column, max_shift: int, step: int) -> Column:
+    """Template positions that the hits (at, pos) cover one after another in the text, read forwards (1) or backwards (-1).
+
+    Each position takes the nearest place behind that of the position before, with ``max_shift`` words more than the template
+    has between them at most.
+    """
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("at"), F.lit(0).cast("bigint").alias("pos"))
+
+    def follow(done: Column, hit: Column) -> Column:
+        ahead, moved = (hit["at"] - done["at"]) * step, (hit["pos"] - done["pos"]) * step
+        next_one = (done["n"] == 0) | ((ahead > 0) & (moved > 0) & (moved - ahead <= max_shift))
+        taken = F.struct((done["n"] + 1).alias("n"), hit["at"].alias("at"), hit["pos"].alias("pos"))
+        return F.when(next_one, taken).otherwise(done)
+
+    return F.aggregate(F.sort_array(hits, asc=step > 0), start, follow)["n"]
+
+
 def license_spans(votes: DataFrame, max_shift: int = 3, min_cover: float = 0.7) -> DataFrame:
     """Spans of merged neighbouring diagonals: start and end word, cover of the template, and whether it is verified.
 
-    Diagonals of one template are neighbours when they differ by ``max_shift`` words at most. A span is verified when
-    its votes cover ``min_cover`` of the template's word pairs.
+    Diagonals of one template are neighbours when they differ by ``max_shift`` words at most. A span's cover is the share of
+    the template's word pairs that stand in it in the template's order, each once however often it is repeated; it is
+    verified from ``min_cover`` on.
     """
     one = Window.partitionBy("_id", "_text", "template").orderBy("diagonal")
     new = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(one) > max_shift, F.lit(True))
     numbered = votes.withColumn("_new", new.cast("int")).withColumn("_span", F.sum("_new").over(one))
-    cover = F.least(F.sum("votes") / (F.first("size") - (GRAM - 1)), F.lit(1.0))
-    return numbered.groupBy("_id", "_text", "template", "label", "_span").agg(
-        F.min(F.col("diagonal") + F.col("from_at")).cast("long").alias("start_word"),
-        (F.max(F.col("diagonal") + F.col("to_at")) + GRAM).cast("long").alias("end_word"),
+    hit = F.transform("ats", lambda at: F.struct(at.alias("at"), (F.col("diagonal") + at).cast("bigint").alias("pos")))
+    grouped = numbered.groupBy("_id", "_text", "template", "label", "_span").agg(
+        F.first("size").alias("size"), F.flatten(F.collect_list(hit)).alias("hits")
+    )
+    places = F.transform("hits", lambda h: h["pos"])
+    cover = F.greatest(*[_in_order(F.col("hits"), max_shift, step) for step in (1, -1)]) / (F.col("size") - (GRAM - 1))
+    return grouped.select(
+        *["_id", "_text", "template", "label"],
+        F.array_min(places).alias("start_word"),
+        (F.array_max(places) + GRAM).alias("end_word"),
         cover.alias("cover"),
-        (cover >= min_cover).alias("verified"),
-    ).drop("_span")
+    ).withColumn("verified", F.col("cover") >= min_cover)
 
 
 def scan_licenses(

@@ -165,6 +165,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1536, dims: int =
     return fit(matrix[:, :PAIRS], matrix[:, PAIRS:].astype(np.float32), np.array([r["quality"] for r in rows]), dims, neighbours)
 
 
+def _scores(model: Model | None, texts: pa.Array) -> np.ndarray:
+    scores = np.ones(len(texts))
+    for a in range(0, len(texts) if model else 0, BLOCK):
+        terms = [text_terms(t.as_py() or "") for t in texts.slice(a, BLOCK)]
+        scores[a : a + len(terms)] = vote(model, np.stack([p for p, _ in terms]), np.stack([g for _, g in terms]))
+    return scores
+
+
 def score_documents(docs: DataFrame, model: Model | None, cut: float = 0.3) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``, plus the row's text hash ``_text``.
 
@@ -175,12 +183,8 @@ def score_documents(docs: DataFrame, model: Model | None, cut: float = 0.3) -> D
     shared = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            scores = np.ones(batch.num_rows)
-            for a in range(0, batch.num_rows if model else 0, BLOCK):
-                terms = [text_terms(t.as_py() or "") for t in batch.column(3).slice(a, BLOCK)]
-                scores[a : a + len(terms)] = vote(model, np.stack([p for p, _ in terms]), np.stack([g for _, g in terms]))
+            scores = _scores(shared.value, batch.column(3))
             out = [batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= cut).astype(np.int32)), batch.column(2)]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "held_out", "score", "predicted", "_text"])
 
@@ -196,6 +200,14 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = 1536, cut: flo
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame, per_class: int = 1536, cut: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` predicted as good, with all their columns."""
-    good = classify(docs, labels, per_class, cut).where("predicted = 1").select(F.col("_text").alias("_good")).distinct()
-    return docs.join(good, F.xxhash64(docs["text"]) == F.col("_good"), "left_semi")
+    """The rows of ``docs`` predicted as good, with all their columns; rows are dropped where they are scored."""
+    model = train(docs, labels, per_class)
+    spark = docs.sparkSession
+    ship(spark)
+    shared, text = spark.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(shared.value, batch.column(text)) >= cut))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm.common import SPACES, ascii_lower, space_words
+from vintora.llm.common import SPACES, ascii_lower, space_words, unused
 from vintora.sources.workspace import materialise
 
 SYMBOLS = "#*$%&|<>"
@@ -165,8 +165,9 @@ def keep_documents(docs: DataFrame, host: str = "source", **limits) -> DataFrame
     Verdicts are written first: a filter on them would otherwise be pushed into the window expressions and repeat them.
     """
     judged = materialise(judge_documents(docs, host, **limits).select("_host", "_text", "kept"), "verdicts")
-    good = judged.where("kept").select(F.col("_host").alias("_good_host"), F.col("_text").alias("_good_text")).distinct()
-    same = docs[host].eqNullSafe(F.col("_good_host")) & (F.xxhash64(docs["text"]) == F.col("_good_text"))
+    good_host, good_text = unused(docs.columns, "_good_host", "_good_text")
+    good = judged.where("kept").select(F.col("_host").alias(good_host), F.col("_text").alias(good_text)).distinct()
+    same = docs[host].eqNullSafe(F.col(good_host)) & (F.xxhash64(docs["text"]) == F.col(good_text))
     return docs.join(good, same, "left_semi")
 
 
@@ -195,9 +196,11 @@ def clean_documents(
     )
     good = judged.where("kept").select("_host", "_text").distinct()
     known = good.join(cut, F.col("_host").eqNullSafe(F.col("_cut_host")) & (F.col("_text") == F.col("_cut_text")), "left")
-    same = docs[host].eqNullSafe(F.col("_host")) & (F.xxhash64(docs["text"]) == F.col("_text"))
+    good_host, good_text, lost = unused(docs.columns, "_host", "_text", "_cut")
+    known = known.select("_host", "_text", "_cut").toDF(good_host, good_text, lost)
+    same = docs[host].eqNullSafe(F.col(good_host)) & (F.xxhash64(docs["text"]) == F.col(good_text))
     own = F.filter(
-        F.split(F.col("text"), "\n"), lambda x: ~F.array_contains(F.col("_cut"), F.xxhash64(_normal(_plain(x))))
+        F.split(F.col("text"), "\n"), lambda x: ~F.array_contains(F.col(lost), F.xxhash64(_normal(_plain(x))))
     )
-    text = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.array_join(own, "\n")).alias("text")
-    return docs.join(known, same).select(*[text if c == "text" else F.col(c) for c in docs.columns])
+    text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(own, "\n")).alias("text")
+    return docs.join(known, same).select(*[text if c == "text" else docs[f"`{c}`"] for c in docs.columns])
