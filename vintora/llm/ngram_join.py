@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintora.llm.common import ship
+from vintora.llm.common import ship, unused
 from vintora.llm.components import connected_components
 from vintora.sources.workspace import materialise
 
@@ -472,9 +472,8 @@ def _component_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     # a heavy column holds a millionth of all entries at least, so there are MAX_HEAVY of them at most
     heavy = np.sort(np.array([r[0] for r in columns.select("column").collect()], dtype=np.int64).view(np.uint64))
     parts = max(1, total // RANGE_ENTRIES)
-    back = max(1, parts // 4)
     tiles = source.mapInArrow(_tiles(n, parts, spark.sparkContext.broadcast(heavy)), TILES_DDL)
-    returned = _dealt(tiles, "part").mapInArrow(_columns(parts, back), BACK_DDL)
+    returned = _dealt(tiles, "part").mapInArrow(_columns(parts, parts), BACK_DDL)
     found_ddl = "set_key long, size long, columns binary, probes array<long>"
     candidates = materialise(_dealt(returned, "part").mapInArrow(_candidates(percent), found_ddl), "candidates")
     links = family_links(candidates, percent)
@@ -523,7 +522,8 @@ def keep_representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> Data
     single = kept.join(again, same, "left_anti").union(blank)
 
     def pick(keys: DataFrame) -> DataFrame:
-        here = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_text"))
-        return docs.join(keys, here, "left_semi")
+        row, text = unused(docs.columns, "_id", "_text")
+        here = docs["doc_id"].cast("long").eqNullSafe(F.col(row)) & (F.xxhash64(docs["text"]) == F.col(text))
+        return docs.join(keys.select("_id", "_text").toDF(row, text), here, "left_semi")
 
     return pick(single).unionByName(pick(repeated).dropDuplicates(["doc_id", "text"]))
