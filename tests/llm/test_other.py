@@ -6,7 +6,8 @@ import base64
 import hashlib
 import itertools
 import math
-from collections import Counter
+import time
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -86,6 +87,56 @@ def test_dual_traversal_counts(scale):
     assert len(set(found.values())) == len(set(want))
 
 
+@pytest.mark.parametrize("scale", [0.02, 0.1, 0.4])
+def test_dual_traversal_of_two_trees(scale):
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.standard_normal((6, 8)), 30, axis=0) + scale * rng.standard_normal((180, 8))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True))[rng.permutation(180)]
+    copies = rng.integers(1, 4, 180).astype(float)
+    one, two = (embedding_join.build_tree(np.arange(180)[k], copies[k], x[k]) for k in (slice(0, 70), slice(70, 180)))
+    left, right, labels = embedding_join.dual_links(one, two, 0.9, False)
+    near = x[:70] @ x[70:].T >= 0.9
+    assert (left == (near @ copies[70:])[one.keys]).all() and (right == (copies[:70] @ near)[two.keys - 70]).all()
+    keys = np.append(one.keys, two.keys)
+    want = brute.roots(180, ((i, 70 + j) for i, j in zip(*np.nonzero(near))))
+    groups = {tuple(sorted(k for k in range(180) if want[k] == w)) for w in want}
+    assert {tuple(sorted(keys[labels == label])) for label in set(labels)} == groups
+
+
+@pytest.mark.parametrize("scale", [0.02, 0.04])
+def test_a_full_block_of_close_vectors(scale):
+    rng = np.random.default_rng(0)
+    x = np.ones(64) / 8 + scale * rng.standard_normal((embedding_join.BLOCK_ROWS, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = embedding_join.build_tree(np.arange(len(x)), np.ones(len(x)), x)
+    begun = time.process_time()
+    counts, _, labels = embedding_join.dual_links(tree, tree, 0.9, True)
+    assert time.process_time() - begun < 40  # some 2 s with one thread
+    assert (counts == ((x @ x.T >= 0.9).sum(axis=1) - 1)[tree.keys]).all() and (labels == 0).all()
+
+
+def test_blocks_out_of_reach_are_never_paired(spark, monkeypatch):
+    monkeypatch.setattr(embedding_join, "BLOCK_ROWS", 50)
+    centres = np.eye(2)
+    gaps = [(0, k / 1000) for k in range(0, 1400, 4)] + [(1, k / 4000) for k in range(100)] + [(0, 0.5)] * 120
+    rows = [(cell, gap, k, 1, b"") for k, (cell, gap) in enumerate(gaps)]
+    cut = embedding_join.cut_cells(spark.createDataFrame(rows, "cell int, gap double, key long, copies long, unit binary")).cache()
+    assert cut.count() == len(rows) and max(r["count"] for r in cut.groupBy("cell", "salt").count().collect()) < 150
+    limit = math.sqrt(0.2)
+    found = {(tuple(r.a), tuple(r.b)) for r in embedding_join.block_pairs(cut, centres, limit).collect()}
+    held = defaultdict(list)
+    for r in cut.collect():
+        held[r.cell, r.salt].append(r.gap)
+    apart = lambda a, b: 0 if a[0] == b[0] else math.sqrt(2)
+    possible = {
+        (a, b)
+        for a in held
+        for b in held
+        if a <= b and any(apart(a, b) - g - h <= limit and abs(g - h) - apart(a, b) <= limit for g in held[a] for h in held[b])
+    }
+    assert possible <= found and len(found) < len(held) * (len(held) + 1) // 2
+
+
 # --- archives ---------------------------------------------------------------
 
 

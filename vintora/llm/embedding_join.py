@@ -1,11 +1,12 @@
 """Exact near-duplicate vectors by dual traversal of cover trees.
 
 Distinct vectors are scaled to length one, where cosine and Euclidean distance order pairs alike. A top level of centres, fitted
-on a bounded sample, deals them into cells; cells become blocks of bounded size, and every block carries a cover tree
-of nested levels with halving radii. Cell pairs, and then node pairs of two blocks' trees, are dropped when the
-distance of their centres exceeds the threshold distance and both covering radii, which loses no pair; node pairs
-that lie within the threshold as a whole are counted as a whole. What is left is compared in double precision. A block pair
-returns link counts and a spanning forest, never its pairs.
+on a bounded sample, deals them into cells; a cell is cut into blocks of bounded size by the distance to its centre, and every
+block carries a cover tree of nested levels with halving radii. Block pairs are dropped before any tree is sent: those of two cells
+by their centres' distance and both covering radii, those of one cell by their bands of distance. Node pairs of two trees are
+dropped by the same bound, which loses no pair; node pairs that lie within the threshold as a whole are counted as a whole, with
+range sums. What is left is compared in double precision. A block pair returns link counts and a spanning forest, never
+its pairs.
 """
 
 from __future__ import annotations
@@ -17,22 +18,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintora.llm.common import ship
 from vintora.llm.components import connected_components
 from vintora.llm.ngram_join import _dealt, _groups
-from vintora.operators.inline_tables import inline_table
 from vintora.sources.workspace import materialise
 
 RADII = (0.5, 0.25, 0.125)
 SAMPLE = 2048  #: distinct vectors that the top level is fitted on, at most
-CELLS = 16  #: centres of the top level, at most
+CELLS = (16, 256)  #: centres of the top level: one for each full block, within these bounds
 BLOCK_ROWS = 4096
-SLACK = 1e-7  #: more than the rounding of a distance
-MARGIN = 1e-5  #: more than the rounding of a single-precision product of unit vectors
-CHUNK = 100_000  #: pairs compared at once
+BINS = 256  #: of the distance to a centre, a unit
+SLACK = 1e-5  #: more than the rounding of a distance taken from a product of unit vectors
+TIE = 1e-9  #: products this close to the threshold are summed again, pair by pair
+CHUNK = 65_536  #: pairs compared at once
 
 
 @dataclass
@@ -96,82 +97,109 @@ def _expand(p: np.ndarray, q: np.ndarray, first: tuple, second: tuple) -> Iterat
         yield a0[of] + within // wide[of], b0[of] + within % wide[of]
 
 
-def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    gap = x - y
-    return np.sqrt(np.einsum("ij,ij->i", gap, gap))
+def _products(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of rows ``x[i]`` and ``y[j]``: as one matrix product where the pairs fill enough of it."""
+    used = np.zeros(len(x), bool), np.zeros(len(y), bool)
+    used[0][i], used[1][j] = True, True
+    rows, columns = np.flatnonzero(used[0]), np.flatnonzero(used[1])
+    if len(rows) * len(columns) <= 8 * len(i):
+        return (x[rows] @ y[columns].T)[(np.cumsum(used[0]) - 1)[i], (np.cumsum(used[1]) - 1)[j]]
+    step = max(1, 2**22 // x.shape[1])
+    parts = [np.einsum("ij,ij->i", x[i[c : c + step]], y[j[c : c + step]]) for c in range(0, len(i), step)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
+class Links:
+    """Link counts and labels of a block pair, gathered from pairs of rows and pairs of ranges of rows."""
+
+    def __init__(self, one: Tree, two: Tree, same: bool) -> None:
+        self.copies = one.copies if same else np.append(one.copies, two.copies)
+        self.total = np.append(0, np.cumsum(self.copies))
+        self.counts = np.zeros(len(self.copies))
+        self.steps = np.zeros(len(self.copies) + 1)  # differences of what ranges add to their rows
+        self.bound = np.zeros(len(self.copies) + 1)  # differences of how many ranges join a row to the one before it
+        self.labels = np.arange(len(self.copies))
+
+    def join(self, u: np.ndarray, v: np.ndarray) -> None:
+        """Give both ends of every edge the same label, the smallest of their components'."""
+        while True:
+            apart = self.labels[u] != self.labels[v]
+            u, v = u[apart], v[apart]
+            if not len(u):
+                return
+            heads = self.labels[u], self.labels[v]
+            np.minimum.at(self.labels, heads[0], heads[1])
+            np.minimum.at(self.labels, heads[1], heads[0])
+            while (self.labels[self.labels] != self.labels).any():
+                self.labels = self.labels[self.labels]
+
+    def rows(self, u: np.ndarray, v: np.ndarray) -> None:
+        """Each row ``u`` links with its row ``v``."""
+        self.counts += np.bincount(u, self.copies[v], len(self.counts)) + np.bincount(v, self.copies[u], len(self.counts))
+        self.join(u, v)
+
+    def ranges(self, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> None:
+        """Every row of a range ``a`` links with every row of its range ``b``; of a range with itself, with every other."""
+        own, size = a0 == b0, len(self.steps)
+        for (lo, hi), (begin, end), of in (((a0, a1), (b0, b1), slice(None)), ((b0, b1), (a0, a1), ~own)):
+            weight = (self.total[end] - self.total[begin])[of]
+            self.steps += np.bincount(lo[of], weight, size) - np.bincount(hi[of], weight, size)
+            wide = (hi - lo > 1)[of]
+            self.bound += np.bincount(lo[of][wide] + 1, minlength=size) - np.bincount(hi[of][wide], minlength=size)
+        if own.any():
+            alone = np.bincount(a0[own], minlength=size) - np.bincount(a1[own], minlength=size)
+            self.counts -= np.cumsum(alone)[:-1] * self.copies
+        self.join(a0, b0)
+
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        inner = np.flatnonzero(np.cumsum(self.bound)[:-1] > 0)
+        self.join(inner, inner - 1)
+        return self.counts + np.cumsum(self.steps)[:-1], self.labels
 
 
 def dual_links(one: Tree, two: Tree, cosine: float, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Link counts of both trees' rows (by copies), and label of each row, the rows of ``two`` numbered after those of ``one``."""
+    """Link counts of both trees' rows (by copies), and label of each row, the rows of ``two`` numbered after those of ``one``.
+
+    Node pairs are taken depth first in chunks, so memory does not grow with their number.
+    """
     limit = math.sqrt(2 - 2 * cosine)
-    counts = np.zeros(len(one.keys)), np.zeros(len(two.keys))
+    links = Links(one, two, same)
     shift = 0 if same else len(one.keys)
-    us, vs = [], []
-
-    def link(i: np.ndarray, j: np.ndarray) -> None:
-        counts[0][:] += np.bincount(i, two.copies[j], len(counts[0]))
-        (counts[0] if same else counts[1])[:] += np.bincount(j, one.copies[i], len(counts[1]))
-        us.append(i)
-        vs.append(j + shift)
-
     ends = [[np.append(s[1:], len(t.keys)) for s in t.starts] for t in (one, two)]
-    p, q = [np.zeros(0, int)], [np.zeros(0, int)]
-    # single precision is enough to prune with a margin; nodes of one row have no radius and need no bound of their own
-    tops = [(t.vectors[t.centres[0]].astype(np.float32), t.radii[0]) for t in (one, two)]
-    for rows in (np.flatnonzero(tops[0][1] == 0), np.flatnonzero(tops[0][1] > 0)):
-        for columns in (np.flatnonzero(tops[1][1] == 0), np.flatnonzero(tops[1][1] > 0)):
-            right, wide = tops[1][0][columns].T, tops[1][1][columns]
-            for a in range(0, len(rows) if len(columns) else 0, 512):
-                at = rows[a : a + 512]
-                bound = limit + tops[0][1][at].max() + wide.max()
-                i, j = np.nonzero(tops[0][0][at] @ right >= np.float32(1 - bound * bound / 2 - MARGIN))
-                p.append(at[i])
-                q.append(columns[j])
-    p, q = np.concatenate(p), np.concatenate(q)
-    if same:
-        p, q = p[p <= q], q[p <= q]
-    for level in range(len(RADII)):
-        if level:
-            below = [
-                (np.searchsorted(t.starts[level], t.starts[level - 1]), np.searchsorted(t.starts[level], e[level - 1]))
-                for t, e in zip((one, two), ends)
-            ]
-            found = [(i[i <= j], j[i <= j]) if same else (i, j) for i, j in _expand(p, q, *below)]
-            p, q = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, int) for k in (0, 1))
-        near, whole = np.zeros(len(p), bool), np.zeros(len(p), bool)
-        for c in range(0, len(p), CHUNK):
-            i, j = p[c : c + CHUNK], q[c : c + CHUNK]
-            d = _distance(one.vectors[one.centres[level][i]], two.vectors[two.centres[level][j]])
-            reach = one.radii[level][i] + two.radii[level][j]
-            near[c : c + CHUNK] = d <= limit + SLACK + reach
-            whole[c : c + CHUNK] = (d + reach <= limit - SLACK) & ~(same & (i == j))
-        for i, j in zip(p[whole], q[whole]):  # every row of one node links with every row of the other
-            a, b = slice(one.starts[level][i], ends[0][level][i]), slice(two.starts[level][j], ends[1][level][j])
-            counts[0][a] += two.copies[b].sum()
-            (counts[0] if same else counts[1])[b] += one.copies[a].sum()
-            rows, others = np.arange(a.start, a.stop), np.arange(b.start, b.stop) + shift
-            us += [rows, np.full(len(others), rows[0])]
-            vs += [np.full(len(rows), others[0]), others]
-        p, q = p[near & ~whole], q[near & ~whole]
-    last = len(RADII) - 1
-    rows = [(t.starts[last], e[last]) for t, e in zip((one, two), ends)]
-    for i, j in _expand(p, q, *rows):
-        good = np.einsum("ij,ij->i", one.vectors[i], two.vectors[j]) >= cosine
-        if same:
-            good &= i < j
-        link(i[good], j[good])
-    labels = np.arange(shift + len(two.keys))
-    if us:
-        u, v = np.concatenate(us), np.concatenate(vs)
-        while len(u):
-            least = np.minimum(labels[u], labels[v])
-            before = labels.copy()
-            np.minimum.at(labels, u, least)
-            np.minimum.at(labels, v, least)
-            labels = labels[labels]
-            if (labels == before).all():
-                break
-    return counts[0], counts[1], labels
+    middles = [[t.vectors[c] for c in t.centres] for t in (one, two)]
+    below = [
+        [(np.searchsorted(t.starts[k + 1], t.starts[k]), np.searchsorted(t.starts[k + 1], e[k])) for k in range(len(RADII) - 1)]
+        + [(t.starts[-1], e[-1])]
+        for t, e in zip((one, two), ends)
+    ]
+
+    def descend(level: int, p: np.ndarray, q: np.ndarray) -> None:
+        dots = _products(middles[0][level], middles[1][level], p, q)
+        d = np.sqrt(np.maximum(2 - 2 * dots, 0))
+        reach = one.radii[level][p] + two.radii[level][q]
+        whole = d + reach <= limit - SLACK
+        i, j = p[whole], q[whole]
+        links.ranges(one.starts[level][i], ends[0][level][i], two.starts[level][j] + shift, ends[1][level][j] + shift)
+        near = ~whole & (d <= limit + SLACK + reach)
+        for i, j in _expand(p[near], q[near], below[0][level], below[1][level]):
+            if level + 1 < len(RADII):
+                ordered = i <= j if same else slice(None)
+                descend(level + 1, i[ordered], j[ordered])
+                continue
+            dots = _products(one.vectors, two.vectors, i, j)
+            close = np.abs(dots - cosine) < TIE
+            dots[close] = np.einsum("ij,ij->i", one.vectors[i[close]], two.vectors[j[close]])
+            good = dots >= cosine
+            if same:
+                good &= i < j
+            links.rows(i[good], j[good] + shift)
+
+    tops = [(np.zeros(1, int), np.array([len(t.starts[0])])) for t in (one, two)]
+    for p, q in _expand(np.zeros(1, int), np.zeros(1, int), *tops):
+        ordered = p <= q if same else slice(None)
+        descend(0, p[ordered], q[ordered])
+    counts, labels = links.result()
+    return counts[: len(one.keys)], counts[shift:], labels
 
 
 def _valid(embedding: Column) -> Column:
@@ -247,11 +275,49 @@ def embedding_components(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     )
 
 
+def cut_cells(dealt: DataFrame) -> DataFrame:
+    """Rows with their block in the cell, ``salt``: a band of distances to the centre of about ``BLOCK_ROWS`` rows.
+
+    Bands are cut from a histogram of ``BINS`` bins a unit, so their table is bounded by bins and cells; a band that holds more
+    rows than a block, as its bin does, is dealt by hash.
+    """
+    bin_of = F.floor(F.col("gap") * BINS)
+    bins = dealt.groupBy(F.col("cell").alias("_cell"), bin_of.alias("_bin")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("_cell").orderBy("_bin")) - F.col("n")
+    bands = bins.select("_cell", "_bin", "n", F.floor(before / BLOCK_ROWS).alias("band"))
+    parts = F.ceil(F.sum("n").over(Window.partitionBy("_cell", "band")) / BLOCK_ROWS)
+    cuts = materialise(bands.select("_cell", "_bin", "band", parts.alias("parts")), "bands")
+    salt = F.col("band") * 2**20 + F.pmod(F.xxhash64("key"), F.col("parts"))
+    joined = dealt.join(F.broadcast(cuts), (F.col("cell") == F.col("_cell")) & (bin_of == F.col("_bin")))
+    return joined.select(F.col("cell").cast("long").alias("cell"), salt.alias("salt"), "gap", "key", "copies", "unit")
+
+
+def block_pairs(salted: DataFrame, centres: np.ndarray, limit: float) -> DataFrame:
+    """(a, b): pairs of blocks, each with itself too, that can hold two rows within ``limit`` of each other."""
+    blocks = salted.groupBy("cell", "salt").agg(F.min("gap").alias("least"), F.max("gap").alias("most"))
+    blocks = materialise(blocks, "blocks")
+    gaps = np.linalg.norm(centres[:, None] - centres[None], axis=2) if len(centres) else np.zeros((0, 0))
+    between = [(a, b, float(gaps[a, b])) for a in range(len(gaps)) for b in range(a, len(gaps))]  # bounded by CELLS
+    cells = salted.sparkSession.createDataFrame(between, "a_cell long, b_cell long, apart double")
+    sides = [blocks.select(*[F.col(c).alias(f"{side}_{c}") for c in blocks.columns]) for side in ("a", "b")]
+    bound = limit + SLACK
+    possible = (
+        (F.col("apart") - F.col("a_most") - F.col("b_most") <= bound)
+        & (F.col("a_least") - F.col("b_most") - F.col("apart") <= bound)
+        & (F.col("b_least") - F.col("a_most") - F.col("apart") <= bound)
+        & ((F.col("a_cell") < F.col("b_cell")) | (F.col("a_salt") <= F.col("b_salt")))
+    )
+    pairs = sides[0].join(F.broadcast(cells), "a_cell").join(sides[1], "b_cell").where(possible)
+    ends = [F.struct(F.col(f"{side}_cell").alias("cell"), F.col(f"{side}_salt").alias("salt")).alias(side) for side in ("a", "b")]
+    return pairs.select(*ends)
+
+
 def _tree_links(distinct: DataFrame, cosine: float) -> DataFrame:
     """(key, n, head): link counts of each vector and block pair, and another vector of its component there."""
     spark = distinct.sparkSession
     sample = distinct.orderBy("key").limit(SAMPLE).select("embedding").collect()
-    centres = _centres([_unit(np.array(r[0])) for r in sample], CELLS)
+    cells = min(max(CELLS[0], distinct.count() // BLOCK_ROWS), CELLS[1])
+    centres = _centres([_unit(np.array(r[0])) for r in sample], cells)
     limit = math.sqrt(2 - 2 * cosine)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,17 +335,7 @@ def _tree_links(distinct: DataFrame, cosine: float) -> DataFrame:
 
     schema = "cell int, gap double, key long, copies long, unit binary"
     dealt = materialise(distinct.select("key", "copies", "embedding").mapInArrow(deal, schema), "cells")
-    stats = {r["cell"]: (r["n"], r["gap"]) for r in dealt.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("gap")).collect()}
-    near = [
-        (a, b)
-        for a in stats
-        for b in stats
-        if a <= b and np.linalg.norm(centres[a] - centres[b]) <= limit + SLACK + stats[a][1] + stats[b][1]
-    ]
-    salts = inline_table(spark, "_cell, salts", [(c, -(-n // BLOCK_ROWS)) for c, (n, _) in stats.items()])
-    salted = dealt.join(F.broadcast(salts), F.col("cell") == F.col("_cell")).select(
-        "cell", F.pmod(F.xxhash64("key"), F.col("salts")).cast("int").alias("salt"), "key", "copies", "unit"
-    )
+    salted = materialise(cut_cells(dealt), "cut")
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (cell, salt), held in _groups(batches, ["cell", "salt"]):
@@ -287,16 +343,8 @@ def _tree_links(distinct: DataFrame, cosine: float) -> DataFrame:
             tree = build_tree(np.array(held["key"], dtype=np.int64), np.array(held["copies"], dtype=np.float64), matrix)
             yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int64()), pa.array([salt], pa.int64()), pa.array([pickle.dumps(tree.__dict__)], pa.binary())], ["cell", "salt", "tree"])
 
-    blocks = materialise(_dealt(salted, "cell", "salt").mapInArrow(plant, "cell long, salt long, tree binary"), "trees")
-    cell_pairs = inline_table(spark, "left_cell, right_cell", near)
-    names = blocks.select("cell", "salt")
-    left = names.select(F.col("cell").alias("left_cell"), F.col("salt").alias("left_salt"))
-    right = names.select(F.col("cell").alias("right_cell"), F.col("salt").alias("right_salt"))
-    pairs = left.join(F.broadcast(cell_pairs), "left_cell").join(right, "right_cell").where(
-        (F.col("left_cell") < F.col("right_cell")) | (F.col("left_salt") <= F.col("right_salt"))
-    )
-    end = lambda side: F.struct(*[F.col(f"{side}_{c}").cast("long").alias(c) for c in ("cell", "salt")])
-    pairs = pairs.select(end("left").alias("a"), end("right").alias("b"))
+    blocks = materialise(_dealt(salted.select("cell", "salt", "key", "copies", "unit"), "cell", "salt").mapInArrow(plant, "cell long, salt long, tree binary"), "trees")
+    pairs = block_pairs(salted, centres, limit)
     sides = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("at"))
     sides = sides.select(F.xxhash64("a", "b").alias("pair"), "at.cell", "at.salt")
     sent = sides.join(blocks, ["cell", "salt"]).select("pair", "cell", "salt", "tree")
