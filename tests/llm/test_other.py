@@ -250,6 +250,48 @@ def test_bad_template_is_rejected(spark):
     assert all(got[i] == (("block", "/spam/*") if i % 2 else ("allow", "/news/*")) for i in range(400))
 
 
+def test_bad_branches_at_any_depth_and_size(spark):
+    rows, bad = [], {}
+
+    def add(url: str, is_bad: int | None) -> None:
+        rows.append((len(rows), url))
+        bad[len(rows) - 1] = is_bad
+
+    for i in range(400):  # below the fifth slash
+        add(f"http://deep.io/a/b/c/d/e/{'spam' if i % 2 else 'news'}/{i}", i % 2)
+    for k in range(60):  # a small bad branch beside 60 good ones
+        for i in range(60):
+            add(f"http://wide.io/{'bad' if k == 0 else 'good' + chr(97 + k % 26) + chr(97 + k // 26)}/{i}", int(k == 0))
+    for k in range(40):  # 20 bad branches too small for the limit each, together enough
+        for i in range(6):
+            add(f"http://many.io/{chr(97 + k % 26) * (1 + k // 26)}/{i}", int(k < 20))
+    for i in range(300):  # a wholly bad branch beside one that is bad in three of ten pages, among good ones
+        add(f"http://mixed.io/{'xyz'[i % 3]}/{i}", int(i % 3 == 0 or (i % 3 == 1 and i % 10 < 3)))
+    add("http://deep.io/a/b/c/d/e/spam/unlabelled", None)
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame(list(bad.items()), "page_id long, bad int")
+    got = {r.page_id: r for r in url_filter.judge_urls(frame, labels).collect()}
+    for i, url in rows:
+        wrong = "mixed.io/y/" in url
+        want = "allow" if wrong or bad[i] == 0 else "block"
+        assert got[i].verdict == want, (url, got[i])
+    shares = Counter((r.host, r.template, r.bad_share) for r in got.values())
+    total, all_bad = sum(b is not None for b in bad.values()), sum(b or 0 for b in bad.values())
+    hosts = {h: [bad[i] for i in bad if got[i].host == h and bad[i] is not None] for h, _, _ in shares}
+    assert len({(h, t) for h, t, _ in shares}) == len(shares)
+    for host, template, share in shares:
+        own = [bad[i] for i in bad if (got[i].host, got[i].template) == (host, template) and bad[i] is not None]
+        base = (sum(hosts[host]) + 20 * all_bad / total) / (len(hosts[host]) + 20)
+        assert math.isclose(share, (sum(own) + 20 * base) / (len(own) + 20))
+
+
+def test_single_labels_are_no_branch_of_their_own(spark):
+    rows = [(i, f"http://slug.io/{''.join(chr(97 + int(c)) for c in str(i))}") for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "page_id long, bad int")
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), labels)
+    assert {(r.template, r.verdict) for r in got.collect()} == {("/?", "allow")}
+
+
 def test_urls_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect()]
     got = sorted((tuple(r)[:4] for r in QUERIES["op3_url_filter"](spark, SF).collect()), key=repr)
