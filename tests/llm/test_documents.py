@@ -298,6 +298,31 @@ def test_classifier_separates_held_out_rows(spark):
     assert all(p == 1 for p, q in judged if q == 1)
 
 
+def test_votes_against_brute_force(small):
+    texts = [(t or "") for _, t in small[:160]] + [""]
+    terms = [quality_knn.text_terms(t) for t in texts]
+    pairs, grades = np.stack([p for p, _ in terms]), np.stack([g for _, g in terms])
+    labels = np.arange(60) % 2
+    model = quality_knn.fit(pairs[:60], grades[:60], labels, dims=8, neighbours=5)
+
+    def rows(k):  # the term matrix, in double precision
+        idf = np.log(61 / (1 + (pairs[:60] > 0).sum(axis=0))) + 1
+        x = np.log1p(pairs[k]) * idf
+        x /= max(np.linalg.norm(x), 1e-12)
+        return np.concatenate([x, *[quality_knn.GRADE_WEIGHT * g / np.sqrt(quality_knn.GRADES) for g in (grades[k], 1 - grades[k])]])
+
+    matrix = np.stack([rows(k) for k in range(len(texts))])
+    centred = matrix - matrix[:60].mean(axis=0)
+    latent = centred @ np.linalg.svd(centred[:60], full_matrices=False)[2][:8].T
+    unit = [v / max(np.linalg.norm(v), 1e-12) for v in latent]
+    far = 0
+    for k, score in enumerate(quality_knn.vote(model, pairs, grades)):
+        near = sorted(((float(unit[k] @ unit[j]), j) for j in range(60)), reverse=True)[:5]
+        weights = [max(c, 1e-6) ** 4 for c, _ in near]
+        far += abs(score - sum(w * labels[j] for w, (_, j) in zip(weights, near)) / sum(weights)) > 0.03
+    assert far <= len(texts) // 20  # the basis is iterated, so neighbours at nearly one distance may change places
+
+
 def test_classifier_odd_rows(spark, odd):
     labels = spark.createDataFrame([(6, 1, 0), (4, 0, 0), (4, 0, 1), (None, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
     rows = quality_knn.classify(odd, labels).collect()

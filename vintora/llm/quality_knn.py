@@ -1,10 +1,11 @@
 """Quality classifier by nearest-neighbour voting over latent-semantic vectors.
 
 Fitting uses a bounded sample of labelled rows, ``per_class`` per label, drawn by a hash of the id. Their texts are
-counted into a fixed number of terms: pairs of neighbouring character classes, and graded statistics of the words and lines. The
-pairs are weighted by inverse document frequency and reduced by a truncated singular value decomposition. Model and
-labelled vectors have a fixed size, so they are broadcast. Every document is reduced the same way, compared
-with all labelled vectors by exact cosine in blocks, and its nearest neighbours vote with their similarity.
+counted into a fixed number of terms: pairs of neighbouring character classes, weighted by inverse document frequency, and grades
+of statistics of the words and lines, a term for each side of each grade. The whole matrix of documents by terms is reduced by a
+truncated singular value decomposition; nothing but its latent coordinates is compared. Model and labelled vectors have a fixed size, so
+they are broadcast. Every document is reduced the same way, compared with all labelled vectors by exact cosine in
+blocks, and its nearest neighbours vote with their similarity.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ PAIRS = CLASSES * CLASSES
 LEVELS = np.array([0.02, 0.05, 0.1, 0.2, 0.3, 0.45, 0.6, 0.8, 0.95])
 STATS = 9
 GRADES = STATS * len(LEVELS)
+GRADE_WEIGHT = 2.0  #: length of a document's grade terms against that of its pairs
+SPARE = 32  #: directions iterated beside those that are kept
+NOISE = 1e-3  #: singular values below this share of the largest are none
 BLOCK = 512  #: documents compared at once
 
 
@@ -85,39 +89,44 @@ class Model:
     """Fitted reduction and labelled vectors; its size depends on the parameters alone."""
 
     idf: np.ndarray
+    mean: np.ndarray
     basis: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
     neighbours: int
 
 
-def _weigh(pairs: np.ndarray, idf: np.ndarray) -> np.ndarray:
+def _weigh(pairs: np.ndarray, grades: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Rows of the term matrix: weighted pairs at length one, then both sides of each grade at twice that length."""
     x = np.log1p(pairs).astype(np.float32) * idf
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    return np.hstack([x, np.hstack([grades, 1 - grades]) * np.float32(GRADE_WEIGHT / np.sqrt(GRADES))])
 
 
-def _latent(x: np.ndarray, grades: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """Reduced pairs beside centred grades, scaled to length one."""
-    steps = (grades - 0.5) / np.sqrt(GRADES)
-    z = np.hstack([x @ basis, 2 * steps]).astype(np.float32)
+def _latent(x: np.ndarray, mean: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """Coordinates of the rows in the latent space, around the sample's mean, scaled to length one."""
+    z = ((x - mean) @ basis).astype(np.float32)
     return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
 
 
 def fit(pairs: np.ndarray, grades: np.ndarray, labels: np.ndarray, dims: int, neighbours: int) -> Model:
     """Inverse document frequencies, truncated SVD by subspace iteration with a fixed start, labelled vectors."""
     idf = np.log((1 + len(pairs)) / (1 + (pairs > 0).sum(axis=0))).astype(np.float32) + 1
-    x = _weigh(pairs, idf)
-    rank = max(1, min(dims, *x.shape))
-    q = np.linalg.qr(x.T @ np.random.default_rng(7).standard_normal((len(x), rank)).astype(np.float32))[0]
+    x = _weigh(pairs, grades, idf)
+    mean = x.mean(axis=0)
+    centred = x - mean
+    rank = max(1, min(dims + SPARE, *x.shape))
+    q = np.linalg.qr(centred.T @ np.random.default_rng(7).standard_normal((len(x), rank)).astype(np.float32))[0]
     for _ in range(4):
-        q = np.linalg.qr(x.T @ (x @ q))[0]
-    basis = q.astype(np.float32)
-    return Model(idf, basis, _latent(x, grades, basis), labels.astype(np.float32), min(neighbours, len(labels)))
+        q = np.linalg.qr(centred.T @ (centred @ q))[0]
+    _, sizes, turn = np.linalg.svd(centred @ q, full_matrices=False)
+    basis = (q @ turn.T[:, sizes > NOISE * sizes[0]][:, :dims]).astype(np.float32)
+    return Model(idf, mean, basis, _latent(x, mean, basis), labels.astype(np.float32), min(neighbours, len(labels)))
 
 
 def vote(model: Model, pairs: np.ndarray, grades: np.ndarray) -> np.ndarray:
     """Score of each document: share of label 1 among its nearest labelled vectors, by similarity."""
-    cosine = _latent(_weigh(pairs, model.idf), grades, model.basis) @ model.vectors.T
+    cosine = _latent(_weigh(pairs, grades, model.idf), model.mean, model.basis) @ model.vectors.T
     k = model.neighbours
     near = np.argpartition(-cosine, k - 1, axis=1)[:, :k] if k < cosine.shape[1] else np.tile(np.arange(k), (len(cosine), 1))
     weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-6).astype(np.float64) ** 4
