@@ -327,8 +327,7 @@ def test_samples_follow_the_law_without_replacement():
     lattices = piece_sampling.Lattices(public_tokenizers.path(piece_sampling.DEFAULT_MODEL), 1.0)
     text = "▁the\n"
     law = every_segmentation(lattices, text)
-    starts = np.array([lattices.unit(u) for u in piece_sampling.UNITS.findall(text)])
-    lattices.settle()
+    starts = lattices.starts([piece_sampling.UNITS.findall(text)])[0]
     runs, pairs = 6000, Counter()
     for seed in range(runs):
         found, _ = piece_sampling.sample_text(lattices, starts, seed * 7919 + 13, 3)

@@ -1,13 +1,15 @@
 """Distinct sampled SentencePiece segmentations by Gumbel top-k without replacement, and decoding.
 
-A text's lattice falls apart at white space, which no piece crosses, into units; a unit's lattice is built once per worker and
-kept while the table is small. Pieces weigh by their rank, ``(rank + 2) ** -power``, so a segmentation has a probability, and
-summing backwards over the lattice gives every edge its probability given the node.
+A text's lattice falls apart at white space, which no piece crosses, into units; the lattices of a batch's new units are built
+together, level by level from their ends, and kept while the table is small. Pieces weigh by their rank,
+``(rank + 2) ** -power``, so a segmentation has a probability, and summing backwards over the lattice gives every edge its
+probability given the node.
 
 The search is A-star over sets of segmentations that share a beginning, ordered by perturbed log mass. A set's best
 segmentation is drawn edge by edge; what leaves it at each step is a new set whose perturbed value is a Gumbel variable
 of its mass, truncated at its parent's. Popping the largest set k times gives k distinct segmentations with the law of
-sampling without replacement. All draws are hashes of row key, sample, unit and step: repeated rows agree, retries too.
+sampling without replacement. A batch's texts draw side by side, each from its own sets. All draws are hashes of row key,
+sample, unit and step: repeated rows agree, retries too.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -31,7 +34,8 @@ MAX_NODES = 1_500_000  #: nodes held before the table starts anew
 KEPT_LENGTH = 40  #: characters of a unit worth keeping
 BATCH_CHARS = 400_000
 DEFAULT_MODEL = "piece_bpe_32k.model"
-KINDS = {"cum": np.float64, "target": np.int64, "logs": np.float64, "ids": np.int64, "first": np.int64}
+EDGE_KINDS = {"cum": np.float64, "logs": np.float64, "rests": np.float64, "target": np.int32, "ids": np.int32}
+NODE_KINDS = {"first": np.int64, "degree": np.int32}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -41,19 +45,29 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def uniform(seed: np.ndarray, *parts) -> np.ndarray:
-    """Numbers in (0, 1) that depend on the row seed and the given counters alone."""
+def hashed(seed: np.ndarray, *parts) -> np.ndarray:
+    """Seeds that depend on the given ones and on counters."""
     x = seed
     with np.errstate(over="ignore"):
         for p in parts:
             x = _mix(x * np.uint64(0x9E3779B97F4A7C15) + np.asarray(p).astype(np.uint64) + np.uint64(1))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    return x
+
+
+def uniform(seed: np.ndarray, *parts) -> np.ndarray:
+    """Numbers in (0, 1) that depend on the row seed and the given counters alone."""
+    return ((hashed(seed, *parts) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
 class Lattices:
-    """Lattices of units in flat arrays: edges of a node adjoin, likely ones first, ``cum`` is their running probability."""
+    """Lattices of units in flat arrays.
+
+    A node's edges adjoin, long pieces first: ``logs`` has their log probability given the node, ``rests`` that of all others,
+    ``cum`` the running probability, which ends at one; ``target`` is -1 at a unit's end, ``ids`` below 0 stand for bytes.
+    """
 
     def __init__(self, path: str, power: float):
+        import ahocorasick
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -66,115 +80,168 @@ class Lattices:
         self.pieces = {model.id_to_piece(i): (i, w / total) for i, w in weight.items()}
         self.byte_weight = rare / total
         self.longest = max(map(len, self.pieces))
-        self.surface = [model.id_to_piece(i).replace(SPACE, " ").encode() for i in range(n)]
+        self.finder = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self.length, self.log_weight = np.zeros(n, np.int64), np.zeros(n)
+        for piece, (i, w) in self.pieces.items():
+            self.finder.add_word(piece, i)
+            self.length[i], self.log_weight[i] = len(piece), math.log(w)
+        self.finder.make_automaton()
+        used = set().union(*self.pieces)
+        self.bar = next(c for c in map(chr, range(0xD800)) if c not in used)  # parts units: no piece holds it
+        surface = [model.id_to_piece(i).replace(SPACE, " ").encode() for i in range(n)]
         for byte, i in self.bytes.items():
-            self.surface[i] = bytes([byte])
+            surface[i] = bytes([byte])
+        self.surface = np.frombuffer(b"".join(surface), np.uint8)
+        self.surface_length = np.array([len(x) for x in surface])
+        self.surface_at = np.cumsum(self.surface_length) - self.surface_length
+        self.fallback: dict[int, int] = {}  # code points outside the vocabulary, in the order of their rows below
+        self.fallback_ids, self.fallback_length = np.zeros((0, 4), np.int64), np.zeros(0, np.int64)
         self.reset()
 
     def reset(self) -> None:
         self.units: dict[str, int] = {}
-        self.fallback: list[list[int]] = []
-        self._held = {n: np.zeros(1 << 16, kind) for n, kind in KINDS.items()}
-        self._new: dict[str, list] = {n: [] for n in KINDS}
-        self._settled = dict.fromkeys(KINDS, 0)
         self.nodes = self.edges = 0
-        self.settle()
-
-    def unit(self, text: str) -> int:
-        """First node of a unit's lattice."""
-        found = self.units.get(text)
-        if found is not None:
-            return found
-        base, n = self.nodes, len(text)
-        cum, target, logs, ids, first = self._new.values()
-        scale = [0.0] * (n + 1)  # log of what beta was divided by, so that long units do not underflow
-        beta = [1.0] * (n + 1)
-        rows: list[list] = [[]] * n
-        find, longest = self.pieces.get, self.longest
-        for i in range(n - 1, -1, -1):
-            row, one = [], False
-            for j in range(i + 1, min(n, i + longest) + 1):
-                hit = find(text[i:j])
-                if hit is not None:
-                    one = one or j == i + 1
-                    row.append((hit[1] * beta[j] * (math.exp(scale[j] - scale[i + 1]) if scale[j] != scale[i + 1] else 1.0), j, hit[0]))
-            if not one:
-                raw = [self.bytes[b] for b in text[i].encode()]
-                self.fallback.append(raw)
-                row.append((self.byte_weight ** len(raw) * beta[i + 1], i + 1, -len(self.fallback)))
-            total = sum([r[0] for r in row])
-            scale[i], beta[i] = scale[i + 1], total
-            if total < 1e-200:
-                scale[i], beta[i] = scale[i + 1] + math.log(total), 1.0
-            row.sort(reverse=True)  # the likely edges first
-            rows[i] = [(w / total, j, piece) for w, j, piece in row]
-        for i, row in enumerate(rows):
-            first.append(self.edges)
-            run = 0.0
-            for p, j, piece in row:
-                run += p
-                cum.append(run)
-                target.append(base + j if j < n else -1)
-                logs.append(p)
-                ids.append(piece)
-            cum[-1] = 1.0
-            self.edges += len(row)
-        self.nodes += n
-        if n <= KEPT_LENGTH:
-            self.units[text] = base
-        return base
-
-    def settle(self) -> None:
-        """Append what was built since to the arrays, which grow by doubling; ``first`` ends with the number of edges."""
-        for name, new in self._new.items():
-            n = self._settled[name]
-            if n + len(new) + 1 > len(self._held[name]):
-                grown = np.zeros(2 * (n + len(new) + 1), KINDS[name])
-                grown[:n] = self._held[name][:n]
-                self._held[name] = grown
-            self._held[name][n : n + len(new)] = np.log(new) if name == "logs" and new else new
-            self._settled[name] = n + len(new)
-            self._new[name] = []
-        self._held["first"][self.nodes] = self.edges
-        self.cum, self.target, self.logs, self.ids = (self._held[n][: self.edges] for n in ("cum", "target", "logs", "ids"))
-        self.first = self._held["first"][: self.nodes + 1]
-
-    def draw(self, start: np.ndarray, seed: np.ndarray, sample: int, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Edges from each start node to its unit's end, one unit after the other, and their count per unit."""
+        self._held = {name: np.zeros(1 << 16, kind) for name, kind in {**EDGE_KINDS, **NODE_KINDS}.items()}
+        self._expose()
+
+    def _expose(self) -> None:
+        for name in EDGE_KINDS:
+            setattr(self, name, self._held[name][: self.edges])
+        for name in NODE_KINDS:
+            setattr(self, name, self._held[name][: self.nodes])
+
+    def _append(self, name: str, n: int, new: np.ndarray) -> None:
+        if n + len(new) > len(self._held[name]):
+            grown = np.zeros(2 * (n + len(new)), self._held[name].dtype)
+            grown[:n] = self._held[name][:n]
+            self._held[name] = grown
+        self._held[name][n : n + len(new)] = new
+
+    def starts(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """First nodes of the units of each text; the lattices of new ones are built."""
+        new = [u for u in dict.fromkeys(chain.from_iterable(texts)) if u not in self.units]
+        if new:
+            self._build(new)
+        found = [np.fromiter(map(self.units.__getitem__, t), np.int64, len(t)) for t in texts]
+        for u in new:
+            if len(u) > KEPT_LENGTH:
+                del self.units[u]
+        return found
+
+    def _bytes_of(self, codes: np.ndarray) -> np.ndarray:
+        """Rows of ``fallback_ids`` for code points."""
+        for code in np.unique(codes).tolist():
+            if code not in self.fallback:
+                raw = [self.bytes[b] for b in chr(code).encode()]
+                self.fallback[code] = len(self.fallback)
+                self.fallback_ids = np.vstack([self.fallback_ids, [raw + [0] * (4 - len(raw))]])
+                self.fallback_length = np.append(self.fallback_length, len(raw))
+        return np.fromiter(map(self.fallback.__getitem__, codes.tolist()), np.int64, len(codes))
+
+    def _build(self, units: list[str]) -> None:
+        text = self.bar.join(units)
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        size = int(lengths.sum())
+        owner = np.repeat(np.arange(len(units)), lengths)
+        begin = np.cumsum(lengths) - lengths
+        level = (begin + lengths)[owner] - np.arange(size)  # characters to the unit's end
+        node_at = np.zeros(len(text), np.int64)
+        node_at[np.arange(size) + owner] = np.arange(size)
+
+        hits = np.fromiter(chain.from_iterable(self.finder.iter(text)), np.int64).reshape(-1, 2)
+        piece = hits[:, 1]
+        start = node_at[hits[:, 0]] - self.length[piece] + 1
+        bare = np.ones(size, bool)
+        bare[start[self.length[piece] == 1]] = False
+        lone = np.flatnonzero(bare)
+        raw = self._bytes_of(np.frombuffer(text.encode("utf-32-le"), "<u4")[lone + owner[lone]])
+        start = np.concatenate([start, lone])
+        length = np.concatenate([self.length[piece], np.ones(len(lone), np.int64)])
+        weight = np.concatenate([self.log_weight[piece], self.fallback_length[raw] * math.log(self.byte_weight)])
+        order = np.argsort((level[start] * size + start) * (self.longest + 1) - length)
+        start, length, weight = start[order], length[order], weight[order]
+        ids = np.concatenate([piece, -1 - raw])[order]
+
+        ends = length == level[start]
+        target = np.where(ends, size, start + length)
+        heads = np.flatnonzero(np.diff(start, prepend=-1))
+        node = start[heads]
+        degree = np.diff(heads, append=len(start))
+        mass = np.zeros(size + 1)  # log of the weight of all ways to the unit's end
+        low = 0
+        for high in np.cumsum(np.bincount(level[node])).tolist():
+            if high > low:
+                part = slice(heads[low], heads[high - 1] + degree[high - 1])
+                value, cut = weight[part] + mass[target[part]], heads[low:high] - heads[low]
+                most = np.maximum.reduceat(value, cut)
+                mass[node[low:high]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, degree[low:high])), cut))
+                low = high
+        logs = np.minimum(weight + mass[target] - mass[start], 0.0)
+        cum = np.exp(logs)
+        for rank in range(1, int(degree.max())):
+            at = heads[degree > rank] + rank
+            cum[at] += cum[at - 1]
+        cum[heads + degree - 1] = 1.0
+        with np.errstate(divide="ignore"):
+            rests = np.log(-np.expm1(logs))
+        for name, new in {"cum": cum, "logs": logs, "rests": rests, "target": np.where(ends, -1, self.nodes + target), "ids": ids}.items():
+            self._append(name, self.edges, new)
+        place = np.empty(size, np.int64)
+        place[node] = np.arange(size)
+        self._append("first", self.nodes, self.edges + heads[place])
+        self._append("degree", self.nodes, degree[place])
+        self.units.update(zip(units, (self.nodes + begin).tolist()))
+        self.nodes += size
+        self.edges += len(start)
+        self._expose()
+
+    def draw(self, start: np.ndarray, forced: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Edges from each start node to its unit's end, one unit after the other, and their count per unit.
+
+        A ``forced`` edge of 0 or more is a unit's first one; ``state`` holds the seed of each unit's draws.
+        """
         at, who, rounds = start, np.arange(len(start)), []
-        step = 0
-        alive = at >= 0
-        at, who = at[alive], who[alive]
+        counts = np.zeros(len(start), np.int64)
         while len(at):
-            u = uniform(seed[who], sample, number[who], step)
+            u = uniform(state, len(rounds))
             edge = self.first[at]
             on = np.flatnonzero(self.cum[edge] <= u)
             while len(on):  # a node's last edge reaches one, so each draw ends within its node
                 edge[on] += 1
                 on = on[self.cum[edge[on]] <= u[on]]
+            if not rounds:
+                edge = np.where(forced >= 0, forced, edge)
             rounds.append((who, edge))
+            counts[who] += 1
             at = self.target[edge]
-            more = at >= 0
-            at, who, step = at[more], who[more], step + 1
-        counts = np.zeros(len(start), dtype=np.int64)
-        for w, _ in rounds:
-            counts[w] += 1
+            more = np.flatnonzero(at >= 0)
+            at, who, state = at[more], who[more], state[more]
         begin = np.cumsum(counts) - counts
-        out = np.zeros(int(counts.sum()), dtype=np.int64)
+        out = np.zeros(int(counts.sum()), np.int64)
         for k, (w, e) in enumerate(rounds):
             out[begin[w] + k] = e
         return out, counts
 
     def ids_of(self, edges: np.ndarray) -> np.ndarray:
         ids = self.ids[edges]
-        if (ids >= 0).all():
+        raw = np.flatnonzero(ids < 0)
+        if not len(raw):
             return ids.astype("<u4")
-        parts = [[i] if i >= 0 else self.fallback[-i - 1] for i in ids.tolist()]
-        return np.array([x for p in parts for x in p], dtype="<u4")
+        rows = -1 - ids[raw]
+        counts = np.ones(len(ids), np.int64)
+        counts[raw] = self.fallback_length[rows]
+        begin = (np.cumsum(counts) - counts)[raw]
+        out = np.repeat(ids, counts).astype("<u4")
+        for k in range(4):
+            has = self.fallback_length[rows] > k
+            out[begin[has] + k] = self.fallback_ids[rows[has], k]
+        return out
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Text of ids; the space that encoding puts in front is taken off."""
-        data = b"".join([self.surface[i] for i in ids.tolist()])
+        n = self.surface_length[ids]
+        at = np.repeat(self.surface_at[ids] - (np.cumsum(n) - n), n)
+        data = self.surface[at + np.arange(len(at))].tobytes()
         return data[1:] if data[:1] == b" " else data
 
 
@@ -188,61 +255,98 @@ def _log_exponential(u: np.ndarray) -> np.ndarray:
 
 
 class _Path:
-    """A segmentation found: its edges, unit of each, log probability before each, and values of the sets that leave it."""
+    """A segmentation found: its edges, where each unit's end, and the sets that leave it from step ``owned`` on.
 
-    def __init__(self, edges: np.ndarray, units: np.ndarray, logs: np.ndarray, value: float, owned: int, barred: set[int]):
-        self.edges, self.units, self.value, self.barred, self.owned = edges, units, value, barred, owned
-        self.before = np.cumsum(logs) - logs
-        self.log = float(logs.sum())
-        self.sets = np.full(len(edges), -np.inf)
+    ``before`` is the log probability ahead of each own step; ``keys`` order the sets: a smaller key is a larger value.
+    """
+
+    def __init__(self, edges: np.ndarray, ends: np.ndarray, value: float, owned: int, barred: set[int], before: np.ndarray, log: float, keys: np.ndarray):
+        self.edges, self.ends, self.value, self.owned, self.barred = edges, ends, value, owned, barred
+        self.before, self.log, self.keys = before, log, keys
+        self.rank()
+
+    def rank(self) -> None:
+        """The largest set's step and its value, truncated at the path's."""
+        self.best = int(self.keys.argmin()) if len(self.keys) else 0
+        key = self.keys[self.best] if len(self.keys) else np.inf
+        self.next = -np.inf if key == np.inf else -float(np.logaddexp(-self.value, key))
+
+
+def _branch(lattices: Lattices, starts: np.ndarray, seed: np.ndarray, path: _Path, sample: int) -> tuple[int, int, int, int, set[int]]:
+    """The path's largest set, taken off it: (step, unit, its node, edge drawn there, edges it leaves out)."""
+    at = path.owned + path.best
+    taken = int(path.edges[at])
+    barred = {taken} | (path.barred if at == path.owned else set())
+    unit = int(np.searchsorted(path.ends, at, "right"))
+    node = int(starts[unit] if at == (path.ends[unit - 1] if unit else 0) else lattices.target[path.edges[at - 1]])
+    first = int(lattices.first[node])
+    open_edges = [e for e in range(first, first + int(lattices.degree[node])) if e not in barred]
+    weights = np.exp(lattices.logs[open_edges])
+    point = float(uniform(seed, sample, 0xBEEF, at)[0]) * weights.sum()
+    chosen = open_edges[min(int(np.searchsorted(np.cumsum(weights), point, "right")), len(open_edges) - 1)]
+    return at, unit, node, chosen, barred
+
+
+def sample_texts(lattices: Lattices, starts: list[np.ndarray], seeds: np.ndarray, k: int) -> list[tuple[list[_Path], float]]:
+    """For each text up to ``k`` distinct segmentations by falling perturbed value, and the value of the next one, or minus infinity."""
+    found: list[list[_Path]] = [[] for _ in starts]
+    roots = -_log_exponential(uniform(seeds, 0, 1, 2))
+    for sample in range(k):
+        work = []  # text, path it leaves, step, first unit, first edge, edges left out, value
+        begins, forced = [], []
+        for d, units in enumerate(starts):
+            if not sample:
+                work.append((d, None, 0, 0, set(), float(roots[d])))
+                begins.append(units)
+                forced.append(np.full(len(units), -1))
+                continue
+            path = max(found[d], key=lambda p: p.next)
+            if path.next == -np.inf:
+                continue
+            value = path.next
+            at, unit, node, chosen, barred = _branch(lattices, units, seeds[d : d + 1], path, sample)
+            work.append((d, path, at, unit, barred, value))
+            begins.append(np.concatenate([[node], units[unit + 1 :]]))
+            forced.append(np.full(len(begins[-1]), -1))
+            forced[-1][0] = chosen
+        if not work:
+            break
+        docs = np.array([w[0] for w in work])
+        sizes = np.array([len(b) for b in begins])
+        inner = lambda n: np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        number = inner(sizes) + np.repeat([w[3] for w in work], sizes)
+        state = hashed(np.repeat(hashed(seeds[docs], sample), sizes), number)
+        edges, counts = lattices.draw(np.concatenate(begins), np.concatenate(forced), state)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        stops = np.cumsum(sizes)
+        lengths = np.diff(ends[stops], prepend=0)
+        logs, rests = lattices.logs[edges], lattices.rests[edges]
+        steps = inner(lengths) + np.repeat([w[2] for w in work], lengths)
+        keys = _log_exponential(uniform(np.repeat(hashed(seeds[docs], sample, 0xF00D), lengths), steps)) - rests
+        for (d, path, at, unit, barred, value), stop, size in zip(work, stops.tolist(), sizes.tolist()):
+            low, high = int(ends[stop - size]), int(ends[stop])
+            own, own_ends = edges[low:high], at + ends[stop - size + 1 : stop + 1] - low
+            ahead = float(path.before[at - path.owned]) if path else 0.0
+            total = np.cumsum(logs[low:high])
+            before = ahead + total - logs[low:high]
+            key = keys[low:high] - before
+            if barred:
+                rest = 1 - sum(math.exp(lattices.logs[e]) for e in {*barred, int(own[0])})
+                u = float(uniform(seeds[d : d + 1], sample, 0xF00D, at)[0])
+                key[0] = math.log(-math.log(u)) - before[0] - math.log(rest) if rest > 1e-12 else np.inf
+            if path:
+                path.keys[at - path.owned] = np.inf
+                path.rank()
+                own = np.concatenate([path.edges[:at], own])
+                own_ends = np.concatenate([path.ends[:unit], own_ends])
+            log = ahead + float(total[-1]) if high > low else 0.0
+            found[d].append(_Path(own, own_ends, value, at, barred, before, log, key))
+    return [(paths, max(p.next for p in paths)) for paths in found]
 
 
 def sample_text(lattices: Lattices, starts: np.ndarray, seed: int, k: int) -> tuple[list[_Path], float]:
-    """Up to ``k`` distinct segmentations by falling perturbed value, and the value of the next one, or minus infinity."""
-    seeds = np.full(len(starts), seed, dtype=np.uint64)
-    one = seeds[:1] if len(starts) else np.array([seed], dtype=np.uint64)
-    numbers = np.arange(len(starts))
-    root = -float(_log_exponential(uniform(one, 0, 1, 2))[0])
-
-    def spread(path: _Path, sample: int) -> None:
-        """Values of the sets that leave the path at its own steps, truncated at its value."""
-        logs = lattices.logs[path.edges]
-        with np.errstate(divide="ignore"):
-            mass = path.before + np.log(-np.expm1(np.minimum(logs, 0)))
-        if path.barred:
-            node = path.before[path.owned]
-            rest = 1 - sum(math.exp(lattices.logs[e]) for e in {*path.barred, int(path.edges[path.owned])})
-            mass[path.owned] = node + math.log(rest) if rest > 1e-12 else -np.inf
-        own = slice(path.owned, None)
-        u = uniform(np.repeat(one, len(path.edges) - path.owned), sample, 0xF00D, np.arange(path.owned, len(path.edges)))
-        path.sets[own] = -np.logaddexp(-path.value, _log_exponential(u) - mass[own])
-
-    edges, counts = lattices.draw(starts, seeds, 0, numbers)
-    found = [_Path(edges, np.repeat(numbers, counts), lattices.logs[edges], root, 0, set())]
-    spread(found[0], 0)
-    while len(found) < k:
-        best = max(found, key=lambda p: p.sets.max(initial=-np.inf))
-        value = best.sets.max(initial=-np.inf)
-        if value == -np.inf:
-            break
-        at, sample = int(best.sets.argmax()), len(found)
-        taken = int(best.edges[at])
-        barred = {taken} | (best.barred if at == best.owned else set())
-        node = int(np.searchsorted(lattices.first, taken, "right")) - 1
-        open_edges = [e for e in range(int(lattices.first[node]), int(lattices.first[node + 1])) if e not in barred]
-        weights = np.exp(lattices.logs[open_edges])
-        point = float(uniform(one, sample, 0xBEEF, at)[0]) * weights.sum()
-        chosen = open_edges[min(int(np.searchsorted(np.cumsum(weights), point, "right")), len(open_edges) - 1)]
-        unit = int(best.units[at])
-        begin = starts[unit:].copy()
-        begin[0] = lattices.target[chosen]
-        tail, counts = lattices.draw(begin, seeds[unit:], sample, numbers[unit:])
-        edges = np.concatenate([best.edges[:at], [chosen], tail])
-        units = np.concatenate([best.units[: at + 1], np.repeat(numbers[unit:], counts)])
-        best.sets[at] = -np.inf
-        found.append(_Path(edges, units, lattices.logs[edges], value, at, barred))
-        spread(found[-1], sample)
-    return found, max(p.sets.max(initial=-np.inf) for p in found)
+    """``sample_texts`` of one text."""
+    return sample_texts(lattices, [starts], np.array([seed], np.uint64), k)[0]
 
 
 def log_inclusion(log_p: float, threshold: float) -> float:
@@ -284,14 +388,11 @@ def sample_pieces(docs: DataFrame, k: int = 2, seed: int = 0, power: float = 1.0
         def work(rows: list[tuple]) -> pa.RecordBatch:
             if lattices.nodes > MAX_NODES:
                 lattices.reset()
-            units = []
-            for _, text, _ in rows:
-                plain = SPACE + text.replace(" ", SPACE) if text else ""
-                units.append(np.array([lattices.unit(u) for u in UNITS.findall(plain)], dtype=np.int64))
-            lattices.settle()
+            units = [UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else [] for _, text, _ in rows]
+            starts = lattices.starts(units)
+            seeds = np.array([key & (2**64 - 1) for _, _, key in rows], np.uint64)
             out = []
-            for (doc_id, text, key), starts in zip(rows, units):
-                found, threshold = sample_text(lattices, starts, key & (2**64 - 1), k)
+            for (doc_id, text, _), (found, threshold) in zip(rows, sample_texts(lattices, starts, seeds, k)):
                 plain = text.replace(SPACE, " ").encode()
                 for i, p in enumerate(found):
                     ids = lattices.ids_of(p.edges)
