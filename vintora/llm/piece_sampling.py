@@ -30,7 +30,7 @@ from vintora.llm.common import ship
 
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
-MAX_NODES = 1_500_000  #: nodes held before the table starts anew
+MAX_NODES = 3_000_000  #: nodes held before the table starts anew
 KEPT_LENGTH = 40  #: characters of a unit worth keeping
 BATCH_CHARS = 400_000
 DEFAULT_MODEL = "piece_bpe_32k.model"
@@ -67,7 +67,6 @@ class Lattices:
     """
 
     def __init__(self, path: str, power: float):
-        import ahocorasick
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -80,14 +79,19 @@ class Lattices:
         self.pieces = {model.id_to_piece(i): (i, w / total) for i, w in weight.items()}
         self.byte_weight = rare / total
         self.longest = max(map(len, self.pieces))
-        self.finder = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        self.length, self.log_weight = np.zeros(n, np.int64), np.zeros(n)
+        self.log_weight = np.zeros(n)
+        steps: dict[int, int] = {}  # beginnings of pieces: number of a shorter one and next code point, to number
+        named = {}
         for piece, (i, w) in self.pieces.items():
-            self.finder.add_word(piece, i)
-            self.length[i], self.log_weight[i] = len(piece), math.log(w)
-        self.finder.make_automaton()
-        used = set().union(*self.pieces)
-        self.bar = next(c for c in map(chr, range(0xD800)) if c not in used)  # parts units: no piece holds it
+            at = 0
+            for c in piece:
+                at = steps.setdefault(at << 21 | ord(c), len(steps) + 1)
+            named[at] = i
+            self.log_weight[i] = math.log(w)
+        self.step_keys = np.array([*sorted(steps), np.iinfo(np.int64).max])
+        self.step_to = np.array([steps[key] for key in self.step_keys[:-1].tolist()])
+        self.piece_at = np.full(len(steps) + 1, -1)
+        self.piece_at[list(named)] = list(named.values())
         surface = [model.id_to_piece(i).replace(SPACE, " ").encode() for i in range(n)]
         for byte, i in self.bytes.items():
             surface[i] = bytes([byte])
@@ -138,58 +142,71 @@ class Lattices:
                 self.fallback_length = np.append(self.fallback_length, len(raw))
         return np.fromiter(map(self.fallback.__getitem__, codes.tolist()), np.int64, len(codes))
 
+    def _pieces_in(self, codes: np.ndarray, left: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By length from one on: where pieces begin, and which; all places read on together while a piece may still follow."""
+        at, state, found = np.arange(len(codes)), np.zeros(len(codes), np.int64), []
+        while len(at) or not found:
+            key = state << 21 | codes[at + len(found)]
+            place = np.searchsorted(self.step_keys, key)
+            known = np.flatnonzero(self.step_keys[place] == key)
+            at, state = at[known], self.step_to[place[known]]
+            piece = self.piece_at[state]
+            whole = np.flatnonzero(piece >= 0)
+            found.append((at[whole], piece[whole]))
+            more = np.flatnonzero(left[at] > len(found))
+            at, state = at[more], state[more]
+        return found
+
     def _build(self, units: list[str]) -> None:
-        text = self.bar.join(units)
+        codes = np.frombuffer("".join(units).encode("utf-32-le"), "<u4").astype(np.int64)
         lengths = np.fromiter(map(len, units), np.int64, len(units))
-        size = int(lengths.sum())
-        owner = np.repeat(np.arange(len(units)), lengths)
-        begin = np.cumsum(lengths) - lengths
-        level = (begin + lengths)[owner] - np.arange(size)  # characters to the unit's end
-        node_at = np.zeros(len(text), np.int64)
-        node_at[np.arange(size) + owner] = np.arange(size)
-
-        hits = np.fromiter(chain.from_iterable(self.finder.iter(text)), np.int64).reshape(-1, 2)
-        piece = hits[:, 1]
-        start = node_at[hits[:, 0]] - self.length[piece] + 1
+        size, begin = len(codes), np.cumsum(lengths) - lengths
+        level = np.repeat(begin + lengths, lengths) - np.arange(size)  # characters to the unit's end
+        found = self._pieces_in(codes, level)
         bare = np.ones(size, bool)
-        bare[start[self.length[piece] == 1]] = False
+        bare[found[0][0]] = False
         lone = np.flatnonzero(bare)
-        raw = self._bytes_of(np.frombuffer(text.encode("utf-32-le"), "<u4")[lone + owner[lone]])
-        start = np.concatenate([start, lone])
-        length = np.concatenate([self.length[piece], np.ones(len(lone), np.int64)])
-        weight = np.concatenate([self.log_weight[piece], self.fallback_length[raw] * math.log(self.byte_weight)])
-        order = np.argsort((level[start] * size + start) * (self.longest + 1) - length)
-        start, length, weight = start[order], length[order], weight[order]
-        ids = np.concatenate([piece, -1 - raw])[order]
+        raw = self._bytes_of(codes[lone])
+
+        degree = np.bincount(np.concatenate([lone, *(at for at, _ in found)]), minlength=size)
+        node = np.argsort(level.astype(np.uint16) if level.max() < 1 << 16 else level, kind="stable")
+        heads = np.cumsum(degree[node]) - degree[node]
+        first = np.empty(size, np.int64)
+        first[node] = heads
+        start = np.repeat(node, degree[node])
+        ids, length, weight = np.empty(len(start), np.int64), np.ones(len(start), np.int64), np.empty(len(start))
+        free = first.copy()
+        for chars in range(len(found), 0, -1):
+            at, piece = found[chars - 1]
+            edge = free[at]
+            ids[edge], length[edge], weight[edge] = piece, chars, self.log_weight[piece]
+            free[at] += 1
+        ids[free[lone]], weight[free[lone]] = -1 - raw, self.fallback_length[raw] * math.log(self.byte_weight)
 
         ends = length == level[start]
         target = np.where(ends, size, start + length)
-        heads = np.flatnonzero(np.diff(start, prepend=-1))
-        node = start[heads]
-        degree = np.diff(heads, append=len(start))
+        many = degree[node]
         mass = np.zeros(size + 1)  # log of the weight of all ways to the unit's end
         low = 0
-        for high in np.cumsum(np.bincount(level[node])).tolist():
+        for high in np.cumsum(np.bincount(level)).tolist():
             if high > low:
-                part = slice(heads[low], heads[high - 1] + degree[high - 1])
+                part = slice(heads[low], heads[high - 1] + many[high - 1])
                 value, cut = weight[part] + mass[target[part]], heads[low:high] - heads[low]
                 most = np.maximum.reduceat(value, cut)
-                mass[node[low:high]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, degree[low:high])), cut))
+                mass[node[low:high]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, many[low:high])), cut))
                 low = high
         logs = np.minimum(weight + mass[target] - mass[start], 0.0)
         cum = np.exp(logs)
         for rank in range(1, int(degree.max())):
-            at = heads[degree > rank] + rank
+            at = first[degree > rank] + rank
             cum[at] += cum[at - 1]
-        cum[heads + degree - 1] = 1.0
+        cum[first + degree - 1] = 1.0
         with np.errstate(divide="ignore"):
             rests = np.log(-np.expm1(logs))
         for name, new in {"cum": cum, "logs": logs, "rests": rests, "target": np.where(ends, -1, self.nodes + target), "ids": ids}.items():
             self._append(name, self.edges, new)
-        place = np.empty(size, np.int64)
-        place[node] = np.arange(size)
-        self._append("first", self.nodes, self.edges + heads[place])
-        self._append("degree", self.nodes, degree[place])
+        self._append("first", self.nodes, self.edges + first)
+        self._append("degree", self.nodes, degree)
         self.units.update(zip(units, (self.nodes + begin).tolist()))
         self.nodes += size
         self.edges += len(start)
