@@ -426,3 +426,33 @@ def test_tokens_per_section_against_brute_force(spark, rule):
                 want[i, k] = (len(data[:c].decode()), pytest.approx(counts[k]), crossing[k])
         assert got == want
     assert attribution.attribute_tokens(docs.where("1 = 0"), rule).count() == 0
+
+
+# --- the whole pipeline on odd and empty tables ------------------------------
+
+
+def tables(spark, folder, docs, labels) -> str:
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_pipeline_odd_rows_and_extra_columns(spark, tmp_path):
+    # letters only: lines that differ in digits alone count as one template line
+    letters = lambda i: chr(97 + i // 26) + chr(97 + i % 26)
+    prose = lambda i: " ".join(f"w{letters(i)}x{letters(k)}" for k in range(40))
+    rows = [(i, prose(i), "h", "id", "text", 1) for i in range(40)]
+    rows += [rows[3], (50, prose(3), "h", "id", "text", 1), (51, prose(4) + " end", "h", "id", "text", 1)]
+    rows += [(52, None, None, None, None, None), (53, "", "h", "id", "text", 1), (None, prose(60), None, "id", "text", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _id string, _text string, piece int")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    sf = tables(spark, tmp_path, docs, labels)
+    packed = corpus_pipeline.run(spark, sf).collect()
+    # all labels are good, so nothing is rejected for quality; texts without words go, copies leave one row of their group
+    assert Counter(r.doc_id for r in packed) == Counter([*range(40), None])
+
+
+def test_pipeline_empty_tables(spark, tmp_path):
+    docs = spark.createDataFrame([], brute.DOCS)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert corpus_pipeline.run(spark, tables(spark, tmp_path, docs, labels)).count() == 0
