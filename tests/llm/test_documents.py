@@ -192,6 +192,15 @@ def test_template_lines_are_removed_from_texts(spark):
     assert quality_rules.clean_documents(docs.where("1 = 0")).count() == 0
 
 
+def test_template_lines_beyond_an_absolute_count(spark):
+    """On a host of very many texts a line below the share is template all the same."""
+    rows = [(i, f"{'Skip to content' if i < 30 else letters(i + 200)}\n{letters(i)}", "h", None, None) for i in range(90)]
+    docs = spark.createDataFrame(rows, brute.DOCS)
+    for max_texts, cut in ((30, False), (29, True)):
+        cleaned = quality_rules.clean_documents(docs, max_share=0.5, max_texts=max_texts)
+        assert sum("Skip" in r.text for r in cleaned.collect()) == (0 if cut else 30)
+
+
 def test_pipeline_stage_hands_on_cleaned_texts(spark):
     own = letters
     rows = [(i, f"Skip to content\n{own(i)}", "h", None, None) for i in range(30)]

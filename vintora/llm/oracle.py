@@ -71,7 +71,7 @@ lines AS (
 texts AS (SELECT source, count(DISTINCT t) AS n_all FROM lines GROUP BY source),
 template AS (
   SELECT source, l FROM lines JOIN texts USING (source) GROUP BY source, l, n_all
-  HAVING count(*) > 20 AND count(*) > 0.01 * n_all),
+  HAVING count(*) > least(greatest(20, 0.01 * n_all), 1000)),
 remain AS (
   SELECT lines.source, lines.t, sum(len(string_split(lines.l, ' '))) AS every,
     sum(CASE WHEN template.l IS NULL THEN len(string_split(lines.l, ' ')) ELSE 0 END) AS rest

@@ -3,7 +3,8 @@
 Everything is a DataFrame expression. Words and then windows of their hashes are hashed inside the row; only texts that hold a repeated
 window sort theirs, so no window ever leaves its row. Lines are hashed and counted per host over distinct
 texts, because exact copies are one document as far as templates go. A line in more than ``max_share`` of a
-host's texts, and in more than ``min_texts`` of them, is template and is removed; a text left with less than
+host's texts, and in more than ``min_texts`` of them, is template and is removed, and so is one in more than
+``max_texts`` however many the host has; a text left with less than
 ``min_left`` of its words is rejected. ``judge_documents`` and ``keep_documents`` judge and leave texts as they are;
 ``clean_documents`` returns the kept rows with the template lines taken out of their texts.
 """
@@ -93,18 +94,19 @@ def host_lines(docs: DataFrame, host: str = "source") -> DataFrame:
     ).agg(F.max("_n").cast("long").alias("_n"))
 
 
-def template_lines(lines: DataFrame, max_share: float, min_texts: int) -> DataFrame:
+def template_lines(lines: DataFrame, max_share: float, min_texts: int, max_texts: int) -> DataFrame:
     """(``_t_host``, ``_t_line``) of the lines above the limits; counts cover every text of the host."""
     per_line = (
         lines.groupBy(F.col("_host").alias("_t_host"), F.col("_line").alias("_t_line"))
         .agg(F.count("*").alias("_texts"))
-        .where(F.col("_texts") > min_texts)
+        .where(F.col("_texts") > min(min_texts, max_texts))
     )
     texts = (
         lines.select(F.col("_host").alias("_of"), "_text").distinct().groupBy("_of").agg(F.count("*").alias("_all"))
     )
     frequent = per_line.join(texts, F.col("_t_host").eqNullSafe(F.col("_of")))
-    return frequent.where(F.col("_texts") > max_share * F.col("_all")).select("_t_host", "_t_line")
+    limit = F.least(F.greatest(max_share * F.col("_all"), F.lit(float(min_texts))), F.lit(float(max_texts)))
+    return frequent.where(F.col("_texts") > limit).select("_t_host", "_t_line")
 
 
 def judge_documents(
@@ -112,6 +114,7 @@ def judge_documents(
     host: str = "source",
     max_share: float = 0.01,
     min_texts: int = 20,
+    max_texts: int = 1000,
     min_left: float = 0.2,
     min_words: int = 10,
     max_repeat: int = 20,
@@ -124,7 +127,7 @@ def judge_documents(
     the same text and host get the same verdict; an empty table gives an empty result.
     """
     lines = materialise(host_lines(docs, host), "host-lines")
-    return _judge(docs, host, lines, template_lines(lines, max_share, min_texts), min_left, min_words, max_repeat)
+    return _judge(docs, host, lines, template_lines(lines, max_share, min_texts, max_texts), min_left, min_words, max_repeat)
 
 
 def _is_template() -> Column:
@@ -176,6 +179,7 @@ def clean_documents(
     host: str = "source",
     max_share: float = 0.01,
     min_texts: int = 20,
+    max_texts: int = 1000,
     min_left: float = 0.2,
     min_words: int = 10,
     max_repeat: int = 20,
@@ -186,7 +190,7 @@ def clean_documents(
     only the template lines of its own text.
     """
     lines = materialise(host_lines(docs, host), "host-lines")
-    templates = materialise(template_lines(lines, max_share, min_texts), "template-lines")
+    templates = materialise(template_lines(lines, max_share, min_texts, max_texts), "template-lines")
     verdicts = _judge(docs, host, lines, templates, min_left, min_words, max_repeat)
     judged = materialise(verdicts.select("_host", "_text", "kept"), "verdicts")
     cut = (
