@@ -1,12 +1,17 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from vintora.functions import parsing
+from vintora.operators import quality
 from vintora.operators.quality import dq_malformed_lines
 from vintora.sources import layouts, normalise, readers, sinks
+from vintora.sources.layouts import INSTALLMENTS
+from vintora.sources.sinks import mark_columns
 from vintora.sources.workspace import NoSharedFolder, hadoop_path, materialise, new_folder, run_scratch, scratch_root, together
 
 
@@ -177,3 +182,38 @@ def test_together_returns_and_raises(spark):
     assert together({"a": lambda: spark.range(2).count(), "b": lambda: spark.range(5).count()}) == {"a": 2, "b": 5}
     with pytest.raises(ZeroDivisionError):
         together({"a": lambda: 1 / 0})
+
+
+def odd_instalments(spark):
+    texts = [None, "", " ", "nan", "1", " 1.234,56\t", "1,234.56", "1,2,3", "1.2.3", ",5", "-3", "+4.", "1e2", "x", "\n-7,1 ", "5 ,"]
+    dates = ["1/2/2020", " 01/12/0000", "31/02/2020", "2020-1-2", "0000-01-01", "2020-01-02 1:2:3.5 ", "2020-01-02\t10:00:00", "1/2/2020 10:00", "2020-01-02 ", "1/2/2020 ", "2020-01-02x"]
+    values = texts + dates
+    rows = [tuple(values[(i * (j + 1) + j) % len(values)] for j in range(8)) for i in range(len(values))]
+    rows = [(r[0], r[1], "1" if r[2] in dates else r[2], *r[3:]) for r in rows]
+    names = ("id_contrato", "id_parcela", "num_parcela", "data_vencimento", "data_pagamento", "valor_parcela", "valor_pago", "dias_atraso")
+    return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)).withColumn(readers.MALFORMED, F.lit(None).cast("string"))
+
+
+def test_values_read_once_are_those_of_the_column_functions(spark):
+    raw = odd_instalments(spark)
+    typed = normalise.normalise_installments(raw, *mark_columns(quality.installment_marks().bits))
+    numbers = ("valor_parcela", "valor_pago", "dias_atraso")
+    want = raw.select(
+        *[parsing.norm_id(F.col(c)).alias(c) for c in ("id_contrato", "id_parcela")],
+        parsing.norm_int(F.col("num_parcela"), null_as_zero=False).alias("num_parcela"),
+        *[parsing.norm_date(F.col(c)).alias(c) for c in ("data_vencimento", "data_pagamento")],
+        *[parsing.norm_decimal(F.col(c), null_as_zero=False).alias(c) for c in numbers],
+        F.lit(False).alias("_fora"),
+        quality.marks_of([*quality.null_checks(raw, INSTALLMENTS), *quality.installment_checks(raw)]).bits.alias("_falhas"),
+    )
+    assert typed.collect() == want.collect()
+
+
+def test_staging_compiles_to_methods_of_bounded_size(spark):
+    """The JIT compiles no method above 8,000 bytes; longer ones run interpreted, row by row."""
+    columns = ", ".join(f"{c} string" for c in (*INSTALLMENTS.raw_schema.names, readers.MALFORMED))
+    raw = spark.createDataFrame(spark.sparkContext.parallelize([], 1), columns)
+    typed = normalise.normalise_installments(raw, *mark_columns(quality.installment_marks().bits), F.sha1("id_parcela"))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", typed._jdf.queryExecution().explainString(mode))]
+    assert sizes and max(sizes) < 8000
