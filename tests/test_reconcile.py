@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from vintora.operators import reconcile as rc
+from vintora.catalog import reconcile_queries
+from vintora.operators import cohorts, reconcile as rc
 
 
 def side(spark, rows):
@@ -95,3 +96,10 @@ def test_overlap(spark):
     row = rc.overlap_compare(pct, frac, "safra", [("fpd", "f")]).first()
     assert tuple(row) == ("a", 5.0, 5.12, 0.12)
     assert tuple(rc.overlap_coverage(pct, frac, "safra").first()) == (1, 2, 2)
+
+
+def test_cells_of_a_book_are_added_up_once_for_all_curves(spark, monkeypatch):
+    calls, cells = [], cohorts.cohort_cells
+    monkeypatch.setattr(cohorts, "cohort_cells", lambda *a: calls.append(a) or cells(*a))
+    assert "incremento" in {r.curva for r in reconcile_queries.monotonic_curves(spark, "/root/testdata/sf0.001").collect()}
+    assert len(calls) == 1

@@ -273,8 +273,9 @@ def rollup_consistency(spark, sf_dir):
 )
 def monotonic_curves(spark, sf_dir):
     """Both cumulative curves, which must not fall, and monthly losses as the planted violation, which do."""
-    curve = materialise(Curves(spark, sf_dir).curve(), "curves")
-    monthly = cohorts.loss_revenue_by_mob(book.loans(spark, sf_dir), book.installments(spark, sf_dir), PARAMS)
+    chain = Curves(spark, sf_dir)
+    curve = materialise(chain.curve(), "curves")
+    monthly = cohorts.loss_revenue_by_mob(chain.loans, chain.inst, PARAMS, chain.cells)
     checked = (
         ("perda", curves.loss_curve(curve), "perda_acum_pct"),
         ("receita", curves.revenue_curve(curve), "receita_acum_pct"),
