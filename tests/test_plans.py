@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from vintora.catalog import book
+from vintora.catalog import book, queries
 from vintora.catalog.queries import raw_book
 from vintora.functions.numbers import exact_sum
 from vintora.operators import cohorts, portfolio, quality, rolls
@@ -163,3 +163,27 @@ def test_shuffle_sizing_only_grows(spark):
         assert row_bytes(stored) == 24 * 10**6
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_the_derived_book_is_stored_before_a_run(spark, monkeypatch):
+    seen = {}
+
+    def run(loans, inst, ids, p, store):
+        seen.update(loans=loans, inst=inst)
+        return {}
+
+    monkeypatch.setattr(queries, "run_portfolio", run)
+    queries.portfolio_results(spark, SF)
+    for df in seen.values():
+        assert "Join" not in plan(df) and df.count() > 0
+
+
+def test_the_cube_computes_addends_before_it_multiplies_rows(stored):
+    text = plan(portfolio.loan_cube(stored[0]))
+    assert "Expand" in text and not re.search(r"sum\([^)]*cast\(", text)
+
+
+def test_timeline_and_aging_run_without_lambdas_and_expand_sums(stored):
+    text = plan(rolls.aging_cells(*stored, P))
+    assert "lambda" not in text
+    assert re.search(r"hashpartitioning\(mais_antiga#\d+, cal#\d+", text)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.books import inst, loan, make_inst, make_loans
+from vintora.functions.calendar import month_range
 from vintora.operators import rolls
 from vintora.params import BUCKETS, Params
 
@@ -172,3 +173,23 @@ def test_roll_table_ends_with_the_mean(spark):
     mean = next(r for r in table if r.mes == "Média LTM")
     assert (mean.r5_30, mean.r31_60, mean.r180p, mean.effic60, mean.effic90) == (12.35, 50.0, None, 20.0, 40.0)
     assert next(r for r in table if r.mes == "m0").r5_30 == 12.34567
+
+
+def test_aging_cells_are_the_expanded_states(spark):
+    draw = random.Random(5)
+    days = [f"20{y}-{m:02d}-{n:02d}" for y in (19, 20) for m in range(1, 13) for n in (1, 15, 28)]
+    loans = [loan(str(i), pmt=draw.choice([100.0, 0.0, 33.33, -20.0]), n=draw.randint(0, 6), aq=draw.choice(days)) for i in range(40)]
+    rows = []
+    for i in range(40):
+        for k in range(draw.randint(0, 6)):
+            rows.append(inst(str(i) if i % 9 else None, k, draw.choice([*days, None]), draw.choice([*days, None])))
+    loans, rows, p = make_loans(spark, loans), make_inst(spark, rows), Params.at("2021-03")
+    months = F.explode(month_range(F.col("de"), F.col("ate"))).alias("cal")
+    want = (
+        rolls.balance_states(loans, rows, p)
+        .select(months, "saldo_c", "mais_antiga")
+        .groupBy("cal", rolls.month_bucket().alias("bucket"))
+        .agg(F.sum("saldo_c").alias("saldo_c"))
+    )
+    held = lambda df: {(r.cal, r.bucket): r.saldo_c for r in df.collect() if r.saldo_c}
+    assert held(rolls.aging_cells(loans, rows, p)) == held(want) != {}
