@@ -6,8 +6,12 @@ import base64
 import hashlib
 import itertools
 import math
+import os
+import threading
 import time
 from collections import Counter, defaultdict
+from contextlib import contextmanager, suppress
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -64,6 +68,81 @@ def test_vectors(spark, monkeypatch):
     assert embedding_join.embedding_components(frame.where("1 = 0")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_vectors_of_many_packs(spark, monkeypatch, kind):
+    rows = [(i, v and [x if x is None else float(np.dtype(kind).type(x)) for x in v]) for i, v in vector_rows()]
+    frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+    monkeypatch.setattr(embedding_join, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(embedding_join, "PACK_BYTES", 2 * 6 * np.dtype(kind).itemsize)
+    got = embedding_join.embedding_components(frame).select("vec_id", "n_links", "component_id", "kept").collect()
+    assert sorted(map(tuple, got), key=repr) == expected_vectors(rows)
+
+
+@contextmanager
+def files_written(spark):
+    """Sizes of the files that shuffles and tables have written, also of those that go meanwhile."""
+    tops = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    tops.append(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    found, over = {}, threading.Event()
+
+    def look():
+        for f in (Path(d, name) for top in tops for d, _, names in os.walk(top) for name in names):
+            with suppress(OSError):
+                found[f] = max(found.get(f, 0), f.stat().st_size)
+
+    def watch():
+        while not over.wait(0.05):
+            look()
+
+    look()
+    before, written = set(found), {}
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    yield written
+    over.set()
+    watcher.join()
+    look()
+    written.update({f: size for f, size in found.items() if f not in before})
+
+
+def test_vectors_disk_grows_with_rows_not_with_block_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((1500, 64)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").cache()
+    assert frame.count() == 1500
+    monkeypatch.setattr(embedding_join, "BLOCK_ROWS", 25)
+    with files_written(spark) as written:
+        assert embedding_join.embedding_components(frame).where("n_links > 0").count() == 0
+    assert 1500 * 64 * 4 < sum(written.values()) < 4 * 1500 * 64 * 4 + 3_000_000  # what small files have besides
+
+
+def test_vectors_have_their_place_whatever_is_beside_them():
+    rng = np.random.default_rng(7)
+    x, centres = rng.standard_normal((300, 37)), embedding_join._units(rng.standard_normal((20, 37)))
+    cell, gap = embedding_join._place(embedding_join._units(x), centres)
+    for step in (1, 2, 7, 64):
+        parts = [embedding_join._place(embedding_join._units(x[k : k + step]), centres) for k in range(0, 300, step)]
+        assert (np.concatenate([p[0] for p in parts]) == cell).all() and (np.concatenate([p[1] for p in parts]) == gap).all()
+
+
+@pytest.mark.parametrize("same", [True, False])
+@pytest.mark.parametrize("scale", [0.01, 0.05, 0.2])
+def test_top_nodes_in_reach_are_all_found(scale, same, monkeypatch):
+    monkeypatch.setattr(embedding_join, "TILE", 16)
+    rng = np.random.default_rng(8)
+    x = np.repeat(rng.standard_normal((60, 12)), 6, axis=0) + scale * rng.standard_normal((360, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    one, two = (embedding_join.build_tree(np.arange(len(v)), np.ones(len(v)), v) for v in (x[::2], x[1::2]))
+    two = one if same else two
+    limit = math.sqrt(0.2)
+    tops = [t.vectors[t.centres[0]] for t in (one, two)]
+    apart = np.linalg.norm(tops[0][:, None] - tops[1][None], axis=2)
+    reach = apart <= limit + one.radii[0][:, None] + two.radii[0][None]
+    got = [pair for p, q in embedding_join._tops(one, two, limit, same) for pair in zip(p.tolist(), q.tolist())]
+    want = {(int(i), int(j)) for i, j in np.argwhere(np.triu(reach) if same else reach)}
+    assert len(got) == len(set(got)) and want <= set(got) and len(got) < 1.2 * len(want) + 20
+
+
 def test_vectors_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
     got = sorted((tuple(r) for r in QUERIES["op6_embedding_near_dedup"](spark, SF).collect()), key=repr)
