@@ -40,8 +40,9 @@ TIE = 1e-9  #: products this close to the threshold are summed again, pair by pa
 CHUNK = 65_536  #: pairs compared at once
 TILE = 256  #: top nodes multiplied with another tree's at once
 HEADS = 64  #: rows that a cover is sought for at once
-PACK_BYTES = 2**22  #: of the vectors of a pack, unless one block has more
-PACKS_A_TASK = 12  #: on either side, about; a task holds those of one side
+PACK_BYTES = 2**21  #: of the vectors of a pack, unless one block has more
+PACK_ROWS = 512  #: or more, where rows are too few for all cores to have several packs
+PACKS_A_TASK = 5  #: on either side, about; a task holds those of one side
 
 
 @dataclass
@@ -101,6 +102,10 @@ def build_tree(keys: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> Tre
     vectors = vectors[order]
     starts, centres, radii = [], [], []
     for groups in levels:  # nested, so each level's groups adjoin in this order
+        if starts and len(groups) == len(starts[-1]):  # nothing was split: the same arrays, which are stored once
+            for of in (starts, centres, radii):
+                of.append(of[-1])
+            continue
         sizes = np.array([len(rows) for rows in groups])
         centre = place[np.array([rows[0] for rows in groups])]
         begin = np.cumsum(sizes) - sizes
@@ -479,10 +484,11 @@ def _tree_links(vectors: DataFrame, distinct: DataFrame, dims: int, n: int, cosi
     salted = cut_cells(places, cuts)
     sizes = salted.groupBy("cell", "salt").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("cell", "salt")) - F.col("n")  # a row for each block
-    pack_rows = max(1, PACK_BYTES // (dims * numbers.itemsize))
+    slots = vectors.sparkSession.sparkContext.defaultParallelism
+    pack_rows = max(1, min(PACK_BYTES // (dims * numbers.itemsize), max(PACK_ROWS, n // (4 * slots))))
     packs = materialise(sizes.select("cell", "salt", F.floor(before / pack_rows).alias("pack")), "packs")
     n_packs = packs.select("pack").distinct().count()
-    side = max(-(-n_packs // PACKS_A_TASK), min(n_packs, math.ceil(math.sqrt(8 * vectors.sparkSession.sparkContext.defaultParallelism))))
+    side = max(-(-n_packs // PACKS_A_TASK), min(n_packs, math.ceil(math.sqrt(8 * slots))))
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (pack,), held in _groups(batches, ["pack"]):
